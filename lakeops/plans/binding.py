@@ -112,6 +112,22 @@ class Tables:
             "CAST(l_discount AS DECIMAL(4,2)) AS rebate",
         )
 
+    @cached_property
+    def catalogue(self) -> DataFrame:
+        """Product catalogue with a price text, a rating and gaps in the seller and the discount."""
+        price = F.regexp_replace(F.expr("CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS STRING)"), r"(\d)(\d{3}\.)", "$1,$2")
+        return self.raw("part").select(
+            F.col("p_partkey").alias("product_id"),
+            F.col("p_name").alias("title"),
+            F.col("p_type").alias("category"),
+            F.expr("CAST(p_retailprice * 1.25 AS DECIMAL(12,2))").alias("initial_price"),
+            F.concat(F.lit('"₹'), price, F.lit('"')).alias("final_price"),
+            F.expr("CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE p_size * 2 END").alias("discount"),
+            F.expr("CAST(CAST(p_partkey * 7 % 51 AS DECIMAL(4,1)) * 0.1 AS DECIMAL(3,1))").alias("rating"),
+            F.expr("p_partkey * 37 % 1009").alias("ratings_count"),
+            F.expr("CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE p_brand END").alias("seller_name"),
+        )
+
     def wide(self, *lookups: str) -> DataFrame:
         """Order lines with the lookups asked for: ``order``, ``customer``, ``place``, ``product``."""
         df = self.wide_items

@@ -44,7 +44,17 @@ wide_v AS (
               - CAST(p_retailprice AS DECIMAL(12,2)) * CAST(l_quantity AS BIGINT) AS DECIMAL(18,2)) AS profit
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
        JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-       JOIN part ON l_partkey = p_partkey)
+       JOIN part ON l_partkey = p_partkey),
+catalogue_v AS (
+  SELECT p_partkey AS product_id, p_name AS title, p_type AS category,
+         CAST(p_retailprice * 1.25 AS DECIMAL(12,2)) AS initial_price,
+         '"₹' || regexp_replace(CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS VARCHAR),
+                                '(\\d)(\\d{{3}}\\.)', '\\1,\\2') || '"' AS final_price,
+         CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE p_size * 2 END AS discount,
+         CAST(CAST(p_partkey * 7 % 51 AS DECIMAL(4,1)) * 0.1 AS DECIMAL(3,1)) AS rating,
+         p_partkey * 37 % 1009 AS ratings_count,
+         CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE p_brand END AS seller_name
+  FROM part)
 """
 
 
