@@ -7,11 +7,14 @@ the same views as SQL.
 
 from __future__ import annotations
 
+import re
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeops.plans.binding_raw import RAW_VIEWS, TABLES_OF
+
 LINE_REVENUE = (
     "CAST(ROUND(CAST(CASE WHEN l_returnflag = 'R' THEN -l_extendedprice ELSE l_extendedprice END"
     " AS DECIMAL(15,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))), 2) AS DECIMAL(18,2))"
@@ -128,6 +131,41 @@ class Tables:
             F.expr("CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE p_brand END").alias("seller_name"),
         )
 
+    def view(self, name: str) -> DataFrame:
+        """A raw view, from the SQL text it shares with the other engine."""
+        sources = {table: self.raw(table) for table in TABLES_OF[name]}
+        sql = RAW_VIEWS[name]
+        for table in sources:
+            sql = re.sub(rf"(FROM|JOIN) {table}\b", rf"\1 {{{table}}}", sql)
+        return self.spark.sql(sql, **sources)
+
+    @cached_property
+    def raw_customers(self) -> DataFrame:
+        return self.view("raw_customers_v")
+
+    @cached_property
+    def raw_products(self) -> DataFrame:
+        return self.view("raw_products_v")
+
+    @cached_property
+    def raw_orders(self) -> DataFrame:
+        return self.view("raw_orders_v")
+
+    @cached_property
+    def raw_items(self) -> DataFrame:
+        return self.view("raw_items_v")
+
+    @cached_property
+    def deliveries(self) -> DataFrame:
+        feed = self.view("feed_deliveries_v")
+        return feed.select(
+            "delivery_id",
+            F.col("order_id").cast("bigint").alias("order_id"),
+            F.col("pickup_time").cast("timestamp_ntz").alias("pickup_time"),
+            F.col("delivery_time").cast("timestamp_ntz").alias("delivery_time"),
+            F.lower(F.trim("status")).alias("status"),
+        )
+
     def wide(self, *lookups: str) -> DataFrame:
         """Order lines with the lookups asked for: ``order``, ``customer``, ``place``, ``product``."""
         df = self.wide_items

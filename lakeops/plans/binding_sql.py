@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from lakeops.plans.binding import LINE_REVENUE, SHIP_MODE, STATUS
+from lakeops.plans.binding_raw import RAW_VIEWS
 
 VIEWS = f"""
 customers_v AS (
@@ -54,8 +55,13 @@ catalogue_v AS (
          CAST(CAST(p_partkey * 7 % 51 AS DECIMAL(4,1)) * 0.1 AS DECIMAL(3,1)) AS rating,
          p_partkey * 37 % 1009 AS ratings_count,
          CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE p_brand END AS seller_name
-  FROM part)
+  FROM part),
+deliveries_v AS (
+  SELECT delivery_id, CAST(order_id AS BIGINT) AS order_id, CAST(pickup_time AS TIMESTAMP) AS pickup_time,
+         CAST(delivery_time AS TIMESTAMP) AS delivery_time, lower(trim(status)) AS status
+  FROM feed_deliveries_v)
 """
+VIEWS = ",".join(f"\n{name} AS ({sql})" for name, sql in RAW_VIEWS.items()) + "," + VIEWS
 
 
 def with_binding(sql: str) -> str:

@@ -1,4 +1,3 @@
 """All registered queries; importing this package fills the registry."""
 
-from lakeops.plans.catalog import retail  # noqa: F401
-from lakeops.plans.catalog import orderlines  # noqa: F401
+from lakeops.plans.catalog import orderlines, projections, quality, relations, retail  # noqa: F401

@@ -368,16 +368,16 @@ def f16(t):
     "f17_net_price",
     """
     SELECT l_orderkey, l_linenumber, l_partkey,
-           CAST(ROUND(q * p * (100 - COALESCE(d, 0)) / 100.0, 2) AS DOUBLE) AS net_price,
-           CAST(ROUND(q * p * COALESCE(d, 0) / 100.0, 2) AS DOUBLE) AS discount_amount
-    FROM (SELECT *, CAST(l_quantity AS INT) AS q, CAST(l_extendedprice / 100 AS DECIMAL(10,2)) AS p,
+           CAST(ROUND(q * p * (100 - COALESCE(d, 0)) * 0.01, 2) AS DOUBLE) AS net_price,
+           CAST(ROUND(q * p * COALESCE(d, 0) * 0.01, 2) AS DOUBLE) AS discount_amount
+    FROM (SELECT *, CAST(l_quantity AS INT) AS q, CAST(l_extendedprice AS DECIMAL(10,2)) AS p,
                  CASE WHEN l_linenumber = 3 THEN NULL ELSE CAST(l_discount * 100 AS DECIMAL(5,2)) END AS d
           FROM lineitem)""",
 )
 def f17(t):
     priced = t.raw("lineitem").selectExpr(
         "l_orderkey", "l_linenumber", "l_partkey", "CAST(l_quantity AS INT) AS q",
-        "CAST(l_extendedprice / 100 AS DECIMAL(10,2)) AS p",
+        "CAST(l_extendedprice AS DECIMAL(10,2)) AS p",
         "CASE WHEN l_linenumber = 3 THEN NULL ELSE CAST(l_discount * 100 AS DECIMAL(5,2)) END AS d",
     )
     parts = F.col("q"), F.col("p"), F.col("d")
@@ -392,14 +392,14 @@ def f17(t):
     "f18_signed_line_revenue",
     """
     SELECT l_orderkey, l_linenumber, l_partkey,
-           CAST(ROUND(q * p * (100 - d) / 100.0, 2) AS DOUBLE) AS line_revenue
+           CAST(ROUND(q * p * (100 - d) * 0.01, 2) AS DOUBLE) AS line_revenue
     FROM (SELECT *, CAST(CASE WHEN l_returnflag = 'R' THEN -l_quantity ELSE l_quantity END AS DECIMAL(12,0)) AS q,
-                 CAST(l_extendedprice / 100 AS DECIMAL(12,2)) AS p, CAST(l_discount * 100 AS DECIMAL(5,2)) AS d
+                 CAST(l_extendedprice AS DECIMAL(12,2)) AS p, CAST(l_discount * 100 AS DECIMAL(5,2)) AS d
           FROM lineitem)""",
 )
 def f18(t):
     quantity = F.expr("CASE WHEN l_returnflag = 'R' THEN -l_quantity ELSE l_quantity END")
-    price, rate = dec("l_extendedprice", "double") / 100, F.col("l_discount") * 100
+    price, rate = F.col("l_extendedprice"), F.col("l_discount") * 100
     return t.raw("lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey",
         money.as_double(money.line_revenue(quantity, price, rate)).alias("line_revenue"),
@@ -428,13 +428,13 @@ def f20(t):
 @query(
     "f21_cast_with_default",
     "SELECT item_id, seq, COALESCE(TRY_CAST(trim(unit_price) AS DOUBLE), 0) AS unit_price,"
-    " COALESCE(TRY_CAST(trim(quantity) AS INT), 0) AS quantity FROM raw_items_v",
+    " COALESCE(CAST(TRY_CAST(trim(quantity) AS DECIMAL(12,2)) AS INT), 0) AS quantity FROM raw_items_v",
 )
 def f21(t):
     return t.raw_items.select(
         "item_id", "seq",
         F.coalesce(F.trim("unit_price").try_cast("double"), F.lit(0.0)).alias("unit_price"),
-        F.coalesce(F.trim("quantity").try_cast("int"), F.lit(0)).alias("quantity"),
+        F.coalesce(F.trim("quantity").try_cast("decimal(12,2)").cast("int"), F.lit(0)).alias("quantity"),
     )
 
 

@@ -1,0 +1,87 @@
+"""Versioned tables: one directory per version, each complete and never changed."""
+
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lakeops.session import scratch_path
+
+
+class SnapshotTable:
+    """``path/v=0, v=1, ..``; a version counts once its write has committed.
+
+    A merge reads the latest version and writes the next one, so the files being read are
+    never touched and earlier versions stay readable.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path.rstrip("/")
+
+    @classmethod
+    def scratch(cls, spark: SparkSession, label: str) -> SnapshotTable:
+        return cls(spark, scratch_path(spark, label))
+
+    def versions(self) -> list[int]:
+        marks = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v=*/_SUCCESS")
+        files = marks.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(marks) or []
+        return sorted(int(re.search(r"v=(\d+)/_SUCCESS", str(f.getPath())).group(1)) for f in files)
+
+    def latest(self) -> int:
+        known = self.versions()
+        if not known:
+            raise ValueError(f"no version written yet: {self.path}")
+        return known[-1]
+
+    def read(self, version: int | None = None) -> DataFrame:
+        known = self.versions()
+        wanted = known[-1] if version is None and known else version
+        if wanted not in known:
+            raise ValueError(f"version {version} of {self.path} is not among {known}")
+        return self.spark.read.parquet(f"{self.path}/v={wanted}")
+
+    def write(self, df: DataFrame, operation: str, metrics: DataFrame | None = None) -> int:
+        """Write the next version and its history row; a half-written leftover is replaced."""
+        known = self.versions()
+        number = known[-1] + 1 if known else 0
+        df.write.mode("overwrite").parquet(f"{self.path}/v={number}")
+        stored = self.spark.read.parquet(f"{self.path}/v={number}")
+        row = stored.agg(
+            F.lit(number).cast("bigint").alias("version"),
+            F.lit(operation).alias("operation"),
+            F.count(F.lit(1)).alias("output_rows"),
+        )
+        if metrics is None:
+            row = row.select("*", F.lit(None).cast("string").alias("metrics"))
+        else:
+            row = row.select("*", metrics.select(F.to_json(F.struct("*"))).scalar().alias("metrics"))
+        row.write.mode("overwrite").parquet(f"{self.path}/_history/h={number}")
+        return number
+
+    def history(self) -> DataFrame:
+        rows = [f"{self.path}/_history/h={n}" for n in self.versions()]
+        return self.spark.read.parquet(*rows)
+
+    def diff(self, key: str, before: int, after: int) -> DataFrame:
+        """Rows in both versions, their difference, and keys only the later one has."""
+        old, new = self.read(before), self.read(after)
+        added = new.join(old.select(key), key, "left_anti")
+        return new.agg(F.count(F.lit(1)).alias("rows_after")).select(
+            old.agg(F.count(F.lit(1))).scalar().alias("rows_before"),
+            "rows_after",
+            added.agg(F.count(F.lit(1))).scalar().alias("keys_added"),
+        ).withColumn("row_delta", F.col("rows_after") - F.col("rows_before"))
+
+
+def store_below(spark: SparkSession, root: str):
+    """A ``store(name, df)`` that writes Parquet below ``root`` and returns it read back."""
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        path = f"{root.rstrip('/')}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+    return store
