@@ -135,13 +135,16 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def most_frequent(df: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
+def most_frequent(df: DataFrame, key: str, values: Sequence[str], weight: str | None = None) -> DataFrame:
     """The most frequent combination of ``values`` per key, the smallest one on a tie.
 
+    Rows that already stand for several count by their ``weight``.
+
     Two aggregations with partial sums: a key with very many rows shrinks to its distinct
     combinations before they meet.
     """
     combo = F.struct(*values)
-    counts = df.groupBy(key, *values).agg(F.count(F.lit(1)).alias("_n"))
+    size = F.sum(weight) if weight else F.count(F.lit(1))
+    counts = df.groupBy(key, *values).agg(size.alias("_n"))
     best = counts.groupBy(key).agg(F.min_by(combo, F.struct(-F.col("_n"), combo)).alias("_best"))
     return best.select(key, *[F.col(f"_best.{name}").alias(name) for name in values])

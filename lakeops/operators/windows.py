@@ -170,6 +170,7 @@ def top_by_rank(df: DataFrame, k: int, order: str, out: str) -> DataFrame:
     return kept.join(F.broadcast(levels), F.col(name) == F.col("_level")).drop("_level")
 
 
-def surrogate_keys(df: DataFrame, order: Sequence[str], out: str, start: int = 0) -> DataFrame:
+def surrogate_keys(df: DataFrame, order: Sequence[str], out: str, start: int | Column = 0) -> DataFrame:
     """Dense keys ``start + 1 ..`` in the given order."""
-    return ordered_window(df, order, row_number="_r").withColumn(out, F.col("_r") + F.lit(start)).drop("_r")
+    first = start if isinstance(start, Column) else F.lit(start)
+    return ordered_window(df, order, row_number="_r").withColumn(out, F.col("_r") + first).drop("_r")
