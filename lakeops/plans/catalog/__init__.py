@@ -1,3 +1,12 @@
 """All registered queries; importing this package fills the registry."""
 
-from lakeops.plans.catalog import dimension, orderlines, projections, quality, relations, retail  # noqa: F401
+from lakeops.plans.catalog import (  # noqa: F401
+    dimension,
+    medallion,
+    orderlines,
+    projections,
+    quality,
+    relations,
+    retail,
+    sources,
+)

@@ -5,10 +5,9 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 
 def read_csv(
@@ -39,9 +38,11 @@ def read_csv(
     return reader.csv(path)
 
 
-def read_json_array(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """Files that hold one JSON array of flat objects each."""
-    reader = spark.read.option("multiLine", True)
+def read_json_array(
+    spark: SparkSession, path: str, schema: str | None = None, recursive: bool = False
+) -> DataFrame:
+    """Files that hold one JSON array of flat objects each; one file is one task."""
+    reader = spark.read.option("multiLine", True).option("recursiveFileLookup", recursive)
     return (reader.schema(schema) if schema else reader).json(path)
 
 
@@ -77,24 +78,31 @@ def resolve_column(df: DataFrame, *candidates: str) -> Column:
     raise ValueError(f"none of {list(candidates)} among {df.columns}")
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+def csv_options(writer: DataFrameWriter) -> DataFrameWriter:
+    """Header, doubled quotes, and spaces at the ends of values kept as they are."""
+    return (
+        writer.option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+    )
 
 
-def _available(spark: SparkSession, fmt: str) -> bool:
-    """Whether the session can load a data source of this name."""
-    try:
-        spark.read.format(fmt).load([])
-    except AnalysisException as error:
-        return error.getCondition() != "DATA_SOURCE_NOT_FOUND"
-    except Exception as error:  # the provider lookup itself fails on the JVM side
-        return "DATA_SOURCE_NOT_FOUND" not in str(error) and "ClassNotFound" not in str(error)
-    return True
+def write_csv(df: DataFrame, path: str) -> None:
+    csv_options(df.write.mode("overwrite")).csv(path)
 
 
 def table_format(spark: SparkSession, wanted: str) -> str:
-    """The wanted table format, or Parquet where the session does not have it."""
-    return wanted if _available(spark, wanted) else "parquet"
+    """The wanted table format, or Parquet where the session does not have it.
+
+    Only a missing format falls back; any other failure of a write stays visible.
+    """
+    try:
+        spark.read.format(wanted).load([])
+    except Exception as error:  # no path is given, so every format raises; only the reason matters
+        if "DATA_SOURCE_NOT_FOUND" in str(error) or "ClassNotFound" in str(error):
+            return "parquet"
+    return wanted
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "delta") -> None:
