@@ -1,4 +1,9 @@
-"""Money in decimals, percentages, value bands, change hashes."""
+"""Money, percentages, value bands, change hashes.
+
+Facts carry money as whole cents in a BIGINT: sums are exact, do not depend on the order of
+the rows, and stay in primitive arithmetic, where a DECIMAL sum past 18 digits would build an
+object per row. Results turn into amounts once, on the finished groups.
+"""
 
 from __future__ import annotations
 
@@ -13,6 +18,11 @@ LOYALTY_TIERS = [(5000, "PLATINUM"), (2500, "GOLD"), (1000, "SILVER")]
 LOWEST_TIER = "BRONZE"
 
 
+def amount(cents: Column) -> Column:
+    """Cents as a currency amount."""
+    return cents.cast("double") / 100
+
+
 def as_double(amount: Column) -> Column:
     return amount.cast("double")
 

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 # Texts that stand for "no value", compared without case.
 NULL_TOKENS = ["", "null", "none", "nan", "na", "n/a", "-"]
 
+# Fixed value: the characters that count as whitespace.
+SPACES = " \t\n\x0b\f\r"
+
 # Fixed value: one @, no spaces, and a dotted domain.
 EMAIL_PATTERN = r"^[^@\s]+@[^@\s.]+(\.[^@\s.]+)+$"
 
@@ -22,9 +25,13 @@ def tidy(text: Column) -> Column:
 
 
 def blank_to_null(text: Column) -> Column:
-    """Tidy, then turn the null tokens into null."""
-    clean = tidy(text)
-    return F.when(~F.lower(clean).isin(NULL_TOKENS), clean)
+    """Tidy, then turn the null tokens into null.
+
+    No token holds a space, so trimming is enough to tell one, and the pattern is only run
+    on texts that stay.
+    """
+    bare = F.trim(text, F.lit(SPACES))
+    return F.when(~F.lower(bare).isin(NULL_TOKENS), F.regexp_replace(bare, r"\s+", " "))
 
 
 def empty_to_null(text: Column) -> Column:

@@ -1,6 +1,6 @@
 """The test tables seen as the retail model: customers, products, orders, items, order lines.
 
-Columns the test data lacks (guest orders, returns, statuses, profit) are derived from key
+Money is in whole cents here. Columns the test data lacks (guest orders, returns, statuses, profit) are derived from key
 arithmetic, so the same rows come out wherever the expression runs. ``binding_sql`` states
 the same views as SQL.
 """
@@ -29,6 +29,16 @@ SHIP_MODE = (
 )
 
 
+def cents(price: str) -> str:
+    """A non-negative price in whole cents."""
+    return f"CAST({price} * 100 + 0.5 AS BIGINT)"
+
+
+# (100 - percent) of a price, rounded half up, in integers.
+NET_CENTS = f"({cents('l_extendedprice')} * (100 - {cents('l_discount')}) + 50) div 100"
+LINE_CENTS = f"CASE WHEN l_returnflag = 'R' THEN -({NET_CENTS}) ELSE {NET_CENTS} END"
+
+
 class Tables:
     """One directory of test tables and the views the queries are written against."""
 
@@ -87,7 +97,7 @@ class Tables:
             "l_partkey AS product_id",
             "l_suppkey AS supplier_id",
             "CAST(CASE WHEN l_returnflag = 'R' THEN -l_quantity ELSE l_quantity END AS BIGINT) AS quantity",
-            f"{LINE_REVENUE} AS line_revenue",
+            f"{LINE_CENTS} AS line_revenue",
         )
 
     @cached_property
@@ -109,10 +119,10 @@ class Tables:
             "l_suppkey AS supplier_id",
             "CAST(l_shipdate AS DATE) AS ship_date",
             f"{SHIP_MODE} AS ship_mode",
-            "CAST(l_extendedprice AS DECIMAL(15,2)) AS sales",
+            f"{cents('l_extendedprice')} AS sales",
             "CAST(l_quantity AS BIGINT) AS quantity",
             "CAST(CAST(l_discount AS DECIMAL(4,2)) * 5 AS DECIMAL(4,2)) AS discount",
-            "CAST(l_discount AS DECIMAL(4,2)) AS rebate",
+            f"{NET_CENTS} AS net_sales",
         )
 
     @cached_property
@@ -191,9 +201,7 @@ class Tables:
                 "concat(p_name, ' #', CAST(p_partkey AS STRING)) AS product_name",
                 "p_type AS category",
                 "p_brand AS sub_category",
-                "CAST(p_retailprice AS DECIMAL(12,2)) AS retail",
-            )
-            df = df.join(parts, "product_id").withColumn(
-                "profit", F.expr("CAST(ROUND(sales * (1 - rebate), 2) - retail * quantity AS DECIMAL(18,2))")
+                f"{cents('p_retailprice')} AS retail",
             )
+            df = df.join(parts, "product_id").withColumn("profit", F.expr("net_sales - retail * quantity"))
         return df

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lakeops.functions import money
 from lakeops.operators import windows
 from lakeops.plans import orderlines as lines
+from lakeops.plans.binding import cents
 from lakeops.plans.catalog.retail import avg, pct
 from lakeops.plans.registry import query
 
@@ -28,7 +29,11 @@ def _named(t, df):
     return df.join(names, "customer_id")
 
 
-def _double(*names):
+def _amounts(*names):
+    return [money.amount(F.col(name)).alias(name) for name in names]
+
+
+def _doubles(*names):
     return [money.as_double(F.col(name)).alias(name) for name in names]
 
 
@@ -38,10 +43,10 @@ def _double(*names):
     " WHERE region = 'ASIA' AND sales > 1000 ORDER BY wide_v.sales DESC, order_id, customer_name LIMIT 10",
 )
 def d01(t):
-    found = t.wide("order", "customer", "place").filter((F.col("region") == "ASIA") & (F.col("sales") > 1000))
+    found = t.wide("order", "customer", "place").filter((F.col("region") == "ASIA") & (F.col("sales") > 1000_00))
     best = lines.largest(found.select("order_id", "customer_name", "sales", "region"), 10,
                          ["-sales", "order_id", "customer_name"])
-    return best.select("order_id", "customer_name", *_double("sales"), "region")
+    return best.select("order_id", "customer_name", *_amounts("sales"), "region")
 
 
 @query(
@@ -52,7 +57,7 @@ def d01(t):
 def d02(t):
     in_year = F.col("order_date").between(F.lit("1996-01-01").cast("date"), F.lit("1996-12-31").cast("date"))
     found = t.wide("order", "product").filter((F.col("category") == "PROMO") & in_year)
-    return found.agg(F.count(F.lit(1)).alias("line_count"), money.as_double(F.sum("sales")).alias("total_sales"))
+    return found.agg(F.count(F.lit(1)).alias("line_count"), money.amount(F.sum("sales")).alias("total_sales"))
 
 
 @query(
@@ -67,7 +72,7 @@ def d03(t):
     found = t.wide("order", "customer", "product").filter("discount > 0.3 AND profit < 0")
     cols = ["order_id", "customer_name", "category", "sub_category", "discount", "profit"]
     best = lines.largest(found.select(*cols), 10, ["-discount", "profit", "order_id"])
-    return best.select(*cols[:4], *_double("discount", "profit"))
+    return best.select(*cols[:4], *_doubles("discount"), *_amounts("profit"))
 
 
 TOTALS_SQL = f"""CAST(SUM(sales) AS DOUBLE) AS total_sales, CAST(SUM(quantity) AS BIGINT) AS total_quantity,
@@ -106,7 +111,7 @@ def d07(t):
     totals = t.wide_items.groupBy("product_id").agg(F.sum("sales").alias("total_sales"))
     named = totals.join(t.products.select("product_id", "product_name"), "product_id")
     best = lines.largest(named.select("product_name", "total_sales"), 10, ["-total_sales", "product_name"])
-    return best.select("product_name", *_double("total_sales"))
+    return best.select("product_name", *_amounts("total_sales"))
 
 
 @query(
@@ -116,7 +121,7 @@ def d07(t):
 )
 def d08(t):
     totals = t.wide("product").groupBy("sub_category").agg(F.sum("profit").alias("total_profit"))
-    return lines.largest(totals, 10, ["-total_profit", "sub_category"]).select("sub_category", *_double("total_profit"))
+    return lines.largest(totals, 10, ["-total_profit", "sub_category"]).select("sub_category", *_amounts("total_profit"))
 
 
 @query(
@@ -152,7 +157,7 @@ def d10_best(t):
 )
 def d11(t):
     best = lines.largest(_totals(t), 10, ["-total", "customer_id"])
-    return _named(t, best).select("customer_name", money.as_double(F.col("total")).alias("total_spent"), "num_orders")
+    return _named(t, best).select("customer_name", money.amount(F.col("total")).alias("total_spent"), "num_orders")
 
 
 @query(
@@ -161,7 +166,7 @@ def d11(t):
     " (SELECT CAST(SUM(sales) AS DOUBLE) / COUNT(*) FROM wide_v)",
 )
 def d12(t):
-    return lines.above_average_lines(t.wide_items).select("order_id", "line_no", "product_id", *_double("sales"))
+    return lines.above_average_lines(t.wide_items).select("order_id", "line_no", "product_id", *_amounts("sales"))
 
 
 @query(
@@ -171,7 +176,7 @@ def d12(t):
 )
 def d13(t):
     found = _named(t, lines.highest_sale_lines(t.wide_items, _orders(t)))
-    return found.select("customer_id", "customer_name", "order_id", *_double("sales"))
+    return found.select("customer_id", "customer_name", "order_id", *_amounts("sales"))
 
 
 @query(
@@ -180,7 +185,7 @@ def d13(t):
 )
 def d14(t):
     return _named(t, _totals(t)).select(
-        "customer_id", "customer_name", money.as_double(F.col("total")).alias("total_sales")
+        "customer_id", "customer_name", money.amount(F.col("total")).alias("total_sales")
     )
 
 
@@ -191,7 +196,7 @@ def d14(t):
 )
 def d15(t):
     return _named(t, lines.above_average_customers(_totals(t))).select(
-        "customer_id", "customer_name", money.as_double(F.col("total")).alias("total_sales")
+        "customer_id", "customer_name", money.amount(F.col("total")).alias("total_sales")
     )
 
 
@@ -203,7 +208,7 @@ def d15(t):
 def d16(t):
     placed = windows.ranked(_totals(t), ["-total"], rank="sales_rank")
     return _named(t, placed).select(
-        "customer_name", money.as_double(F.col("total")).alias("total_sales"), "sales_rank"
+        "customer_name", money.amount(F.col("total")).alias("total_sales"), "sales_rank"
     )
 
 
@@ -218,7 +223,7 @@ def d16(t):
 def d17(t):
     source = t.wide("order").select("customer_id", "order_id", "line_no", "product_id", "supplier_id", "sales")
     return lines.numbered_lines(source).select(
-        "customer_id", "order_id", "line_no", *_double("sales"), "line_no_in_customer"
+        "customer_id", "order_id", "line_no", *_amounts("sales"), "line_no_in_customer"
     )
 
 
@@ -230,7 +235,7 @@ def d17(t):
 def d18(t):
     best = windows.top_by_rank(_totals(t), 3, "-total", "sales_rank")
     return _named(t, best).select(
-        "customer_name", money.as_double(F.col("total")).alias("total_sales"), "sales_rank"
+        "customer_name", money.amount(F.col("total")).alias("total_sales"), "sales_rank"
     )
 
 
@@ -247,7 +252,7 @@ def d19(t):
     top = lines.largest(totals, 5, ["-total", "customer_id"]).withColumn("side", F.lit("top"))
     bottom = lines.largest(totals, 5, ["total", "customer_id"]).withColumn("side", F.lit("bottom"))
     return _named(t, top.unionByName(bottom)).select(
-        "side", "customer_name", money.as_double(F.col("total")).alias("total_sales")
+        "side", "customer_name", money.amount(F.col("total")).alias("total_sales")
     )
 
 
@@ -271,7 +276,7 @@ def d20(t):
     SELECT customer_name, CAST(MAX(v) AS DOUBLE) AS highest_order_value FROM ov GROUP BY customer_id, customer_name""",
 )
 def d21(t):
-    return _named(t, _totals(t)).select("customer_name", money.as_double(F.col("largest")).alias("highest_order_value"))
+    return _named(t, _totals(t)).select("customer_name", money.amount(F.col("largest")).alias("highest_order_value"))
 
 
 @query(
@@ -294,7 +299,7 @@ def d23(t):
     found = t.wide("order", "customer", "product").filter(
         F.col("discount").between(0.1, 0.3) & (F.col("segment") == "BUILDING")
     )
-    return found.select("customer_name", "category", *_double("sales", "discount"))
+    return found.select("customer_name", "category", *_amounts("sales"), *_doubles("discount"))
 
 
 @query("d23_segment_discount_count", f"SELECT COUNT(*) AS matching_rows FROM ({SEGMENT_ROWS})")
@@ -332,14 +337,14 @@ def d25(t):
 )
 def d26(t):
     source = t.wide_items.select("order_id", "product_id", "line_no", "supplier_id", "sales").withColumn(
-        "paid", F.when(F.col("sales") <= 90000, F.col("sales"))
+        "paid", F.when(F.col("sales") <= 90000_00, F.col("sales"))
     )
     one = lines.keep_one_per(source, ["order_id", "product_id"], ["line_no", "supplier_id", "sales"]).fillna({"paid": 0})
     per_order = one.groupBy("order_id").agg(F.sum("paid").alias("paid"))
     placed = per_order.join(_orders(t), "order_id").join(
         t.places.withColumnRenamed("buyer_id", "customer_id"), "customer_id"
     )
-    return placed.groupBy("state").agg(money.as_double(F.sum("paid")).alias("total_revenue"))
+    return placed.groupBy("state").agg(money.amount(F.sum("paid")).alias("total_revenue"))
 
 
 @query(
@@ -364,7 +369,7 @@ def d27(t):
 def d28(t):
     source = t.raw("lineitem").selectExpr(
         "l_suppkey AS store_id", "l_orderkey", "l_partkey",
-        "CASE WHEN l_orderkey % 13 = 0 THEN NULL ELSE CAST(l_extendedprice AS DECIMAL(15,2)) END AS price",
+        f"CASE WHEN l_orderkey % 13 = 0 THEN NULL ELSE {cents('l_extendedprice')} END AS price",
         "CAST(l_quantity AS BIGINT) AS quantity",
     )
     # Every row lands twice, as after a double load; the copies must not count.
@@ -384,7 +389,7 @@ def d28(t):
 )
 def d29(t):
     return _named(t, lines.spend_tiers(_totals(t))).select(
-        "customer_id", "customer_name", money.as_double(F.col("total")).alias("total_sales"),
+        "customer_id", "customer_name", money.amount(F.col("total")).alias("total_sales"),
         F.col("num_orders").alias("order_count"), "spend_quartile", "customer_tier",
     )
 
@@ -413,7 +418,7 @@ def d31(t):
         "popularity", money.rounded(F.col("rating").cast("double") * F.log1p("ratings_count"), 4)
     )
     best = lines.largest(scored, 10, ["-popularity", "product_id"])
-    return best.select("product_id", "title", "category", *_double("rating"), "ratings_count", "popularity")
+    return best.select("product_id", "title", "category", *_doubles("rating"), "ratings_count", "popularity")
 
 
 @query(

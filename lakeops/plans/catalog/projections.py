@@ -191,7 +191,7 @@ def p18(t):
 )
 def p19(t):
     found = t.wide("product").filter("discount > 0.3 AND profit < 0")
-    return found.select("order_id", "line_no", "product_id", dec("profit", "double").alias("profit"))
+    return found.select("order_id", "line_no", "product_id", money.amount(F.col("profit")).alias("profit"))
 
 
 @query(

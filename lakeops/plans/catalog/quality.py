@@ -616,8 +616,8 @@ def q36(t):
 def q37(t):
     return t.wide("product").agg(
         *[
-            money.as_double(fold(name)).alias(f"{label}_{name}")
-            for name in ("discount", "profit")
+            form(fold(name)).alias(f"{label}_{name}")
+            for name, form in (("discount", money.as_double), ("profit", money.amount))
             for label, fold in (("min", F.min), ("max", F.max))
         ],
         F.count_if(F.col("profit") < 0).alias("loss_lines"),

@@ -311,7 +311,7 @@ def a12(t):
     per_order = t.items.groupBy("order_id").agg(F.sum("line_revenue").alias("v"))
     held = per_order.join(t.orders.filter("customer_id IS NOT NULL"), "order_id")
     return held.groupBy("customer_id").agg(
-        money.as_double(F.max("v")).alias("largest_order"), F.count(F.lit(1)).alias("orders")
+        money.amount(F.max("v")).alias("largest_order"), F.count(F.lit(1)).alias("orders")
     )
 
 
@@ -430,7 +430,7 @@ def a21(t):
     f"SELECT category, {pct('SUM(profit)', 'SUM(sales)', 1)} AS margin_pct FROM wide_v GROUP BY 1",
 )
 def a22(t):
-    margin = money.percent(F.sum("profit"), F.sum("sales"), 1)
+    margin = money.percent(money.amount(F.sum("profit")), money.amount(F.sum("sales")), 1)
     return t.wide("product").groupBy("category").agg(margin.alias("margin_pct"))
 
 

@@ -37,7 +37,7 @@ def r00(t):
     lines = t.order_lines.join(t.products.select("product_id", "product_name", "category"), "product_id")
     return lines.selectExpr(
         "order_id", "line_no", "product_id", "customer_id", "order_day", "status", "product_name", "category",
-        "quantity", "CAST(line_revenue AS DOUBLE) AS line_revenue",
+        "quantity", "CAST(line_revenue AS DOUBLE) / 100 AS line_revenue",
     )
 
 

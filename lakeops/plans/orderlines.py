@@ -1,6 +1,6 @@
 """Questions over order lines: totals, trends, rankings, thresholds, loss audits.
 
-``lines`` carry the line measures and, where a question needs them, the looked-up columns.
+``lines`` carry the line measures (money in cents) and, where a question needs them, the looked-up columns.
 Customer questions take ``lines(order_id, sales, ...)`` and ``orders(order_id, customer_id)``
 apart: the lines are summed per order first, so that one row per order meets the orders.
 """
@@ -15,11 +15,11 @@ from lakeops.operators import windows
 
 
 def _total(name: str) -> Column:
-    return money.as_double(F.sum(name))
+    return money.amount(F.sum(name))
 
 
 def _average(name: str) -> Column:
-    return money.mean(F.sum(name), F.count(name))
+    return money.mean(money.amount(F.sum(name)), F.count(name))
 
 
 def largest(lines: DataFrame, k: int, order: list[str]) -> DataFrame:
@@ -59,8 +59,8 @@ def customer_totals(lines: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def above_average_lines(lines: DataFrame) -> DataFrame:
-    mean = lines.agg(F.sum("sales").cast("double") / F.count("sales")).scalar()
-    return lines.filter(F.col("sales").cast("double") > mean)
+    mean = lines.agg(money.amount(F.sum("sales")) / F.count("sales")).scalar()
+    return lines.filter(money.amount(F.col("sales")) > mean)
 
 
 def highest_sale_lines(lines: DataFrame, orders: DataFrame) -> DataFrame:
@@ -77,8 +77,8 @@ def highest_sale_lines(lines: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def above_average_customers(totals: DataFrame) -> DataFrame:
-    mean = totals.agg(F.sum("total").cast("double") / F.count("total")).scalar()
-    return totals.filter(F.col("total").cast("double") > mean)
+    mean = totals.agg(money.amount(F.sum("total")) / F.count("total")).scalar()
+    return totals.filter(money.amount(F.col("total")) > mean)
 
 
 def spend_tiers(totals: DataFrame) -> DataFrame:
@@ -109,8 +109,8 @@ def overall_statistics(lines: DataFrame) -> DataFrame:
         F.count("sales").alias("orders"),
         _total("sales").alias("total"),
         _average("sales").alias("mean"),
-        money.as_double(F.min("sales")).alias("lowest"),
-        money.as_double(F.max("sales")).alias("highest"),
+        money.amount(F.min("sales")).alias("lowest"),
+        money.amount(F.max("sales")).alias("highest"),
     )
 
 
@@ -138,4 +138,4 @@ def discount_tier_margins(lines: DataFrame) -> DataFrame:
 def store_revenue(lines: DataFrame, store: str) -> DataFrame:
     """Revenue per store after dropping exact copies and counting missing prices as 0."""
     price = F.coalesce("price", F.lit(0))
-    return lines.distinct().groupBy(store).agg(money.as_double(F.sum(price * F.col("quantity"))).alias("total_revenue"))
+    return lines.distinct().groupBy(store).agg(money.amount(F.sum(price * F.col("quantity"))).alias("total_revenue"))

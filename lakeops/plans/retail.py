@@ -1,7 +1,7 @@
 """Business questions over customers, products, orders and order items.
 
 Inputs follow the retail model: ``orders(order_id, customer_id, order_date, order_day, status)``,
-``items(order_id, product_id, line_no, quantity, line_revenue)``, ``products(product_id,
+``items(order_id, product_id, line_no, quantity, line_revenue)`` with the revenue in cents, ``products(product_id,
 product_name, category)``, ``customers(customer_id, customer_name, customer_type,
 registration_date)``. A return is a line with a negative quantity; cancelled orders carry no
 revenue; orders without a customer (guest checkout) count everywhere but in customer results.
@@ -59,7 +59,7 @@ def revenue_per_category(items, orders, products) -> DataFrame:
     return per_order.groupBy("category").agg(
         F.count(F.lit(1)).alias("orders"),
         F.sum("units").alias("net_units"),
-        money.as_double(F.sum("revenue")).alias("total_revenue"),
+        money.amount(F.sum("revenue")).alias("total_revenue"),
     )
 
 
@@ -81,7 +81,7 @@ def top_customers(items, orders, customers, k: int = 10) -> DataFrame:
         .limit(k)
         .select(
             "customer_id", "customer_name", "customer_type", "orders",
-            money.as_double(F.col("revenue")).alias("total_order_value"),
+            money.amount(F.col("revenue")).alias("total_order_value"),
         )
     )
 
@@ -161,8 +161,8 @@ def daily_running_total(items, orders, places) -> DataFrame:
     return totals.select(
         "region_code",
         "order_date",
-        money.as_double(F.col("daily_revenue")).alias("daily_revenue"),
-        money.as_double(F.col("running_total")).alias("running_total"),
+        money.amount(F.col("daily_revenue")).alias("daily_revenue"),
+        money.amount(F.col("running_total")).alias("running_total"),
     )
 
 
@@ -171,7 +171,7 @@ def product_ranks(items, orders, products) -> DataFrame:
     named = totals.join(products.select("product_id", "product_name", "category"), "product_id")
     placed = windows.ranked(named, ["-total"], keys=["category"], dense_rank="rank_in_category")
     return placed.select(
-        "category", "product_name", money.as_double(F.col("total")).alias("total_revenue"), "rank_in_category"
+        "category", "product_name", money.amount(F.col("total")).alias("total_revenue"), "rank_in_category"
     )
 
 
@@ -214,8 +214,8 @@ def monthly_value_bands(items, orders) -> DataFrame:
         .agg(F.sum("revenue").alias("revenue"))
     )
     return (
-        monthly.groupBy("order_month", money.value_band(F.col("revenue")).alias("value_band"))
-        .agg(F.count(F.lit(1)).alias("customers"), money.as_double(F.sum("revenue")).alias("band_revenue"))
+        monthly.groupBy("order_month", money.value_band(money.amount(F.col("revenue"))).alias("value_band"))
+        .agg(F.count(F.lit(1)).alias("customers"), money.amount(F.sum("revenue")).alias("band_revenue"))
     )
 
 
@@ -232,7 +232,7 @@ def customer_quartiles(items, orders, customers) -> DataFrame:
     return placed.join(customers.select("customer_id", "customer_name"), "customer_id").select(
         "customer_id",
         "customer_name",
-        money.as_double(F.col("total")).alias("total_value"),
+        money.amount(F.col("total")).alias("total_value"),
         "quartile",
         label.alias("quartile_label"),
     )
@@ -250,9 +250,9 @@ def year_over_year(items, orders) -> DataFrame:
     return monthly.join(before, ["year", "month"], "left").select(
         F.col("year").cast("bigint").alias("year"),
         F.col("month").cast("bigint").alias("month"),
-        money.as_double(F.col("revenue")).alias("revenue"),
-        money.as_double(F.col("before")).alias("prev_year_revenue"),
-        money.percent(F.col("revenue") - F.col("before"), F.col("before")).alias("yoy_growth_percent"),
+        money.amount(F.col("revenue")).alias("revenue"),
+        money.amount(F.col("before")).alias("prev_year_revenue"),
+        money.percent(money.amount(F.col("revenue") - F.col("before")), money.amount(F.col("before"))).alias("yoy_growth_percent"),
     )
 
 
@@ -299,9 +299,9 @@ def revenue_concentration(items, orders) -> DataFrame:
     return placed.select(
         "customer_id",
         "revenue_rank",
-        money.as_double(F.col("revenue")).alias("revenue"),
-        money.as_double(F.col("cumulative")).alias("cumulative_revenue"),
-        money.percent(F.col("cumulative"), whole).alias("cumulative_percent"),
+        money.amount(F.col("revenue")).alias("revenue"),
+        money.amount(F.col("cumulative")).alias("cumulative_revenue"),
+        money.percent(money.amount(F.col("cumulative")), money.amount(whole)).alias("cumulative_percent"),
         money.percent(F.col("revenue_rank"), people).alias("top_percent_of_customers"),
     )
 
@@ -387,7 +387,7 @@ def period_summary(items, orders, start: date, end: date) -> DataFrame:
     values = order_values(items, _period_orders(orders, start, end))
     return values.agg(
         F.count(F.lit(1)).alias("orders"),
-        money.as_double(F.coalesce(F.sum("revenue"), F.lit(0))).alias("revenue"),
+        money.amount(F.coalesce(F.sum("revenue"), F.lit(0))).alias("revenue"),
         F.countDistinct("customer_id").alias("customers"),
     )
 
@@ -398,7 +398,7 @@ def period_buckets(items, orders, start: date, end: date, grain: str) -> DataFra
     values = order_values(items, _period_orders(orders, start, end))
     return values.groupBy(GRAINS[grain](F.col("order_day")).alias("bucket")).agg(
         F.count(F.lit(1)).alias("orders"),
-        money.as_double(F.sum("revenue")).alias("revenue"),
+        money.amount(F.sum("revenue")).alias("revenue"),
         F.countDistinct("customer_id").alias("customers"),
     )
 
@@ -416,16 +416,16 @@ def period_comparison(items, orders, start: date, end: date) -> DataFrame:
         F.countDistinct(F.when(now, F.col("customer_id"))).alias("customers_now"),
         F.countDistinct(F.when(~now, F.col("customer_id"))).alias("customers_before"),
     )
-    names = ["orders", "revenue", "customers"]
+    forms = {"orders": money.as_double, "revenue": money.amount, "customers": money.as_double}
     rows = F.inline(
         F.array(
             *[
                 F.struct(
                     F.lit(name).alias("metric"),
-                    F.coalesce(money.as_double(F.col(f"{name}_now")), F.lit(0.0)).alias("this_period"),
-                    F.coalesce(money.as_double(F.col(f"{name}_before")), F.lit(0.0)).alias("previous"),
+                    F.coalesce(form(F.col(f"{name}_now")), F.lit(0.0)).alias("this_period"),
+                    F.coalesce(form(F.col(f"{name}_before")), F.lit(0.0)).alias("previous"),
                 )
-                for name in names
+                for name, form in forms.items()
             ]
         )
     )
@@ -443,14 +443,14 @@ def period_top_products(items, orders, products, start: date, end: date, k: int
         .limit(k)
     )
     return best.join(products.select("product_id", "product_name"), "product_id").select(
-        "product_name", "units", money.as_double(F.col("revenue")).alias("revenue")
+        "product_name", "units", money.amount(F.col("revenue")).alias("revenue")
     )
 
 
 def loaded_span(items, orders) -> DataFrame:
     """Net revenue and first and last day of what has been loaded."""
     return order_values(items, orders).agg(
-        money.as_double(F.sum("revenue")).alias("net_revenue"),
+        money.amount(F.sum("revenue")).alias("net_revenue"),
         F.min("order_day").alias("first_day"),
         F.max("order_day").alias("last_day"),
     )
