@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeops.session import written
+
 
 def _fold(df: DataFrame, keys: Sequence[str], pick: Column) -> DataFrame:
     folded = df.groupBy(*keys).agg(pick.alias("_row"))
@@ -23,6 +25,22 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
     return _fold(df, keys, F.min_by(F.struct(*rest), F.struct(*order, *[r for r in rest if r not in order])))
 
 
+def drop_repeats(df: DataFrame, key: str) -> DataFrame:
+    """One row per key, the smallest one where a key repeats; a row without key is dropped.
+
+    Keys that occur more than once are found first, over the key column alone, and written.
+    Rows of all other keys pass through unmoved where the repeated keys are few enough to be
+    broadcast; only repeated rows are compared. Meant for a stored table, which it scans
+    three times.
+    """
+    keyed = df.filter(F.col(key).isNotNull())
+    repeated = written(
+        keyed.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(key), "repeated"
+    )
+    once = keyed.join(repeated, key, "left_anti")
+    return once.unionByName(keep_first(keyed.join(repeated, key, "left_semi"), [key], []))
+
+
 def keep_latest(df: DataFrame, keys: Sequence[str], updated: str) -> DataFrame:
     """The row with the largest ``updated`` per key; a missing time loses, equal times are settled
     by the remaining columns. Exact copies fold into one row on the way."""
@@ -30,32 +48,43 @@ def keep_latest(df: DataFrame, keys: Sequence[str], updated: str) -> DataFrame:
     return _fold(df, keys, F.max_by(F.struct(*rest), F.struct(updated, *[r for r in rest if r != updated])))
 
 
-def spread_nulls(df: DataFrame, key: str) -> Column:
-    """A join key that sends rows with a null key to many tasks; it matches nothing."""
-    return F.coalesce(F.col(key).cast("string"), F.concat(F.lit("\u0000"), F.xxhash64(*df.columns).cast("string")))
+def spread_nulls(key: str, by: str) -> Column:
+    """A join key that sends rows with a null key to many tasks, by another column of theirs.
+
+    The substitute matches nothing.
+    """
+    return F.coalesce(F.col(key).cast("string"), F.concat(F.lit("\u0000"), F.xxhash64(by).cast("string")))
 
 
 def mark_repeats(df: DataFrame, key: str, order: str, out: str) -> DataFrame:
     """True on rows that are not the first of their key. ``order`` must be unique per key.
 
-    Only keys that occur more than once are joined back. A null key is never a repeat.
+    Only keys that occur more than once are joined back. They are few in most feeds, so they
+    are written first: then their true size decides whether the wide rows have to be shuffled
+    at all. A null key is never a repeat.
     """
-    repeated = (
+    repeated = written(
         df.filter(F.col(key).isNotNull())
         .groupBy(F.col(key).cast("string").alias("_key"))
         .agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_n"))
         .filter("_n > 1")
-        .drop("_n")
+        .drop("_n"),
+        "repeated",
     )
-    joined = df.withColumn("_at", spread_nulls(df, key)).join(repeated, F.col("_at") == F.col("_key"), "left")
+    joined = df.withColumn("_at", spread_nulls(key, order)).join(repeated, F.col("_at") == F.col("_key"), "left")
     late = F.coalesce(F.col(order) > F.col("_first"), F.lit(False))
     return joined.withColumn(out, late).drop("_at", "_key", "_first")
 
 
-def mark_missing_parent(df: DataFrame, key: str, parent: DataFrame, parent_key: str, out: str) -> DataFrame:
-    """True on rows whose key is not found in ``parent``; a null key is missing too."""
+def mark_missing_parent(
+    df: DataFrame, key: str, parent: DataFrame, parent_key: str, out: str, by: str
+) -> DataFrame:
+    """True on rows whose key is not found in ``parent``; a null key is missing too.
+
+    Rows with a null key are spread over the tasks by the column ``by``.
+    """
     known = parent.select(F.col(parent_key).cast("string").alias("_known")).filter("_known IS NOT NULL").distinct()
-    joined = df.withColumn("_at", spread_nulls(df, key)).join(known, F.col("_at") == F.col("_known"), "left")
+    joined = df.withColumn("_at", spread_nulls(key, by)).join(known, F.col("_at") == F.col("_known"), "left")
     return joined.withColumn(out, F.col("_known").isNull()).drop("_at", "_known")
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.plans.binding_raw import RAW_VIEWS, TABLES_OF
+from lakeops.session import written
 
 LINE_REVENUE = (
     "CAST(ROUND(CAST(CASE WHEN l_returnflag = 'R' THEN -l_extendedprice ELSE l_extendedprice END"
@@ -45,6 +46,7 @@ class Tables:
     def __init__(self, spark: SparkSession, directory: str):
         self.spark = spark
         self.directory = directory
+        self._landed: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
@@ -149,6 +151,12 @@ class Tables:
             sql = re.sub(rf"(FROM|JOIN) {table}\b", rf"\1 {{{table}}}", sql)
         return self.spark.sql(sql, **sources)
 
+    def landed(self, name: str) -> DataFrame:
+        """A raw view written out once, the way a landed table is read several times by a job."""
+        if name not in self._landed:
+            self._landed[name] = written(self.view(name), name)
+        return self._landed[name]
+
     @cached_property
     def raw_customers(self) -> DataFrame:
         return self.view("raw_customers_v")

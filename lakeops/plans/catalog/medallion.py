@@ -9,7 +9,7 @@ from lakeops.plans import medallion
 from lakeops.plans.catalog.retail import avg, pct
 from lakeops.plans.registry import query
 from lakeops.plans.runner import run_stages
-from lakeops.session import scratch_path
+from lakeops.session import scratch_path, written
 from lakeops.sources import files
 
 LAYERS = """
@@ -55,13 +55,12 @@ def layers(body: str) -> str:
     return f"WITH {LAYERS.strip()}\n{body.strip()}"
 
 
-def feed(t):
-    return {
-        "raw_orders": t.view("feed_orders_v"),
-        "raw_order_items": t.view("feed_items_v"),
-        "raw_customers": t.view("feed_customers_v"),
-        "raw_delivery_logs": t.view("feed_deliveries_v"),
-    }
+FEED_VIEWS = {
+    "raw_orders": "feed_orders_v",
+    "raw_order_items": "feed_items_v",
+    "raw_customers": "feed_customers_v",
+    "raw_delivery_logs": "feed_deliveries_v",
+}
 
 
 def doubles(df, *names):
@@ -71,7 +70,7 @@ def doubles(df, *names):
 def land(t) -> str:
     """Write the feed as files, the way a source system drops them, and return the folder."""
     root = scratch_path(t.spark, "landing")
-    tables = feed(t)
+    tables = {name: t.view(view) for name, view in FEED_VIEWS.items()}
     by_city = tables["raw_orders"].withColumn("part", F.trim("city"))
     files.csv_options(by_city.write.partitionBy("part")).csv(f"{root}/orders")
     files.csv_options(tables["raw_order_items"].write).csv(f"{root}/order_items")
@@ -118,12 +117,21 @@ def g01(t):
     ),
 )
 def g02(t):
-    items = medallion.silver_order_items(t.view("feed_items_v"))
+    items = medallion.silver_order_items(t.landed("feed_items_v"))
     return doubles(items, "unit_price", "discount_pct", "net_price", "discount_amount")
 
 
-def _silver(t):
-    return medallion.silver(feed(t))
+def _orders(t):
+    items = medallion.silver_order_items(t.landed("feed_items_v"))
+    return medallion.silver_orders(t.landed("feed_orders_v"), items)
+
+
+def _customers(t):
+    return medallion.silver_customers(t.landed("feed_customers_v"))
+
+
+def _deliveries(t):
+    return medallion.silver_deliveries(t.landed("feed_deliveries_v"))
 
 
 @query(
@@ -134,17 +142,17 @@ def _silver(t):
     ),
 )
 def g03(t):
-    return doubles(_silver(t)["orders"], "order_total", "total_discount")
+    return doubles(_orders(t), "order_total", "total_discount")
 
 
 @query("g04_silver_customers", layers("SELECT * FROM sc"))
 def g04(t):
-    return _silver(t)["customers"]
+    return _customers(t)
 
 
 @query("g05_silver_delivery_logs", layers("SELECT * FROM sd"))
 def g05(t):
-    return _silver(t)["delivery_logs"]
+    return _deliveries(t)
 
 
 DAILY = layers(
@@ -154,7 +162,7 @@ DAILY = layers(
 
 @query("g06_daily_revenue_by_city", DAILY)
 def g06(t):
-    return doubles(medallion.daily_revenue_by_city(_silver(t)["orders"]), "total_revenue", "avg_basket_size")
+    return doubles(medallion.daily_revenue_by_city(_orders(t)), "total_revenue", "avg_basket_size")
 
 
 RATE = pct("returned_units", "CASE WHEN total_units_sold = 0 THEN 1 ELSE total_units_sold END")
@@ -162,8 +170,8 @@ RATE = pct("returned_units", "CASE WHEN total_units_sold = 0 THEN 1 ELSE total_u
 
 @query("g07_product_return_summary", layers(f"SELECT *, {RATE} AS return_rate_pct FROM gp"))
 def g07(t):
-    tables = _silver(t)
-    return medallion.product_return_summary(tables["order_items"], tables["orders"])
+    items = written(medallion.silver_order_items(t.landed("feed_items_v")), "silver-items")
+    return medallion.product_return_summary(items, medallion.silver_orders(t.landed("feed_orders_v"), items))
 
 
 ZONES = f"""
@@ -174,7 +182,7 @@ ZONES = f"""
 
 @query("g08_delivery_zone_performance", layers(ZONES))
 def g08(t):
-    return medallion.delivery_zone_performance(_silver(t)["delivery_logs"])
+    return medallion.delivery_zone_performance(_deliveries(t))
 
 
 SUMMARY = f"""
@@ -185,14 +193,13 @@ SUMMARY = f"""
 
 @query("g09_customer_summary", layers(SUMMARY))
 def g09(t):
-    tables = _silver(t)
-    summary = medallion.customer_summary(tables["customers"], tables["orders"])
+    summary = medallion.customer_summary(_customers(t), _orders(t))
     return doubles(summary, "total_spend", "avg_order_value")
 
 
 @query("g10_serve_daily_revenue", DAILY)
 def g10_daily(t):
-    served = medallion.serve("daily_revenue_by_city", medallion.daily_revenue_by_city(_silver(t)["orders"]))
+    served = medallion.serve("daily_revenue_by_city", medallion.daily_revenue_by_city(_orders(t)))
     return doubles(served, "total_revenue", "avg_basket_size")
 
 

@@ -87,16 +87,16 @@ CLAMPED = "least(greatest(COALESCE(disc, 0), 0), 100)"
 
 
 def _products(t) -> Judged:
-    return cleaning.clean_products(t.raw_products)
+    return cleaning.clean_products(t.landed("raw_products_v"))
 
 
 def _orders(t) -> Judged:
-    return cleaning.clean_orders(t.raw_orders)
+    return cleaning.clean_orders(t.landed("raw_orders_v"))
 
 
 def _items(t) -> Judged:
     return cleaning.clean_order_items(
-        t.raw_items, _orders(t).clean.select("order_id"), _products(t).clean.select("product_id")
+        t.landed("raw_items_v"), _orders(t).clean.select("order_id"), _products(t).clean.select("product_id")
     )
 
 
@@ -304,7 +304,7 @@ def q17(t):
 
 @query("q18_invalid_emails", judged(f"SELECT id AS customer_id FROM cj WHERE reason IS NULL AND NOT {mail_ok('mail')}"))
 def q18(t):
-    return cleaning.invalid_emails(cleaning.clean_customers(t.raw_customers).clean)
+    return cleaning.invalid_emails(cleaning.clean_customers(t.landed("raw_customers_v")).clean)
 
 
 @query(
@@ -323,7 +323,7 @@ def q19(t):
     ),
 )
 def q20(t):
-    found = cleaning.unknown_customers(_orders(t).clean, cleaning.clean_customers(t.raw_customers).clean)
+    found = cleaning.unknown_customers(_orders(t).clean, cleaning.clean_customers(t.landed("raw_customers_v")).clean)
     return found.agg(F.count(F.lit(1)).alias("unknown_orders"))
 
 
@@ -433,10 +433,11 @@ def q28(t):
     return _items(t).issues()
 
 
+RAW_NAMES = {"customers": "customers", "products": "products", "orders": "orders", "order_items": "items"}
+
+
 def _clean_all(t):
-    raw = {
-        "customers": t.raw_customers, "products": t.raw_products, "orders": t.raw_orders, "order_items": t.raw_items,
-    }
+    raw = {name: t.landed(f"raw_{view}_v") for name, view in RAW_NAMES.items()}
     return cleaning.clean_all(raw, store_below(t.spark, scratch_path(t.spark, "clean")))
 
 
@@ -503,7 +504,7 @@ def q29_clean(t):
     ),
 )
 def q30(t):
-    parts = [cleaning.clean_customers(t.raw_customers), _products(t), _orders(t), _items(t)]
+    parts = [cleaning.clean_customers(t.landed("raw_customers_v")), _products(t), _orders(t), _items(t)]
     counts = parts[0].row_counts()
     for part in parts[1:]:
         counts = counts.unionByName(part.row_counts())
@@ -645,7 +646,7 @@ def q38(t):
     ),
 )
 def q39_customers(t):
-    return cleaning.published(cleaning.clean_customers(t.raw_customers))
+    return cleaning.published(cleaning.clean_customers(t.landed("raw_customers_v")))
 
 
 @query(

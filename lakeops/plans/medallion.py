@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.functions import dates, money
-from lakeops.operators.dedupe import keep_first
+from lakeops.operators.dedupe import drop_repeats
 from lakeops.sources import files
 
 RAW_TABLES = ["orders", "order_items", "customers", "delivery_logs"]
@@ -31,11 +31,6 @@ def bronze(spark: SparkSession, raw_root: str) -> dict[str, DataFrame]:
 # --- silver --------------------------------------------------------------------------------
 
 
-def _kept(raw: DataFrame, key: str) -> DataFrame:
-    """Rows with a key, one per key; the smallest row where a key repeats."""
-    return keep_first(raw.filter(F.col(key).isNotNull()), [key], [])
-
-
 def _stamp(raw: DataFrame) -> list[str]:
     return [INGESTED] if INGESTED in raw.columns else []
 
@@ -50,7 +45,7 @@ def _code(name: str) -> Column:
 
 def silver_order_items(raw: DataFrame) -> DataFrame:
     rate = files.resolve_column(raw, "discount_pct", "discount")
-    typed = _kept(raw, "item_id").select(
+    typed = drop_repeats(raw, "item_id").select(
         "item_id", "order_id", "product_id", "product_name", "category",
         F.col("qty").try_cast("int").alias("qty"),
         F.col("unit_price").try_cast("decimal(10,2)").alias("unit_price"),
@@ -70,7 +65,7 @@ def silver_orders(raw: DataFrame, items: DataFrame) -> DataFrame:
     )
     zero = F.lit(0)
     return (
-        _kept(raw, "order_id")
+        drop_repeats(raw, "order_id")
         .join(totals, "order_id", "left")
         .select(
             "order_id", "customer_id", _moment("order_date"),
@@ -86,7 +81,7 @@ def silver_orders(raw: DataFrame, items: DataFrame) -> DataFrame:
 
 def silver_customers(raw: DataFrame) -> DataFrame:
     """Personal data leaves only as hashes."""
-    return _kept(raw, "customer_id").select(
+    return drop_repeats(raw, "customer_id").select(
         "customer_id",
         F.trim("name").alias("name"),
         money.hashed_email(F.col("email")).alias("email_hash"),
@@ -100,7 +95,7 @@ def silver_customers(raw: DataFrame) -> DataFrame:
 
 def silver_deliveries(raw: DataFrame) -> DataFrame:
     distance = files.resolve_column(raw, "distance_km", "dist_km")
-    typed = _kept(raw, "delivery_id").select(
+    typed = drop_repeats(raw, "delivery_id").select(
         "delivery_id", "order_id", "rider_id", _moment("pickup_time"), _moment("delivery_time"),
         F.trim("zone").alias("zone"),
         distance.try_cast("double").alias("dist_km"),

@@ -15,6 +15,8 @@ SQL_SETTINGS = {
     # A hot join key is split over several tasks, also where that costs one more shuffle.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Where every partition of one side turns out this small, hash it and do not sort the other.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
 }
 
 
@@ -61,6 +63,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/lakeops/{label}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table on shared storage, read back.
+
+    The files tell the planner the true size, so a join broadcasts the table where that is
+    below the broadcast threshold, and shuffles it where it is not.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stable(df: DataFrame) -> DataFrame:
     """Materialise ``df`` on shared storage so that several passes read the same rows.
 

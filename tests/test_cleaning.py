@@ -163,7 +163,7 @@ def test_many_null_keys_match_nothing(spark):
     df = spark.range(50).select(F.lit(None).cast("string").alias("k"), F.col("id").alias("seq"))
     assert dedupe.mark_repeats(df, "k", "seq", "again").filter("again").count() == 0
     parent = spark.createDataFrame([("a",), (None,)], "p string")
-    assert dedupe.mark_missing_parent(df, "k", parent, "p", "lost").filter("lost").count() == 50
+    assert dedupe.mark_missing_parent(df, "k", parent, "p", "lost", by="seq").filter("lost").count() == 50
 
 
 def test_dimension_keeps_the_latest_and_fills_gaps(spark):
