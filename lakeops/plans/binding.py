@@ -154,7 +154,8 @@ class Tables:
     def landed(self, name: str) -> DataFrame:
         """A raw view written out once, the way a landed table is read several times by a job."""
         if name not in self._landed:
-            self._landed[name] = written(self.view(name), name)
+            # A test table may come as a single row group; its landed form can be read by many tasks.
+            self._landed[name] = written(self.view(name), name, row_group_bytes=4 << 20)
         return self._landed[name]
 
     @cached_property

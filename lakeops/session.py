@@ -63,14 +63,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/lakeops/{label}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, row_group_bytes: int | None = None) -> DataFrame:
     """``df`` as a table on shared storage, read back.
 
+    Smaller row groups let more tasks read one file.
+
     The files tell the planner the true size, so a join broadcasts the table where that is
     below the broadcast threshold, and shuffles it where it is not.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    writer = df.write
+    if row_group_bytes:
+        writer = writer.option("parquet.block.size", row_group_bytes)
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
