@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.functions import dates, money
@@ -148,21 +148,24 @@ def return_rates(items, products) -> DataFrame:
 
 
 def daily_running_total(items, orders, places) -> DataFrame:
-    """Daily revenue per region and its running sum; the window sees one row per region and day."""
+    """Daily revenue per region and its running sum.
+
+    The window sees one row per region and day, so a partition is as long as the calendar.
+    """
     by_buyer = order_values(items, orders).groupBy("buyer_id", "order_day").agg(F.sum("revenue").alias("revenue"))
     daily = (
         by_buyer.join(places.select("buyer_id", F.col("region").alias("region_code")), "buyer_id")
         .groupBy("region_code", F.col("order_day").alias("order_date"))
         .agg(F.sum("revenue").alias("daily_revenue"))
     )
-    totals = windows.ordered_window(
-        daily, ["order_date"], keys=["region_code"], running={"running_total": "daily_revenue"}
+    so_far = Window.partitionBy("region_code").orderBy("order_date").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
-    return totals.select(
+    return daily.select(
         "region_code",
         "order_date",
         money.amount(F.col("daily_revenue")).alias("daily_revenue"),
-        money.amount(F.col("running_total")).alias("running_total"),
+        money.amount(F.sum("daily_revenue").over(so_far)).alias("running_total"),
     )
 
 
@@ -350,9 +353,10 @@ def bought_together(items, orders, products, top: int = 50, large: int = 200) ->
         .join(names.toDF("item_b", "product_b"), "item_b")
     )
     best = named.orderBy(F.col("times").desc(), "product_a", "product_b").limit(top)
-    # Every larger count lies inside the top rows, so ranking these rows alone is exact.
-    return windows.ranked(best, ["-times"], dense_rank="pair_rank").select(
-        "product_a", "product_b", F.col("times").alias("times_bought_together"), "pair_rank"
+    # Every larger count lies inside the top rows, so ranking these few rows alone is exact.
+    place = F.dense_rank().over(Window.orderBy(F.col("times").desc()))
+    return best.select(
+        "product_a", "product_b", F.col("times").alias("times_bought_together"), place.cast("bigint").alias("pair_rank")
     )
 
 
