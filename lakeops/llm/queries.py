@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakeops.llm import secret_scan, token_counts
+from lakeops.llm import packing, secret_scan, sharding, token_counts
 from lakeops.session import scratch_path, tune
 
 QUERIES = {}
@@ -39,3 +40,21 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     counts = token_counts.count_tokens(docs, path, scratch_path(spark, "token-cache"))
     return counts.selectExpr("doc_id", "n_bytes", "n_tokens", "n_tokens > 2048 AS over_limit")
+
+
+@query("op4_sharding")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.kd_shards(table(spark, sf_dir, "documents"), shards=40).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        F.col("slot").cast("bigint").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query("op8_best_fit_packing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
