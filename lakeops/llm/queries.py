@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import packing, secret_scan, sharding, token_counts
+from lakeops.llm import language, packing, secret_scan, sharding, token_counts
 from lakeops.session import scratch_path, tune
 
 QUERIES = {}
@@ -58,3 +58,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_best_fit_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op6_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
+    model = language.learn(docs.filter(~held_out))
+    return language.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
