@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import language, packing, secret_scan, sharding, token_counts
+from lakeops.llm import decontamination, language, packing, secret_scan, sharding, token_counts
 from lakeops.session import scratch_path, tune
 
 QUERIES = {}
@@ -66,3 +66,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
     model = language.learn(docs.filter(~held_out))
     return language.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op5_benchmark_decontamination")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
