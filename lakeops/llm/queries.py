@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import decontamination, language, packing, secret_scan, sharding, token_counts
+from lakeops.llm import decontamination, language, near_duplicates, packing, secret_scan, sharding, token_counts
 from lakeops.session import scratch_path, tune
 
 QUERIES = {}
@@ -71,3 +71,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_benchmark_decontamination")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op3_minhash_near_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicate_classes(table(spark, sf_dir, "documents"))

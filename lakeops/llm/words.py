@@ -40,10 +40,10 @@ def _power_tables(size: int) -> list[np.ndarray]:
 
 
 def blocks(texts: list[str | None], chars: int = BLOCK_CHARS) -> Iterator[tuple[int, int]]:
-    """Cut a list of texts into ranges of about ``chars`` characters; a longer text is a range of its own."""
+    """Cut a list of texts into ranges of about ``chars`` characters, 32 more each; a longer text is a range of its own."""
     start, size = 0, 0
     for place, text in enumerate(texts):
-        length = len(text or "")
+        length = len(text or "") + 32
         if place > start and size + length > chars:
             yield start, place
             start, size = place, 0
