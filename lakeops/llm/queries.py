@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import decontamination, language, near_duplicates, packing, secret_scan, sharding, token_counts
+from lakeops.llm import decontamination, language, near_duplicates, packing, secret_scan, sharding, spot_signatures, token_counts
 from lakeops.session import scratch_path, tune
 
 QUERIES = {}
@@ -76,3 +76,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_minhash_near_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicate_classes(table(spark, sf_dir, "documents"))
+
+
+@query("op9_spot_signatures")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spot_signatures.fingerprint_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
