@@ -6,9 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import decontamination, language, near_duplicates, packing, secret_scan, sharding, spot_signatures, token_counts
+from lakeops.llm import decontamination, language, near_duplicates, packing, secret_scan, sharding, spot_signatures, surrogates, token_counts
 from lakeops.session import scratch_path, tune
 
+#: The key that surrogates depend on. A real run gets its own from its secret store.
+SURROGATE_KEY = "test tables"
+
 QUERIES = {}
 ORACLE_SQL: dict[str, str] = {}
 
@@ -81,3 +84,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_spot_signatures")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spot_signatures.fingerprint_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op10_pii_surrogates")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replacement_report(table(spark, sf_dir, "documents"), SURROGATE_KEY)

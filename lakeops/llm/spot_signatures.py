@@ -132,8 +132,8 @@ def like_classes(prints: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     n = F.size("signatures")
     part = F.floor(F.log(n.cast("double")) / -math.log(threshold)).cast("bigint")
     first = F.slice("signatures", F.lit(1), (n - F.ceil(n * threshold - 1e-9) + 1).cast("int"))
-    probes = [F.transform(first, lambda s, k=k: F.xxhash64(s, part + k)) for k in (0, 1)]
-    pairs = written(candidate_pairs(sets.select("id", F.concat(*probes).alias("bands"))), "signature-pairs")
+    probes = F.concat(F.transform(first, lambda s: F.xxhash64(s, part)), F.transform(first, lambda s: F.xxhash64(s, part + 1)))
+    pairs = written(candidate_pairs(sets.select("id", probes.alias("bands"))), "signature-pairs")
     sides = [sets.select(F.col("id").alias(s), F.col("signatures").alias(f"{s}_sigs")) for s in "ab"]
     sizes = (F.size("a_sigs"), F.size("b_sigs"))
     similar = (F.least(*sizes) >= F.greatest(*sizes) * threshold) & (likeness(F.col("a_sigs"), F.col("b_sigs")) >= threshold)
