@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import decontamination, language, near_duplicates, packing, secret_scan, sharding, spot_signatures, surrogates, token_counts
+from lakeops.llm import (
+    decontamination,
+    language,
+    near_duplicates,
+    packing,
+    quotations,
+    secret_scan,
+    sharding,
+    spot_signatures,
+    surrogates,
+    token_counts,
+)
 from lakeops.session import scratch_path, tune
 
 #: The key that surrogates depend on. A real run gets its own from its secret store.
@@ -89,3 +100,43 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_pii_surrogates")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.replacement_report(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+
+
+OP2_SQL = """
+WITH one AS (
+    SELECT conv_id, turn, regexp_replace(min(coalesce(text, '')), '^\\s+|\\s+$', '', 'g') AS text
+    FROM conversations GROUP BY conv_id, turn
+), linked AS (
+    SELECT a.conv_id, a.turn, a.text, b.turn AS reply_turn,
+           CASE WHEN b.turn IS NULL THEN 0 WHEN c.turn IS NULL THEN 1 ELSE 2 END AS n_linked
+    FROM one a
+    LEFT JOIN one b ON b.conv_id = a.conv_id AND b.turn = a.turn - 1 AND b.text <> ''
+    LEFT JOIN one c ON c.conv_id = a.conv_id AND c.turn = a.turn - 2 AND c.text <> ''
+), rooted AS (
+    SELECT *, max(CASE WHEN reply_turn IS NULL THEN turn END)
+              OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS root_turn
+    FROM linked
+)
+SELECT conv_id, turn, reply_turn, root_turn, turn - root_turn AS depth, turn - root_turn + 1 AS position,
+       CAST(n_linked AS BIGINT) AS n_linked, text
+FROM rooted
+"""
+
+
+@query("op2_quotation_linking", OP2_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = quotations.quoting_messages(table(spark, sf_dir, "conversations"))
+
+    def turn(column: str):
+        return F.substring_index(column, ":", -1).cast("bigint")
+
+    return quotations.reply_ordered(messages).select(
+        F.col("thread").alias("conv_id"),
+        F.col("sent").alias("turn"),
+        turn("reply_to").alias("reply_turn"),
+        turn("root").alias("root_turn"),
+        F.col("depth").cast("bigint").alias("depth"),
+        F.col("position").cast("bigint").alias("position"),
+        "n_linked",
+        F.col("own").alias("text"),
+    )
