@@ -157,3 +157,25 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(key, "text").mapInArrow(_decide(shared, key), f"`{key}` {kind}, lang_pred string, score double")
+
+
+def _keep(shared, least: float, place: int):
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            texts = batch.column(place).to_pylist()
+            kept = []
+            for start, stop in blocks(texts):
+                part = texts[start:stop]
+                best = model.shares(part).max(axis=1) if model.languages else np.zeros(len(part))
+                kept += [bool(s >= least and any(map(str.isalpha, t or ""))) for s, t in zip(best, part, strict=True)]
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return keep
+
+
+def keep_known(docs: DataFrame, model: Model, least: float) -> DataFrame:
+    """The rows of ``docs`` in a language the model knows, with all columns: what ``predict`` calls ``und`` goes, and what
+    scores less than ``least``. Each row is judged by its own text alone, so ids may repeat or be null."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return docs.mapInArrow(_keep(shared, least, docs.columns.index("text")), docs.schema)
