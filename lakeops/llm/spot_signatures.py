@@ -37,13 +37,12 @@ def signatures(text: Column) -> Column:
     signature, made of all its words, so it is like no text but those of the same words.
     """
 
-    def chain(tokens: Column, place: Column) -> Column:
-        following = F.filter(F.slice(tokens, place + 1, REACH), lambda w: ~w.isin(ANCHORS))
-        return F.when(F.size(following) >= CHAIN, F.xxhash64(F.get(tokens, place - 1), F.slice(following, 1, CHAIN)))
+    def chain(tokens: Column, anchor: Column, place: Column) -> Column:
+        following = F.filter(F.slice(tokens, place + 2, REACH), lambda w: ~w.isin(ANCHORS))
+        return F.when(F.size(following) >= CHAIN, F.xxhash64(anchor, F.slice(following, 1, CHAIN)))
 
     def of(tokens: Column) -> Column:
-        anchored = F.filter(F.sequence(F.lit(1), F.greatest(F.size(tokens), F.lit(1))), lambda i: F.get(tokens, i - 1).isin(ANCHORS))
-        found = F.array_compact(F.transform(anchored, lambda i: chain(tokens, i)))
+        found = F.array_compact(F.transform(tokens, lambda word, i: F.when(word.isin(ANCHORS), chain(tokens, word, i))))
         return F.when(F.size(found) > 0, F.array_sort(F.array_distinct(found))).otherwise(F.array(F.xxhash64(tokens)))
 
     # A lambda's variable holds the words, so that they are cut once and not once per use.
@@ -88,9 +87,11 @@ def _with_next(docs: DataFrame) -> DataFrame:
         F.col("before_mark").alias("mark"),
         F.col("text").substr(F.lit(1), F.floor(F.col("before_n") / 2).cast("int")).alias("head"),
         signatures(F.col("text")).alias("next_signatures"),
+        F.col("doc_id").alias("next_doc_id"),
     )
-    one = heads.groupBy("place", "mark").agg(F.first(F.struct("head", "next_signatures")).alias("next"))
-    return rows.join(one, ["place", "mark"]).select("doc_id", "text", "next.*")
+    one = heads.groupBy("place", "mark").agg(F.first(F.struct("head", "next_signatures", "next_doc_id")).alias("next"))
+    # Both sides come from the same join, so the texts move once.
+    return known.select("doc_id", "text", "place", "mark").join(one, ["place", "mark"]).select("doc_id", "text", "next.*")
 
 
 def fingerprint_report(docs: DataFrame) -> DataFrame:
@@ -103,7 +104,12 @@ def fingerprint_report(docs: DataFrame) -> DataFrame:
     sigs = _with_next(docs).withColumn("n_chars", F.char_length("text").cast("bigint"))
     kept = F.col("text").substr(F.lit(1), (F.col("n_chars") - F.floor(F.col("n_chars") / 2)).cast("int"))
     sigs = sigs.select(
-        "doc_id", "n_chars", "next_signatures", signatures(F.col("text")).alias("own"), F.concat(kept, "head").alias("edited")
+        "doc_id",
+        "n_chars",
+        "next_doc_id",
+        "next_signatures",
+        signatures(F.col("text")).alias("own"),
+        F.concat(kept, "head").alias("edited"),
     ).withColumn("theirs", signatures(F.col("edited")))
     return sigs.select(
         "doc_id",
@@ -113,6 +119,7 @@ def fingerprint_report(docs: DataFrame) -> DataFrame:
         fingerprint(F.col("theirs")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("theirs")).alias("near_edited"),
         likeness(F.col("own"), F.col("next_signatures")).alias("near_next"),
+        "next_doc_id",
     )
 
 
