@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeops.llm.bits import hash_filter, may_hold
 from lakeops.llm.words import blocks, mix, word_hashes
 from lakeops.session import written
 
@@ -23,8 +24,6 @@ LEAST_EQUAL = 10
 #: ... and this share of equal words; the best stretch is found with MISMATCH points off per differing word.
 LEAST_SHARE = 0.8
 MISMATCH = 2.0
-#: Bits of the filter that keeps most windows of the corpus out of the join. Fixed, whatever the benchmark's size.
-FILTER_BITS = 1 << 24
 
 HITS = "array<struct<seed:bigint,at:bigint>>"
 
@@ -66,8 +65,7 @@ def _hits(numbers: list[int], filter_bits, key: str):
                     if bits is None:  # an item: only the masks for its own length
                         whole = counts[who] == len(lengths[number]) if number >= len(MASKS) else counts[who] >= SPAN
                     else:
-                        slot = seed & np.uint64(FILTER_BITS - 1)
-                        whole = (bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1
+                        whole = may_hold(bits, seed)
                     kept = np.flatnonzero(whole)
                     owner.append(who[kept])
                     seeds.append(seed[kept].view(np.int64))
@@ -92,18 +90,6 @@ def _hits(numbers: list[int], filter_bits, key: str):
     return hits
 
 
-def _filter(seeds: DataFrame) -> np.ndarray:
-    """The bits of all seeds. They are set per byte on the executors; the driver gets FILTER_BITS / 8 bytes at most."""
-    slot = F.col("seed").bitwiseAND(F.lit(FILTER_BITS - 1))
-    parts = seeds.groupBy(F.shiftright(slot, 3).alias("byte")).agg(
-        F.bit_or(F.expr(f"shiftleft(1, CAST((seed & {FILTER_BITS - 1}) & 7 AS INT))")).alias("bits")
-    )
-    found = parts.toPandas()
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
-    bits[found["byte"].to_numpy(np.int64)] = found["bits"].to_numpy(np.uint8)
-    return bits
-
-
 def best_stretch(equal: np.ndarray) -> tuple[int, int, int]:
     """(start, stop, equal words) of the stretch with the most points: 1 per equal word, less MISMATCH per other."""
     points = np.concatenate(([0.0], np.cumsum(np.where(equal, 1.0, -MISMATCH))))
@@ -170,7 +156,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", item: s
     used = sorted({number for words in lengths for number, _ in masks_for(words)})
     if not used:
         used = [0]
-    shared = spark.sparkContext.broadcast(_filter(seeds.select("seed")))
+    shared = spark.sparkContext.broadcast(hash_filter(seeds, "seed"))
     found = written(
         docs.select(key, "text")
         .filter(F.col(key).isNotNull())

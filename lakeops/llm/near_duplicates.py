@@ -11,6 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeops.llm.bits import hash_filter, may_hold
 from lakeops.llm.components import components
 from lakeops.llm.leaders import candidate_pairs
 from lakeops.llm.words import blocks, mix, shingles, word_hashes
@@ -220,10 +221,13 @@ def _sign(shared, id_name: str):
     return sign
 
 
-def _described(shared):
+def _described(shared, wanted):
+    """Shingles and weights of the texts whose id may be wanted."""
+
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = shared.value
+        weights, bits = shared.value, wanted.value
         for batch in batches:
+            batch = batch.filter(pa.array(may_hold(bits, batch.column(2).to_numpy())))
             texts = batch.column(1).to_pylist()
             for start, stop in blocks(texts):
                 owner, shingle, times = features(texts[start:stop])
@@ -279,10 +283,14 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD) -> Dat
         signed.groupBy("key_a", "key_b").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands")), "contents"
     )
     pairs = written(candidate_pairs(texts), "candidates")
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    # Few texts are candidates: a filter of their ids keeps the others out of the shuffle, the join is exact.
+    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    wanted = written(wanted.withColumn("hash", F.xxhash64("id")), "candidate-ids")
+    bits = spark.sparkContext.broadcast(hash_filter(wanted, "hash"))
     described = written(
-        rows.join(wanted, "doc_id", "left_semi")
-        .mapInArrow(_described(weights), f"id {kind}, shingles array<bigint>, weights array<float>")
+        rows.withColumn("hash", F.xxhash64("doc_id"))
+        .mapInArrow(_described(weights, bits), f"id {kind}, shingles array<bigint>, weights array<float>")
+        .join(wanted, "id", "left_semi")
         .dropDuplicates(["id"]),
         "described",
     )
