@@ -340,10 +340,10 @@ def cohort_retention(orders, customers, months: int = 4) -> DataFrame:
     ).withColumn("retention_month_3_percent", money.percent(F.col("month_3"), F.col("cohort_size"), 1))
 
 
-def bought_together(items, orders, products, top: int = 50, large: int = 200) -> DataFrame:
+def bought_together(items, orders, products, top: int = 50) -> DataFrame:
     """The ``top`` pairs of products bought in the same order more than once."""
     bought = billed_lines(items.filter("quantity > 0"), orders).select("order_id", "product_id")
-    pairs = baskets.pair_counts(bought, "order_id", "product_id", at_least=2, large=large, top=top)
+    pairs = baskets.pair_counts(bought, "order_id", "product_id", at_least=2, top=top)
     # Names decide between equal counts, so every pair level with the last place is named.
     last_place = pairs.orderBy(F.col("times").desc()).limit(top).agg(F.min("times")).scalar()
     names = products.select("product_id", "product_name")
