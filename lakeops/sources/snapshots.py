@@ -1,20 +1,26 @@
-"""Versioned tables: one directory per version, each complete and never changed."""
+"""Versions of a table in files, for sessions without a table format that keeps them."""
 
 from __future__ import annotations
 
-import re
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeops.session import scratch_path
 
+HISTORY = "version bigint, operation string, rows bigint, added_rows bigint, metrics string, location string"
+
 
 class SnapshotTable:
-    """``path/v=0, v=1, ..``; a version counts once its write has committed.
+    """Data under names of its own, and one small file per version that names them.
+
+    A version exists once its entry in ``path/history`` is written, so data, operation and metrics become visible
+    together. An entry is never written over: of two writers that took the same version as their base, the second
+    gets an error and the first one's rows stay. What a crash leaves behind is data no entry names.
 
-    A merge reads the latest version and writes the next one, so the files being read are
-    never touched and earlier versions stay readable.
+    ``added`` rows are written once and belong to every later version too; only the rest is written anew each time.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -25,10 +31,17 @@ class SnapshotTable:
     def scratch(cls, spark: SparkSession, label: str) -> SnapshotTable:
         return cls(spark, scratch_path(spark, label))
 
+    def _entries(self) -> DataFrame:
+        """The history, empty before the first version."""
+        try:
+            return self.spark.read.schema(HISTORY).option("recursiveFileLookup", True).parquet(f"{self.path}/history")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], HISTORY)
+
     def versions(self) -> list[int]:
-        marks = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v=*/_SUCCESS")
-        files = marks.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(marks) or []
-        return sorted(int(re.search(r"v=(\d+)/_SUCCESS", str(f.getPath())).group(1)) for f in files)
+        return sorted(row["version"] for row in self._entries().select("version").collect())
 
     def latest(self) -> int:
         known = self.versions()
@@ -37,33 +50,51 @@ class SnapshotTable:
         return known[-1]
 
     def read(self, version: int | None = None) -> DataFrame:
+        entries = {row["version"]: row for row in self._entries().collect()}
+        wanted = max(entries) if version is None and entries else version
+        if wanted not in entries:
+            raise ValueError(f"version {version} of {self.path} is not among {sorted(entries)}")
+        whole = self.spark.read.parquet(f"{self.path}/{entries[wanted]['location']}/rows")
+        added = [f"{self.path}/{e['location']}/added" for v, e in sorted(entries.items()) if v <= wanted and e["added_rows"] is not None]
+        return whole.unionByName(self.spark.read.schema(whole.schema).parquet(*added)) if added else whole
+
+    def write(
+        self,
+        df: DataFrame,
+        operation: str,
+        metrics: DataFrame | None = None,
+        added: DataFrame | None = None,
+        base: int | None = None,
+    ) -> int:
+        """Write the version after ``base`` (the latest) and return its number."""
         known = self.versions()
-        wanted = known[-1] if version is None and known else version
-        if wanted not in known:
-            raise ValueError(f"version {version} of {self.path} is not among {known}")
-        return self.spark.read.parquet(f"{self.path}/v={wanted}")
-
-    def write(self, df: DataFrame, operation: str, metrics: DataFrame | None = None) -> int:
-        """Write the next version and its history row; a half-written leftover is replaced."""
-        known = self.versions()
-        number = known[-1] + 1 if known else 0
-        df.write.mode("overwrite").parquet(f"{self.path}/v={number}")
-        stored = self.spark.read.parquet(f"{self.path}/v={number}")
-        row = stored.agg(
+        number = (base if base is not None else known[-1] if known else -1) + 1
+        if number in known:
+            raise ValueError(f"version {number} of {self.path} exists: another writer was first")
+        location = f"data/{number}-{uuid.uuid4().hex}"
+        parts = {"rows": df} if added is None else {"rows": df, "added": added}
+        for name, rows in parts.items():
+            rows.write.parquet(f"{self.path}/{location}/{name}")
+        counts = [
+            self.spark.read.schema(df.schema).parquet(f"{self.path}/{location}/{name}").agg(F.count(F.lit(1))).scalar()
+            for name in parts
+        ]
+        entry = self.spark.range(1).select(
             F.lit(number).cast("bigint").alias("version"),
             F.lit(operation).alias("operation"),
-            F.count(F.lit(1)).alias("output_rows"),
+            counts[0].alias("rows"),
+            (counts[1] if added is not None else F.lit(None).cast("bigint")).alias("added_rows"),
+            (metrics.select(F.to_json(F.struct("*"))).scalar() if metrics is not None else F.lit(None).cast("string")).alias("metrics"),
+            F.lit(location).alias("location"),
         )
-        if metrics is None:
-            row = row.select("*", F.lit(None).cast("string").alias("metrics"))
-        else:
-            row = row.select("*", metrics.select(F.to_json(F.struct("*"))).scalar().alias("metrics"))
-        row.write.mode("overwrite").parquet(f"{self.path}/_history/h={number}")
+        entry.coalesce(1).write.mode("errorifexists").parquet(f"{self.path}/history/{number}")
         return number
 
     def history(self) -> DataFrame:
-        rows = [f"{self.path}/_history/h={n}" for n in self.versions()]
-        return self.spark.read.parquet(*rows)
+        """One row per version; ``output_rows`` are all rows it has."""
+        so_far = F.sum("added_rows").over(Window.orderBy("version"))  # one row per version
+        total = F.col("rows") + F.coalesce(so_far, F.lit(0))
+        return self._entries().select("version", "operation", total.alias("output_rows"), "metrics")
 
     def diff(self, key: str, before: int, after: int) -> DataFrame:
         """Rows in both versions, their difference, and keys only the later one has."""

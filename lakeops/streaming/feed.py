@@ -46,9 +46,7 @@ def apply_batch(scd1: SnapshotTable, scd2: SnapshotTable) -> Callable[[DataFrame
             return
         for table, merged_with in ((scd1, _type_one), (scd2, _type_two)):
             if table.history().filter(F.col("operation") == operation).isEmpty():
-                current = table.read()
-                merged = stable(merged_with(current, _not_late(feed, current), str(moment)))
-                table.write(merged.drop(merge.ACTION), operation)
+                merged_with(table, feed, str(moment), operation)
 
     return run
 
@@ -62,12 +60,21 @@ def _not_late(feed: DataFrame, table: DataFrame) -> DataFrame:
     return joined.filter(~late).drop("_k", "_held")
 
 
-def _type_one(current: DataFrame, feed: DataFrame, moment: str) -> DataFrame:
-    return merge.merge_upsert(current, feed, KEY)
+def _type_one(table: SnapshotTable, feed: DataFrame, moment: str, operation: str) -> None:
+    base = table.latest()
+    current = table.read(base)
+    merged = merge.merge_upsert(current, _not_late(feed, current), KEY)
+    table.write(merged.drop(merge.ACTION), operation, base=base)
 
 
-def _type_two(current: DataFrame, feed: DataFrame, moment: str) -> DataFrame:
-    return merge.merge_scd2(current, feed, KEY, TRACKED, moment)
+def _type_two(table: SnapshotTable, feed: DataFrame, moment: str, operation: str) -> None:
+    """Closed versions are written by the batch that closes them and never again."""
+    base = table.latest()
+    versions = table.read(base)
+    last = versions.agg(F.max(merge.SK)).first()[0]
+    current = versions.filter(merge.CURRENT)
+    merged = stable(merge.merge_current(current, _not_late(feed, current), KEY, TRACKED, moment, last)).drop(merge.ACTION)
+    table.write(merged.filter(merge.CURRENT), operation, added=merged.filter(~F.col(merge.CURRENT)), base=base)
 
 
 def run_feed(
