@@ -45,13 +45,15 @@ def local_session(app: str = "lakeops", cores: int | str = "*", memory: str = "8
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach: the one the cluster names in spark.checkpoint.dir.
 
-    Only where the session names none (tests on one machine) a temporary folder is made
-    and set, so that checkpoints and written tables share one place.
+    Where the session names none, a temporary folder is made and set for a local master only: on a cluster every
+    machine would have its own, and what one executor writes there no other can read.
     """
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     current = context.getCheckpointDir()
     if not named and not current:
+        if not context.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="lakeops-")
     if not current:
         context.setCheckpointDir(named)
