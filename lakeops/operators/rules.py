@@ -22,7 +22,7 @@ class Rule:
 
     reason: str
     broken: Column
-    action: str = "row dropped"
+    action: str = "dropped"
 
 
 @dataclass(frozen=True)

@@ -496,11 +496,11 @@ def u02(t):
 
 @query(
     "u03_key_set_difference",
-    "SELECT p_partkey FROM part EXCEPT SELECT l_partkey FROM lineitem WHERE l_quantity > 45",
+    "SELECT o_orderkey FROM orders EXCEPT SELECT l_orderkey FROM lineitem",
 )
 def u03(t):
-    large = t.raw("lineitem").filter("l_quantity > 45").select(F.col("l_partkey").alias("p_partkey"))
-    return t.raw("part").select("p_partkey").join(large, "p_partkey", "left_anti")
+    lines = t.raw("lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    return t.raw("orders").select("o_orderkey").distinct().join(lines, "o_orderkey", "left_anti")
 
 
 @query(

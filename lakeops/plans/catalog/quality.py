@@ -10,7 +10,9 @@ from lakeops.operators.rules import Judged, clamp, one_of
 from lakeops.plans import cleaning
 from lakeops.plans.catalog.projections import title_sql
 from lakeops.plans.catalog.retail import pct
+from lakeops.plans import retail_job
 from lakeops.plans.registry import query
+from lakeops.plans.runner import run_stages
 from lakeops.session import scratch_path
 from lakeops.sources.snapshots import store_below
 
@@ -42,38 +44,38 @@ JUDGED = f"""
 cb AS (SELECT *, {nulled('customer_id')} AS id, {tidy('customer_name')} AS nm, lower({nulled('email')}) AS mail,
               CAST({any_date('registration_date')} AS DATE) AS reg, upper({tidy('customer_type')}) AS typ
        FROM raw_customers_v),
-cj AS (SELECT *, CASE WHEN id IS NULL THEN 'missing customer_id'
-                      WHEN row_number() OVER (PARTITION BY id ORDER BY seq) > 1 THEN 'duplicate customer_id'
-                      WHEN reg IS NULL THEN 'unparseable registration_date' END AS reason FROM cb),
+cj AS (SELECT *, CASE WHEN id IS NULL THEN 'customer_id:missing'
+                      WHEN row_number() OVER (PARTITION BY id ORDER BY seq) > 1 THEN 'customer_id:repeated'
+                      WHEN reg IS NULL THEN 'registration_date:unreadable' END AS reason FROM cb),
 pb AS (SELECT *, {nulled('product_id')} AS id, {tidy('product_name')} AS nm, {tidy('category')} AS cat,
               {tidy('subcategory')} AS sub, CAST(ROUND({number('cost_price')}, 2) AS DECIMAL(12,2)) AS cost
        FROM raw_products_v),
-pj AS (SELECT *, CASE WHEN id IS NULL THEN 'missing product_id'
-                      WHEN row_number() OVER (PARTITION BY id ORDER BY seq) > 1 THEN 'duplicate product_id'
-                      WHEN cost IS NULL OR cost <= 0 THEN 'cost_price missing or not positive' END AS reason FROM pb),
+pj AS (SELECT *, CASE WHEN id IS NULL THEN 'product_id:missing'
+                      WHEN row_number() OVER (PARTITION BY id ORDER BY seq) > 1 THEN 'product_id:repeated'
+                      WHEN cost IS NULL OR cost <= 0 THEN 'cost_price:not_positive' END AS reason FROM pb),
 ob AS (SELECT *, {nulled('order_id')} AS id, {nulled('customer_id')} AS cust, {any_date('order_date')} AS placed,
               upper({tidy('status')}) AS st,
               CASE WHEN upper({tidy('region_code')}) <> '' THEN upper({tidy('region_code')}) ELSE 'UNKNOWN' END AS reg
        FROM raw_orders_v),
-oj AS (SELECT *, CASE WHEN id IS NULL THEN 'missing order_id'
-                      WHEN row_number() OVER (PARTITION BY id ORDER BY seq) > 1 THEN 'duplicate order_id'
-                      WHEN placed IS NULL THEN 'unparseable order_date'
-                      WHEN placed > TIMESTAMP '2026-08-01 23:59:59' THEN 'order_date in the future'
+oj AS (SELECT *, CASE WHEN id IS NULL THEN 'order_id:missing'
+                      WHEN row_number() OVER (PARTITION BY id ORDER BY seq) > 1 THEN 'order_id:repeated'
+                      WHEN placed IS NULL THEN 'order_date:unreadable'
+                      WHEN placed > TIMESTAMP '2026-08-01 23:59:59' THEN 'order_date:future'
                       WHEN st NOT IN ('PLACED', 'SHIPPED', 'DELIVERED', 'CANCELLED', 'RETURNED')
-                        THEN 'status outside the allowed set' END AS reason FROM ob),
+                        THEN 'status:unknown' END AS reason FROM ob),
 ib AS (SELECT *, {nulled('item_id')} AS id, {nulled('order_id')} AS oid, {nulled('product_id')} AS pid,
               CAST(trunc({number('quantity')}) AS INT) AS qty,
               CAST(ROUND({number('unit_price')}, 2) AS DECIMAL(12,2)) AS price, {number('discount_percent')} AS disc
        FROM raw_items_v),
-ij AS (SELECT *, CASE WHEN id IS NULL THEN 'missing item_id'
-                      WHEN row_number() OVER (PARTITION BY id ORDER BY seq) > 1 THEN 'duplicate item_id'
-                      WHEN oid IS NULL OR pid IS NULL THEN 'missing order_id or product_id'
+ij AS (SELECT *, CASE WHEN id IS NULL THEN 'item_id:missing'
+                      WHEN row_number() OVER (PARTITION BY id ORDER BY seq) > 1 THEN 'item_id:repeated'
+                      WHEN oid IS NULL OR pid IS NULL THEN 'parent:missing'
                       WHEN oid NOT IN (SELECT id FROM oj WHERE reason IS NULL)
-                        THEN 'order_id not present in cleaned orders'
+                        THEN 'order_id:orphan'
                       WHEN pid NOT IN (SELECT id FROM pj WHERE reason IS NULL)
-                        THEN 'product_id not present in cleaned products'
-                      WHEN qty IS NULL OR qty = 0 THEN 'quantity is zero or unreadable'
-                      WHEN price IS NULL OR price <= 0 THEN 'unit_price missing or not positive' END AS reason
+                        THEN 'product_id:orphan'
+                      WHEN qty IS NULL OR qty = 0 THEN 'quantity:zero_or_unreadable'
+                      WHEN price IS NULL OR price <= 0 THEN 'unit_price:not_positive' END AS reason
        FROM ib)
 """
 
@@ -385,34 +387,34 @@ def q26(t):
 ISSUES = {
     "orders": f"""
   SELECT 'orders' AS "table", reason AS issue, COUNT(*) AS rows,
-         CASE WHEN reason LIKE 'duplicate%' THEN 'first occurrence kept' ELSE 'row dropped' END AS action
+         CASE WHEN reason LIKE '%:repeated' THEN 'first kept' ELSE 'dropped' END AS action
   FROM oj WHERE reason IS NOT NULL GROUP BY reason
-  UNION ALL SELECT 'orders', 'customer_id missing or the literal text ''NULL''', COUNT(*), 'kept as null'
+  UNION ALL SELECT 'orders', 'customer_id:absent', COUNT(*), 'null kept'
   FROM oj WHERE cust IS NULL
-  UNION ALL SELECT 'orders', 'order_date not in YYYY-MM-DD HH:MM:SS', COUNT(*), 're-parsed and rewritten as ISO'
+  UNION ALL SELECT 'orders', 'order_date:other_layout', COUNT(*), 'written as ISO'
   FROM oj WHERE length(order_date) <> 19
-    AND (reason IS NULL OR reason IN ('order_date in the future', 'status outside the allowed set'))""",
+    AND (reason IS NULL OR reason IN ('order_date:future', 'status:unknown'))""",
     "order_items": f"""
   SELECT 'order_items' AS "table", reason AS issue, COUNT(*) AS rows,
-         CASE WHEN reason LIKE 'duplicate%' THEN 'first occurrence kept' ELSE 'row dropped' END AS action
+         CASE WHEN reason LIKE '%:repeated' THEN 'first kept' ELSE 'dropped' END AS action
   FROM ij WHERE reason IS NOT NULL GROUP BY reason
-  UNION ALL SELECT 'order_items', 'discount_percent outside 0-100', COUNT(*), 'clamped into 0-100 (missing treated as 0)'
+  UNION ALL SELECT 'order_items', 'discount_percent:out_of_range', COUNT(*), 'clamped'
   FROM ij WHERE reason IS NULL AND (disc IS NULL OR disc NOT BETWEEN 0 AND 100)
-  UNION ALL SELECT 'order_items', 'negative quantity (return lines)', COUNT(*), 'kept and flagged with is_return = 1'
+  UNION ALL SELECT 'order_items', 'quantity:return', COUNT(*), 'flagged'
   FROM ij WHERE reason IS NULL AND qty < 0""",
     "customers": f"""
   SELECT 'customers' AS "table", reason AS issue, COUNT(*) AS rows,
-         CASE WHEN reason LIKE 'duplicate%' THEN 'first occurrence kept' ELSE 'row dropped' END AS action
+         CASE WHEN reason LIKE '%:repeated' THEN 'first kept' ELSE 'dropped' END AS action
   FROM cj WHERE reason IS NOT NULL GROUP BY reason
-  UNION ALL SELECT 'customers', 'customer_type outside REGULAR/PREMIUM/VIP', COUNT(*), 'set to REGULAR'
+  UNION ALL SELECT 'customers', 'customer_type:unknown', COUNT(*), 'default set'
   FROM cj WHERE reason IS NULL AND typ NOT IN ('REGULAR', 'PREMIUM', 'VIP')
-  UNION ALL SELECT 'customers', 'invalid email address', COUNT(*), 'value kept, ids listed apart'
+  UNION ALL SELECT 'customers', 'email:malformed', COUNT(*), 'listed'
   FROM cj WHERE reason IS NULL AND NOT {mail_ok('mail')}""",
     "products": f"""
   SELECT 'products' AS "table", reason AS issue, COUNT(*) AS rows,
-         CASE WHEN reason LIKE 'duplicate%' THEN 'first occurrence kept' ELSE 'row dropped' END AS action
+         CASE WHEN reason LIKE '%:repeated' THEN 'first kept' ELSE 'dropped' END AS action
   FROM pj WHERE reason IS NOT NULL GROUP BY reason
-  UNION ALL SELECT 'products', 'product_name needed trimming or re-casing', COUNT(*), 'normalised to Title Case'
+  UNION ALL SELECT 'products', 'product_name:rewritten', COUNT(*), 'rewritten'
   FROM pj WHERE {title_sql('nm')} <> product_name""",
 }
 
@@ -428,8 +430,32 @@ def q27(t):
     return _items(t).quarantine
 
 
-@query("q28_issue_log", judged(f"SELECT * FROM ({ISSUES['order_items']}) WHERE rows > 0"))
+REPORT = " UNION ALL ".join(
+    f"SELECT '{name}' AS \"table\", 'rows:{state}' AS item, COUNT(*) FILTER ({test}) AS rows, CAST(NULL AS VARCHAR) AS action FROM {cte}"
+    for name, cte in (("customers", "cj"), ("products", "pj"), ("orders", "oj"), ("order_items", "ij"))
+    for state, test in (("raw", "true"), ("clean", "reason IS NULL"), ("dropped", "reason IS NOT NULL"))
+)
+EXTRA_ISSUES = """
+  SELECT 'order_items' AS "table", 'order_id:never_seen' AS issue, COUNT(*) AS rows, 'dropped, counted as orphan too' AS action
+  FROM raw_items_v WHERE order_id NOT IN (SELECT order_id FROM raw_orders_v)
+  UNION ALL SELECT 'orders', 'customer_id:unknown', COUNT(*), 'anonymous' FROM oj
+  WHERE reason IS NULL AND cust IS NOT NULL AND cust NOT IN (SELECT id FROM cj WHERE reason IS NULL)"""
+QUALITY_SQL = judged(
+    f"""WITH issues AS (SELECT * FROM ({' UNION ALL '.join([*ISSUES.values(), EXTRA_ISSUES])}) WHERE rows > 0)
+    {REPORT} UNION ALL SELECT "table", issue, rows, action FROM issues
+    UNION ALL SELECT 'all', 'rows:issues', CAST(SUM(rows) AS BIGINT), NULL FROM issues"""
+)
+
+
+@query("q28_issue_log", QUALITY_SQL)
 def q28(t):
+    """All issues of the four tables, their row counts, and the total of issue rows."""
+    done = _clean_all(t)
+    return cleaning.quality_report(done["row_counts"], done["issues"])
+
+
+@query("q28_issues_of_one_table", judged(f"SELECT * FROM ({ISSUES['order_items']}) WHERE rows > 0"))
+def q28_one(t):
     return _items(t).issues()
 
 
@@ -445,13 +471,21 @@ def _clean_all(t):
     "q29_constraint_suite",
     judged(
         """WITH b AS (SELECT raw_items_v.*, TRY_CAST(trim(quantity) AS DECIMAL(18,4)) AS q,
+                          TRY_CAST(trim(unit_price) AS DECIMAL(18,4)) AS u,
                           TRY_CAST(trim(discount_percent) AS DECIMAL(18,4)) AS d FROM raw_items_v),
+        p AS (SELECT TRY_CAST(trim(cost_price) AS DECIMAL(18,4)) AS c FROM raw_products_v),
         v AS (
         SELECT 'order_items' AS "table", 'unique item_id' AS "constraint",
                COUNT(*) FILTER (n > 1) AS violations
         FROM (SELECT item_id, COUNT(*) AS n FROM raw_items_v WHERE item_id IS NOT NULL GROUP BY 1)
         UNION ALL SELECT 'order_items', 'check quantity', COUNT(*) FILTER (q = 0) FROM b
         UNION ALL SELECT 'order_items', 'check discount_percent', COUNT(*) FILTER (d NOT BETWEEN 0 AND 100) FROM b
+        UNION ALL SELECT 'order_items', 'check unit_price', COUNT(*) FILTER (u <= 0) FROM b
+        UNION ALL SELECT 'order_items', 'required unit_price', COUNT(*) FILTER (u IS NULL) FROM b
+        UNION ALL SELECT 'products', 'check cost_price', COUNT(*) FILTER (c <= 0) FROM p
+        UNION ALL SELECT 'products', 'required cost_price', COUNT(*) FILTER (c IS NULL) FROM p
+        UNION ALL SELECT 'orders', 'check status',
+          COUNT(*) FILTER (status NOT IN ('PLACED', 'SHIPPED', 'DELIVERED', 'CANCELLED', 'RETURNED')) FROM raw_orders_v
         UNION ALL SELECT 'order_items', 'required quantity', COUNT(*) FILTER (q IS NULL) FROM b
         UNION ALL SELECT 'order_items', 'required discount_percent', COUNT(*) FILTER (d IS NULL) FROM b
         UNION ALL SELECT 'order_items', 'reference order_id', COUNT(*) FROM b
@@ -476,12 +510,10 @@ def q29(t):
         return F.trim(name).try_cast("decimal(18,4)").alias(name)
 
     items = t.raw_items.select(
-        "item_id", "order_id", "product_id", read("quantity"), F.lit(1).alias("unit_price"),
-        read("discount_percent"), F.lit(0).alias("is_return"),
-    )
-    products = t.raw_products.withColumn("cost_price", F.lit(1))
-    orders = t.raw_orders.withColumn("status", F.lit("PLACED"))
-    return cleaning.constraint_violations(t.raw_customers, products, orders, items).filter("violations > 0")
+        "item_id", "order_id", "product_id", read("quantity"), read("unit_price"), read("discount_percent")
+    ).withColumn("is_return", (F.col("quantity") < 0).cast("int"))
+    products = t.raw_products.withColumn("cost_price", read("cost_price"))
+    return cleaning.constraint_violations(t.raw_customers, products, t.raw_orders, items).filter("violations > 0")
 
 
 @query("q29_clean_tables_hold", judged("SELECT CAST(0 AS BIGINT) AS violations"))
@@ -582,8 +614,11 @@ def q33(t):
       - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM d_n WHERE customer_id IS NOT NULL))
     UNION ALL SELECT 'dropped_duplicate_keys', (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM d_n
       WHERE customer_id IS NOT NULL)) - (SELECT COUNT(*) FROM d_k)
-    UNION ALL SELECT 'nulls_filled', CAST(SUM({' + '.join(f'CAST({c} IS NULL AS INT)' for c in DIM
-                                                        if c not in ('customer_id', 'total_orders'))}) AS BIGINT) FROM d_k
+    UNION ALL SELECT 'nulls_filled', (SELECT CAST(SUM({' + '.join(f'CAST({c} IS NULL AS INT)' for c in DIM
+                                                        if c not in ('customer_id', 'total_orders'))}) AS BIGINT) FROM d_k)
+      - (SELECT CAST(SUM({' + '.join(f'CAST({c} IS NULL AS INT)' for c in DIM)}) AS BIGINT) FROM d)
+    UNION ALL SELECT 'remaining_nulls', CAST(SUM({' + '.join(f'CAST({c} IS NULL AS INT)' for c in DIM)}) AS BIGINT) FROM d
+    UNION ALL SELECT 'rows_removed', (SELECT COUNT(*) FROM d_n) - (SELECT COUNT(*) FROM d)
     UNION ALL SELECT 'rows_out', COUNT(*) FROM d""",
 )
 def q34(t):
@@ -696,11 +731,11 @@ def q40(t):
     judged(
         f"""SELECT * FROM ({ISSUES['customers']} UNION ALL {ISSUES['products']} UNION ALL {ISSUES['orders']}
         UNION ALL {ISSUES['order_items']}
-        UNION ALL SELECT 'order_items', 'order_id never existed in the raw orders file', COUNT(*),
-          'row dropped (subset of the check on cleaned orders)' FROM raw_items_v
+        UNION ALL SELECT 'order_items', 'order_id:never_seen', COUNT(*),
+          'dropped, counted as orphan too' FROM raw_items_v
           WHERE order_id NOT IN (SELECT order_id FROM raw_orders_v)
-        UNION ALL SELECT 'orders', 'customer_id not present in cleaned customers', COUNT(*),
-          'kept, treated as anonymous' FROM oj WHERE reason IS NULL AND cust IS NOT NULL
+        UNION ALL SELECT 'orders', 'customer_id:unknown', COUNT(*),
+          'anonymous' FROM oj WHERE reason IS NULL AND cust IS NOT NULL
           AND cust NOT IN (SELECT id FROM cj WHERE reason IS NULL)) WHERE rows > 0"""
     ),
 )
@@ -753,3 +788,23 @@ def q44_superseded(t):
 )
 def q45(t):
     return t.catalogue.na.drop(subset=["discount", "seller_name"]).select("product_id", "discount", "seller_name")
+
+
+@query(
+    "r00_retail_job",
+    judged(
+        f"""WITH held AS (
+          SELECT ij.oid, pj.cat, ij.qty, ROUND(CAST(ij.qty AS DECIMAL(10,0)) * ij.price
+                 * (100 - CAST({CLAMPED} AS DECIMAL(5,2))), 0) AS cents
+          FROM ij JOIN pj ON pj.id = ij.pid AND pj.reason IS NULL JOIN oj ON oj.id = ij.oid AND oj.reason IS NULL
+          WHERE ij.reason IS NULL AND oj.st <> 'CANCELLED')
+        SELECT {title_sql('cat')} AS category, COUNT(DISTINCT oid) AS orders, CAST(SUM(qty) AS BIGINT) AS net_units,
+               CAST(SUM(cents) / 100 AS DOUBLE) AS total_revenue FROM held GROUP BY 1"""
+    ),
+)
+def r00_job(t):
+    """Clean, gate and analyse as one job; returned is one analysis as it was written."""
+    raw = {name: t.landed(f"raw_{view}_v") for name, view in RAW_NAMES.items()}
+    root = scratch_path(t.spark, "retail-job")
+    run_stages(retail_job.stages(t.spark, raw, root))
+    return t.spark.read.parquet(f"{root}/analysis/revenue_per_category")

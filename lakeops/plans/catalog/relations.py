@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lakeops.functions import money
 from lakeops.functions.text import currency_to_decimal
 from lakeops.operators import stats, windows
+from lakeops.plans.catalog.dimension import batch, state
 from lakeops.plans.catalog.retail import avg, pct
 from lakeops.plans.registry import query
 
@@ -59,20 +60,15 @@ def j03(t):
     "j04_self_join_with_inequality",
     """
     SELECT a.l_partkey AS part_a, b.l_partkey AS part_b, a.l_orderkey AS order_id
-    FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem WHERE l_shipdate < TIMESTAMP '1996-01-01') a
-    JOIN (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem WHERE l_shipdate < TIMESTAMP '1996-01-01') b
-      ON a.l_orderkey = b.l_orderkey AND a.l_partkey < b.l_partkey
-    WHERE a.l_partkey % 50 = b.l_partkey % 50""",
+    FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) a
+    JOIN (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) b
+      ON a.l_orderkey = b.l_orderkey AND a.l_partkey < b.l_partkey""",
 )
 def j04(t):
-    early = F.col("l_shipdate") < F.lit("1996-01-01").cast("timestamp_ntz")
-    held = t.raw("lineitem").filter(early).select("l_orderkey", "l_partkey").distinct()
-    # The residue is part of the join key, so only matching parts of an order meet.
-    left = held.select(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("part_a"),
-                       (F.col("l_partkey") % 50).alias("residue"))
-    right = held.select(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("part_b"),
-                        (F.col("l_partkey") % 50).alias("residue"))
-    return left.join(right, ["order_id", "residue"]).filter("part_a < part_b").drop("residue")
+    held = t.raw("lineitem").select("l_orderkey", "l_partkey").distinct()
+    left = held.select(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("part_a"))
+    right = held.select(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("part_b"))
+    return left.join(right, "order_id").filter("part_a < part_b")
 
 
 @query(
@@ -91,9 +87,9 @@ def j05(t):
     " JOIN region ON n_regionkey = r_regionkey",
 )
 def j06(t):
-    # Nation and region are fixed reference tables of 25 and 5 rows.
-    places = t.raw("nation").join(F.broadcast(t.raw("region")), F.col("n_regionkey") == F.col("r_regionkey"))
-    joined = t.raw("customer").join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey"))
+    # No hint: the planner broadcasts the small side where its size allows it.
+    places = t.raw("nation").join(t.raw("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    joined = t.raw("customer").join(places, F.col("c_nationkey") == F.col("n_nationkey"))
     return joined.select("c_custkey", "n_name", "r_name")
 
 
@@ -108,25 +104,27 @@ def j07(t):
 
 @query(
     "j08_semi_join",
-    "SELECT o_orderkey FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_quantity > 49)",
+    "SELECT o_orderkey FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)",
 )
 def j08(t):
-    large = t.raw("lineitem").filter("l_quantity > 49").select(F.col("l_orderkey").alias("o_orderkey"))
-    return t.raw("orders").select("o_orderkey").join(large, "o_orderkey", "left_semi")
+    lines = t.raw("lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    return t.raw("orders").select("o_orderkey").join(lines, "o_orderkey", "left_semi")
 
 
 @query(
     "j09_merge_join",
-    """
-    WITH a AS (SELECT c_custkey AS k, c_acctbal AS v FROM customer WHERE c_custkey % 3 <> 0),
-         b AS (SELECT c_custkey AS k, c_acctbal + 1 AS v FROM customer WHERE c_custkey % 2 = 0)
-    SELECT COALESCE(a.k, b.k) AS k, CASE WHEN b.k IS NOT NULL THEN b.v ELSE a.v END AS v
-    FROM a FULL JOIN b ON a.k = b.k""",
+    state(
+        """SELECT COALESCE(m.customer_id, f.customer_id) AS k, CAST(CASE WHEN f.customer_id IS NOT NULL THEN f.total_sales
+        ELSE m.total_sales END AS DOUBLE) AS v FROM m FULL JOIN f ON m.customer_id = f.customer_id"""
+    ),
 )
 def j09(t):
-    held = t.raw("customer").selectExpr("c_custkey AS k", "c_acctbal AS v")
-    old = held.filter("k % 3 <> 0").alias("a")
-    new = held.filter("k % 2 = 0").selectExpr("k", "v + 1 AS v").alias("b")
+    """The clean dimension and the clean feed, merged by key."""
+    b = batch(t)
+    old, new = (
+        side.select(F.col("customer_id").alias("k"), money.as_double(F.col("total_sales")).alias("v")).alias(name)
+        for name, side in (("a", b.master), ("b", b.feed))
+    )
     joined = old.join(new, F.col("a.k") == F.col("b.k"), "full_outer")
     return joined.select(
         F.coalesce("a.k", "b.k").alias("k"),

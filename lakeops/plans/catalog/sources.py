@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakeops.functions.text import email_is_valid
-from lakeops.operators.rules import Judged, Note, Rule, judge
 from lakeops.plans import cleaning, retail
 from lakeops.plans.catalog.medallion import write_json_arrays
+from lakeops.plans.catalog.quality import QUALITY_SQL, RAW_NAMES, mail_ok
 from lakeops.plans.registry import query
 from lakeops.plans.runner import run_queries
 from lakeops.session import scratch_path
 from lakeops.sources import files
-from lakeops.sources.snapshots import SnapshotTable
+from lakeops.sources.snapshots import SnapshotTable, store_below
 
 PARTS = "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part"
 
@@ -115,10 +114,10 @@ def s09(t):
     return table.read(version=0)
 
 
-@query("s10_csv_sink", "SELECT p_partkey, p_name, p_retailprice FROM part WHERE p_type = 'PROMO'")
+@query("s10_csv_sink", "SELECT p_partkey, p_name, p_retailprice FROM part")
 def s10(t):
     path = scratch_path(t.spark, "sink-csv")
-    files.write_csv(t.raw("part").filter("p_type = 'PROMO'").select("p_partkey", "p_name", "p_retailprice"), path)
+    files.write_csv(t.raw("part").select("p_partkey", "p_name", "p_retailprice"), path)
     return t.spark.read.schema("p_partkey bigint, p_name string, p_retailprice double").option("header", True).csv(path)
 
 
@@ -205,24 +204,25 @@ def s18(t):
 
 @query(
     "s19_quality_report_export",
-    """
-    WITH c AS (SELECT lower(trim(regexp_replace(email, '\\s+', ' ', 'g'))) AS mail FROM raw_customers_v)
-    SELECT 'customers' AS "table", 'invalid email address' AS issue, COUNT(*) AS rows,
-           'value kept, ids listed apart' AS action
-    FROM c WHERE NOT regexp_matches(mail, '^[^@\\s]+@[^@\\s.]+(\\.[^@\\s.]+)+$')""",
+    QUALITY_SQL.replace(
+        "UNION ALL SELECT 'all', 'rows:issues'",
+        "UNION ALL SELECT 'customers', 'ids:email:malformed', COUNT(*), NULL FROM cj WHERE reason IS NULL AND NOT "
+        + mail_ok("mail") + " UNION ALL SELECT 'all', 'rows:issues'",
+    ),
 )
 def s19(t):
-    """Issue rows as JSON, offending rows as their own table; returned as read back."""
-    rows = judge(t.raw_customers, [Rule("never", F.lit(False))])
-    invalid = ~email_is_valid(F.col("email"))
-    judged = Judged(
-        "customers", rows, [], [Note("invalid email address", invalid, "value kept, ids listed apart")]
-    )
+    """The report as JSON and the ids apart from it, both returned as read back."""
     root = scratch_path(t.spark, "report")
-    judged.issues().write.json(f"{root}/issues")
-    cleaning.invalid_emails(rows).write.parquet(f"{root}/invalid_emails")
-    read = t.spark.read.schema("`table` string, issue string, rows bigint, action string")
-    return read.json(f"{root}/issues")
+    raw = {name: t.landed(f"raw_{view}_v") for name, view in RAW_NAMES.items()}
+    done = cleaning.clean_all(raw, store_below(t.spark, f"{root}/tables"))
+    cleaning.quality_report(done["row_counts"], done["issues"]).write.json(f"{root}/report")
+    done["invalid_emails"].write.parquet(f"{root}/invalid_emails")
+    report = t.spark.read.schema("`table` string, item string, rows bigint, action string").json(f"{root}/report")
+    ids = t.spark.read.parquet(f"{root}/invalid_emails").agg(
+        F.lit("customers").alias("table"), F.lit("ids:email:malformed").alias("item"),
+        F.count("customer_id").alias("rows"), F.lit(None).cast("string").alias("action"),
+    )
+    return report.unionByName(ids)
 
 
 @query(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -10,8 +11,8 @@ from pyspark.sql import functions as F
 
 from lakeops.functions import money, text
 from lakeops.operators import merge, stats
-from lakeops.plans.cleaning import clean_dimension
-from lakeops.session import stable
+from lakeops.plans.cleaning import clean_dimension, dimension_report
+from lakeops.session import stable, written
 from lakeops.sources.snapshots import SnapshotTable
 
 KEY = "customer_id"
@@ -80,7 +81,6 @@ class Batch:
     @cached_property
     def scd1(self) -> DataFrame:
         """The type 1 table after the batch, with actions."""
-        merge.require_unique(self.feed, KEY)
         return stable(merge.merge_upsert(self.master, self.feed, KEY))
 
     @cached_property
@@ -102,11 +102,14 @@ def maintain(batch: Batch, scd1: SnapshotTable, scd2: SnapshotTable) -> None:
 
 def apply_feed(feed: DataFrame, scd1: SnapshotTable, scd2: SnapshotTable, at: str) -> None:
     """Merge one cleaned feed into the latest versions of both tables."""
-    merge.require_unique(feed, KEY)
-    merged = stable(merge.merge_upsert(scd1.read(), feed, KEY))
+    merged = written(merge.merge_upsert(scd1.read(), feed, KEY), "merged-scd1")
     scd1.write(merged.drop(merge.ACTION), "MERGE", merge.merge_metrics(merged, feed))
-    versions = stable(merge.merge_scd2(scd2.read(), feed, KEY, TRACKED, at))
-    scd2.write(versions.drop(merge.ACTION), "MERGE", merge.merge_metrics(versions, feed))
+    held = scd2.read()
+    last = held.agg(F.max(merge.SK)).first()[0]
+    versions = written(merge.merge_current(held.filter(merge.CURRENT), feed, KEY, TRACKED, at, last), "merged-scd2")
+    rows = versions.drop(merge.ACTION)
+    metrics = merge.merge_metrics(versions, feed)
+    scd2.write(rows.filter(merge.CURRENT), "MERGE", metrics, added=rows.filter(~F.col(merge.CURRENT)))
 
 
 def touched_by_batch(dimension: DataFrame, day: str) -> DataFrame:
@@ -131,7 +134,7 @@ def feed_preview(feed: DataFrame, master: DataFrame) -> DataFrame:
 
 
 def reconciliation(batch: Batch) -> DataFrame:
-    """Rows and distinct customers at each stage, raw to merged."""
+    """Rows and distinct customers at each stage, raw to merged, and what cleaning dropped for which cause."""
 
     def stage(name: str, df: DataFrame, keyed: bool = True) -> DataFrame:
         keys = F.countDistinct(KEY) if keyed else F.lit(None).cast("bigint")
@@ -140,15 +143,16 @@ def reconciliation(batch: Batch) -> DataFrame:
     bare = F.when(F.trim(KEY) != "", F.trim(KEY)).alias(KEY)
     of = F.col("change_type")
     rows = [
-        stage("snapshot (raw)", batch.raw_snapshot.select(bare)),
-        stage("snapshot (clean)", batch.master),
-        stage("feed (raw)", batch.raw_feed.select(bare)),
-        stage("feed (clean)", batch.feed),
-        *[stage(f"  of which {kind}", batch.changes.filter(of == kind), False) for kind in ("NEW", "CHANGED", "UNCHANGED")],
-        stage("type 1 after merge", batch.scd1),
-        stage("type 2 after merge", batch.scd2),
-        stage("  current versions", batch.scd2.filter(merge.CURRENT), False),
-        stage("  expired versions", batch.scd2.filter(~F.col(merge.CURRENT)), False),
+        stage("master.raw", batch.raw_snapshot.select(bare)),
+        stage("master.clean", batch.master),
+        stage("feed.raw", batch.raw_feed.select(bare)),
+        stage("feed.clean", batch.feed),
+        *[stage(f"feed.{kind.lower()}", batch.changes.filter(of == kind), False) for kind in ("NEW", "CHANGED", "UNCHANGED")],
+        stage("type1.rows", batch.scd1),
+        stage("type2.rows", batch.scd2),
+        stage("type2.open", batch.scd2.filter(merge.CURRENT), False),
+        stage("type2.closed", batch.scd2.filter(~F.col(merge.CURRENT)), False),
+        *[_dropped(name, raw) for name, raw in (("master", batch.raw_snapshot), ("feed", batch.raw_feed))],
     ]
     whole = rows[0]
     for row in rows[1:]:
@@ -156,6 +160,16 @@ def reconciliation(batch: Batch) -> DataFrame:
     return whole
 
 
+def _dropped(name: str, raw: DataFrame) -> DataFrame:
+    """Rows that cleaning left out, by cause."""
+    causes = dimension_report(raw).filter(F.col("metric").startswith("dropped_"))
+    return causes.select(
+        F.concat(F.lit(f"{name}."), F.replace("metric", F.lit("dropped_"), F.lit("dropped."))).alias("stage"),
+        F.col("value").alias("rows"),
+        F.lit(None).cast("bigint").alias("distinct_customers"),
+    )
+
+
 def summary_by_region(dimension: DataFrame) -> DataFrame:
     return (
         dimension.groupBy("region")
@@ -181,12 +195,12 @@ def summary_by_segment(dimension: DataFrame) -> DataFrame:
     )
 
 
-def summary_by_tier(dimension: DataFrame) -> DataFrame:
-    """All four tiers from the top, also those without customers."""
+def summary_by_tier(dimension: DataFrame, order: Sequence[str] = TIERS) -> DataFrame:
+    """All tiers in the given order, also those without customers."""
     totals = dimension.groupBy("loyalty_tier").agg(
         F.count(F.lit(1)).alias("customers"), money.as_double(F.sum("total_sales")).alias("sales")
     )
-    tiers = F.explode(F.array(*[F.struct(F.lit(i).alias("place"), F.lit(n).alias("loyalty_tier")) for i, n in enumerate(TIERS)]))
+    tiers = F.explode(F.array(*[F.struct(F.lit(i).alias("place"), F.lit(n).alias("loyalty_tier")) for i, n in enumerate(order)]))
     domain = dimension.sparkSession.range(1).select(tiers.alias("t")).select("t.*")
     return domain.join(totals, "loyalty_tier", "left").orderBy("place").select("loyalty_tier", "customers", "sales")
 
@@ -205,8 +219,16 @@ def overall(dimension: DataFrame) -> DataFrame:
     )
 
 
-def run_summary(batch: Batch) -> DataFrame:
-    """One row that sums up a run, fit to be written as JSON."""
+def run_summary(batch: Batch, scd1: SnapshotTable, scd2: SnapshotTable) -> DataFrame:
+    """One row that sums up a run, fit to be written as JSON: what came in, what cleaning did, what the merges did, which
+    versions the tables have now, and how many checks hold."""
+    cleaned = dimension_report(batch.raw_snapshot).agg(
+        F.map_from_entries(F.collect_list(F.struct("metric", "value"))).alias("m")  # one entry per metric
+    )
+    checks = merge.validate_scd1(batch.master, batch.scd1, batch.feed, batch.changes, KEY).unionByName(
+        merge.validate_scd2(batch.seed, batch.scd2.drop(merge.ACTION), batch.changes, batch.scd1, KEY)
+    )
+    tally = checks.agg(F.struct(F.count(F.lit(1)).alias("checks"), F.count_if("passed").alias("passed")))
     kinds = batch.changes.agg(
         *[F.count_if(F.col("change_type") == kind).alias(kind.lower()) for kind in ("NEW", "CHANGED", "UNCHANGED")]
     )
@@ -226,4 +248,8 @@ def run_summary(batch: Batch) -> DataFrame:
         one.scalar().alias("scd1"),
         two.scalar().alias("scd2"),
         overall(batch.scd1).select(F.struct("*")).scalar().alias("business"),
+        cleaned.scalar().alias("cleaning"),
+        tally.scalar().alias("validation"),
+        batch.master.agg(F.count(F.lit(1))).scalar().alias("rows_before"),
+        F.struct(F.lit(scd1.latest()).alias("scd1"), F.lit(scd2.latest()).alias("scd2")).alias("versions"),
     )
