@@ -89,9 +89,10 @@ def mark_missing_parent(
 
 
 def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Child rows without a parent; rows with a null key are orphans as well."""
+    """Child rows without a parent; rows with a null key are orphans as well, and stay out of the join."""
     known = parent.select(F.col(parent_key).alias("_known"))
-    return child.join(known, F.col(key) == F.col("_known"), "left_anti")
+    named = child.filter(F.col(key).isNotNull()).join(known, F.col(key) == F.col("_known"), "left_anti")
+    return child.filter(F.col(key).isNull()).unionByName(named)
 
 
 def repeated_keys(df: DataFrame, *keys: str) -> DataFrame:

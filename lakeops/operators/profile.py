@@ -30,13 +30,22 @@ def null_counts(df: DataFrame) -> DataFrame:
 def column_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
     """Type, nulls, null percentage and distinct values per column.
 
-    Exact distinct counts copy each row once per column before the partial aggregation;
-    ``approximate`` uses sketches of fixed size instead.
+    Distinct counts copy each row once per column before the partial aggregation, so texts are counted by two 64-bit
+    hashes and do not move themselves; two texts count as one only if both hashes agree. ``approximate`` uses sketches
+    of fixed size instead.
     """
-    distinct = F.approx_count_distinct if approximate else F.countDistinct
+    texts = {name for name, kind in df.dtypes if kind == "string"}
+
+    def distinct(name: str) -> Column:
+        value = F.col(f"`{name}`")
+        if approximate:
+            return F.approx_count_distinct(value)
+        hashed = F.struct(F.xxhash64(value), F.xxhash64(F.lit("b"), value))
+        return F.countDistinct(F.when(value.isNotNull(), hashed) if name in texts else value)
+
     measures = [F.count(F.lit(1)).alias("_rows")]
     for i, name in enumerate(df.columns):
-        measures += [F.count_if(_is_null(name)).alias(f"_n{i}"), distinct(F.col(f"`{name}`")).alias(f"_d{i}")]
+        measures += [F.count_if(_is_null(name)).alias(f"_n{i}"), distinct(name).alias(f"_d{i}")]
     entries = [
         F.struct(
             F.lit(name).alias("column"),

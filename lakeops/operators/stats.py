@@ -66,31 +66,30 @@ def percentiles(df: DataFrame, value: str, wanted: dict[str, float], keys: Seque
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, mean, standard deviation, minimum, quartiles and maximum, one row per column."""
-    parts = None
-    quarters = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
-    for name in columns:
-        value = F.col(name).cast("double")
-        moments = df.agg(
-            F.count(name).alias("count"),
-            rounded(F.avg(value), 4).alias("mean"),
-            rounded(F.stddev_samp(value), 4).alias("std"),
-            F.min(value).alias("min"),
-            F.max(value).alias("max"),
-        ).withColumn("column", F.lit(name))
-        quartiles = percentiles(df, name, quarters).withColumn("column", F.lit(name))
-        row = moments.join(quartiles, "column").select(
-            "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"
-        )
-        parts = row if parts is None else parts.unionByName(row)
-    return parts
+    """Count, mean, standard deviation, minimum, quartiles and maximum, one row per column.
+
+    One pass for the moments of all columns and one for all quartiles.
+    """
+    cells = [F.struct(F.lit(name).alias("column"), F.col(name).cast("double").alias("value")) for name in columns]
+    long = df.select(F.inline(F.array(*cells)))
+    moments = long.groupBy("column").agg(
+        F.count("value").alias("count"),
+        rounded(F.avg("value"), 4).alias("mean"),
+        rounded(F.stddev_samp("value"), 4).alias("std"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+    )
+    quartiles = percentiles(long, "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, ["column"])
+    return moments.join(quartiles, "column", "left").select(
+        "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"
+    )
 
 
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     """Equal-width bins from the minimum to the maximum; the last bin is closed, empty bins are kept."""
     values = df.select(F.col(value).cast("double").alias("_v")).filter("_v IS NOT NULL")
-    low = values.agg(F.min("_v")).scalar()
-    width = values.agg((F.max("_v") - F.min("_v")) / bins).scalar()
+    ends = values.agg(F.struct(F.min("_v").alias("low"), ((F.max("_v") - F.min("_v")) / bins).alias("width"))).scalar()
+    low, width = ends["low"], ends["width"]
     place = F.least(F.floor(F.try_divide(F.col("_v") - low, width)), F.lit(bins - 1).cast("bigint"))
     counts = values.groupBy(F.coalesce(place, F.lit(0)).alias("bin")).agg(F.count(F.lit(1)).alias("_n"))
     every = df.sparkSession.range(bins).withColumnRenamed("id", "bin")

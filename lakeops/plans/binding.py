@@ -185,27 +185,36 @@ class Tables:
             F.lower(F.trim("status")).alias("status"),
         )
 
+    def placed(self, *lookups: str) -> DataFrame:
+        """Orders with the lookups asked for: ``customer``, ``place``."""
+        orders = self.raw("orders").selectExpr(
+            "o_orderkey AS order_id", "o_custkey AS customer_id", "CAST(o_orderdate AS DATE) AS order_date"
+        )
+        if "customer" in lookups:
+            buyers = self.raw("customer").selectExpr(
+                "c_custkey AS customer_id", "c_name AS customer_name", "c_mktsegment AS home_segment"
+            )
+            orders = orders.join(buyers, "customer_id").withColumn(
+                "segment", F.expr("CASE WHEN order_id % 5 = 0 THEN 'HOUSEHOLD' ELSE home_segment END")
+            )
+        if "place" in lookups:
+            places = self.places.withColumnRenamed("buyer_id", "customer_id")
+            orders = orders.join(places, "customer_id").withColumn(
+                "city", F.expr("concat(state, '-', CAST(order_id % 3 AS STRING))")
+            )
+        return orders
+
+    def weighted_orders(self, *lookups: str) -> DataFrame:
+        """Orders that have lines, with their number: lines are counted before anything is joined."""
+        per_order = self.wide_items.groupBy("order_id").agg(F.count(F.lit(1)).alias("num_lines"))
+        return per_order.join(self.placed(*lookups), "order_id")
+
     def wide(self, *lookups: str) -> DataFrame:
         """Order lines with the lookups asked for: ``order``, ``customer``, ``place``, ``product``."""
         df = self.wide_items
         if {"order", "customer", "place"} & set(lookups):
             # Customer columns meet the orders, not the lines: the lines are shuffled once.
-            orders = self.raw("orders").selectExpr(
-                "o_orderkey AS order_id", "o_custkey AS customer_id", "CAST(o_orderdate AS DATE) AS order_date"
-            )
-            if "customer" in lookups:
-                buyers = self.raw("customer").selectExpr(
-                    "c_custkey AS customer_id", "c_name AS customer_name", "c_mktsegment AS home_segment"
-                )
-                orders = orders.join(buyers, "customer_id").withColumn(
-                    "segment", F.expr("CASE WHEN order_id % 5 = 0 THEN 'HOUSEHOLD' ELSE home_segment END")
-                )
-            if "place" in lookups:
-                places = self.places.withColumnRenamed("buyer_id", "customer_id")
-                orders = orders.join(places, "customer_id").withColumn(
-                    "city", F.expr("concat(state, '-', CAST(order_id % 3 AS STRING))")
-                )
-            df = df.join(orders, "order_id")
+            df = df.join(self.placed(*lookups), "order_id")
         if "product" in lookups:
             parts = self.raw("part").selectExpr(
                 "p_partkey AS product_id",

@@ -99,7 +99,8 @@ def d05(t):
     " FROM wide_v GROUP BY 1",
 )
 def d06(t):
-    return lines.sales_and_profit(t.wide("order", "customer", "product"), "segment")
+    per_order = t.wide("product").groupBy("order_id").agg(F.sum("sales").alias("sales"), F.sum("profit").alias("profit"))
+    return lines.sales_and_profit(per_order.join(t.placed("customer"), "order_id"), "segment")
 
 
 @query(
@@ -321,7 +322,7 @@ def d24(t):
     "SELECT city, COUNT(*) AS num_lines FROM wide_v GROUP BY 1 HAVING COUNT(*) > 800",
 )
 def d25(t):
-    per_city = t.wide("order", "place").groupBy("city").agg(F.count(F.lit(1)).alias("num_lines"))
+    per_city = t.weighted_orders("place").groupBy("city").agg(F.sum("num_lines").alias("num_lines"))
     return per_city.filter("num_lines > 800")
 
 

@@ -330,12 +330,12 @@ MODE_SQL = """
 
 @query("a14_mode_per_group", MODE_SQL.format(key="customer_id", cols="segment", source="wide_v"))
 def a14(t):
-    return stats.most_frequent(t.wide("order", "customer"), "customer_id", ["segment"])
+    return stats.most_frequent(t.weighted_orders("customer"), "customer_id", ["segment"], weight="num_lines")
 
 
 @query("a15_most_frequent_tuple", MODE_SQL.format(key="customer_id", cols="city, state, region", source="wide_v"))
 def a15(t):
-    return stats.most_frequent(t.wide("order", "place"), "customer_id", ["city", "state", "region"])
+    return stats.most_frequent(t.weighted_orders("place"), "customer_id", ["city", "state", "region"], weight="num_lines")
 
 
 @query("a16_value_counts", "SELECT o_orderpriority, COUNT(*) AS rows FROM orders GROUP BY 1")
