@@ -82,9 +82,10 @@ class Judged:
 
 
 def judge(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Add the reason of the first broken rule, or null."""
+    """Add the reason of the first broken rule, or null. The row as it came in stays only where there is a reason."""
     reasons = [F.when(F.coalesce(rule.broken, F.lit(False)), F.lit(rule.reason)) for rule in rules]
-    return df.withColumn(REASON, F.coalesce(*reasons))
+    judged = df.withColumn(REASON, F.coalesce(*reasons))
+    return judged.withColumn(RAW, F.when(F.col(REASON).isNotNull(), F.col(RAW))) if RAW in df.columns else judged
 
 
 def whole_row(df: DataFrame) -> Column:

@@ -60,9 +60,18 @@ def shared_dir(spark: SparkSession) -> str:
     return named or current
 
 
+def _scratch(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/lakeops/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder for one written table."""
-    return f"{shared_dir(spark).rstrip('/')}/lakeops/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, apart for each application, for one written table."""
+    return f"{_scratch(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove every table this application has written on the way; call it when no result is read any more."""
+    spark.range(0).write.mode("overwrite").parquet(_scratch(spark))
 
 
 def written(df: DataFrame, label: str, row_group_bytes: int | None = None) -> DataFrame:
@@ -84,8 +93,7 @@ def written(df: DataFrame, label: str, row_group_bytes: int | None = None) -> Da
 def stable(df: DataFrame) -> DataFrame:
     """Materialise ``df`` on shared storage so that several passes read the same rows.
 
-    The checkpoint survives the loss of executors and cuts the lineage, so partition ids
-    and other values that depend on the layout cannot change between the passes.
+    The table survives the loss of executors and cuts the lineage, so partition ids and other values that depend on the
+    layout cannot change between the passes; it is columnar and compressed, and a pass reads the columns it needs.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return written(df, "stable")
