@@ -59,6 +59,11 @@ def line_revenue(quantity: Column, unit_price: Column, discount_percent: Column)
     return F.round(gross * kept / 100, 2).cast("decimal(18,2)")
 
 
+def with_tax(price: Column, rate: str = "0.18") -> Column:
+    """Price with the tax on top, rounded half up to two places."""
+    return F.round(price.cast("decimal(15,2)") * F.lit(f"1{rate[1:]}").cast("decimal(3,2)"), 2)
+
+
 def net_price(quantity: Column, unit_price: Column, discount_pct: Column) -> Column:
     """Line price after the discount; a missing discount is no discount."""
     rate = F.coalesce(discount_pct, F.lit(0).cast("decimal(5,2)"))

@@ -27,7 +27,7 @@ def p01(t):
     "SELECT p_partkey, CAST(ROUND(CAST(p_retailprice AS DECIMAL(15,2)) * 1.18, 2) AS DOUBLE) AS final_price FROM part",
 )
 def p02(t):
-    taxed = F.round(dec("p_retailprice") * F.lit("1.18").cast("decimal(3,2)"), 2)
+    taxed = money.with_tax(F.col("p_retailprice"))
     return t.raw("part").select("p_partkey", money.as_double(taxed).alias("final_price"))
 
 

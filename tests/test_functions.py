@@ -105,3 +105,14 @@ def test_hash_is_stable_across_numeric_types_and_tells_null_from_empty(spark):
     assert hashes[0] == hashes[1]
     c = spark.createDataFrame([(1.5, None), (1.5, "")], "v double, s string")
     assert c.select(money.record_hash(c.schema, ["v", "s"])).distinct().count() == 2
+
+
+def test_prices_with_tax_agree_with_published_ones(spark):
+    """Ten base prices and the prices published for them."""
+    published = [
+        (250.0, 295.0), (120.0, 141.6), (750.0, 885.0), (35.0, 41.3), (100.0, 118.0), (12.5, 14.75), (380.0, 448.4),
+        (500.0, 590.0), (1100.0, 1298.0), (70.0, 82.6),
+    ]
+    rows = spark.createDataFrame(published, "base double, final double")
+    got = rows.select("final", money.as_double(money.with_tax(F.col("base"))).alias("got")).collect()
+    assert all(r["got"] == r["final"] for r in got)

@@ -26,6 +26,52 @@ def plan(df) -> str:
 LAZY = [n for n in ENTRIES if n[0] in "rdpjalu" and not n.startswith(("p12", "a17", "a19", "r16", "d16", "d17", "d18", "d29"))]
 
 
+# One query of each kind whose plan comes after steps of its own.
+STAGED = [
+    "q19_orphans", "q32_column_profile", "q33_profile_compared", "m05_merge_upsert", "m13_validate_scd2", "m14_validate_tables",
+    "m15_version_changes", "g03_silver_orders", "g07_product_return_summary", "s15", "w02_row_number_per_key", "f08", "r16",
+    "d17_line_number_in_customer", "a17_describe",
+]
+
+
+@pytest.mark.parametrize("name", [n for n in ENTRIES if n.startswith(tuple(STAGED))])
+def test_staged_plans_stay_on_the_jvm_and_join_on_keys(tables, name):
+    text = plan(ENTRIES[name].build(tables))
+    for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in text, node
+
+
+def line_exchanges(df) -> int:
+    """Shuffles between the scan of the lines and the first aggregate that folds them."""
+    depth, count, counts = [], 0, []
+    for line in plan(df).split("\n"):
+        indent = len(line) - len(line.lstrip(" :+-*("))
+        depth = [(d, kind) for d, kind in depth if d < indent]
+        if "Exchange hashpartitioning" in line:
+            depth.append((indent, "exchange"))
+        elif "HashAggregate" in line and "partial_" in line:
+            depth.append((indent, "fold"))
+        if "FileScan" in line and "lineitem" in line:
+            folds = [d for d, kind in depth if kind == "fold"]
+            inside = max(folds) if folds else -1
+            counts.append(sum(1 for d, kind in depth if kind == "exchange" and d > inside))
+    return max(counts, default=count)
+
+
+@pytest.mark.parametrize(
+    "name, most",
+    [("r01_revenue_per_category", 2), ("a14_mode_per_group", 0), ("a15_most_frequent_tuple", 0), ("d25_busy_cities", 0),
+     ("d06_segment_sales_and_profit", 1)],
+)
+def test_lines_are_shuffled_no_more_than_their_joins_need(spark, tables, name, most):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert line_exchanges(ENTRIES[name].build(tables)) <= most
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 @pytest.mark.parametrize("name", LAZY)
 def test_plans_stay_on_the_jvm_and_join_on_keys(tables, name):
     text = plan(ENTRIES[name].build(tables))
