@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +29,25 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Let Python tasks import this package where it is not installed on the executors: Spark hands them a copy, as it
+    does with --py-files. Nothing to do where PYTHONPATH names its folder."""
+    package = os.path.dirname(os.path.abspath(__file__))
+    root, context = os.path.dirname(package), spark.sparkContext
+    on_path = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    name = os.path.basename(package) + ".zip"
+    if root in on_path or any(os.path.basename(f) == name for f in context.listFiles):
+        return spark
+    archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="lakeops-")), name)
+    with zipfile.ZipFile(archive, "w") as packed:
+        for folder, _, files in os.walk(package):
+            for file in files:
+                if file.endswith(".py"):
+                    packed.write(os.path.join(folder, file), os.path.relpath(os.path.join(folder, file), root))
+    context.addPyFile(archive)
+    return spark
+
+
 def local_session(app: str = "lakeops", cores: int | str = "*", memory: str = "8g") -> SparkSession:
     """A session for tests and benchmarks on one machine."""
     builder = (
