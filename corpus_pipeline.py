@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.llm import decontamination, language, near_duplicates, packing, surrogates
-from lakeops.session import scratch_path, tune
+from lakeops.session import scratch_path, ship_package, tune
 
 #: Documents whose best language knows a smaller share of their n-grams are in no known language.
 LEAST_SCORE = 0.2
@@ -16,7 +16,7 @@ SURROGATE_KEY = "test tables"
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages their own labels teach; those without a letter or a known language go."""
-    tune(spark)
+    docs = _tuned(spark, docs)
     model = language.learn(docs.select("text", "lang"))
     return language.keep_known(docs, model, LEAST_SCORE)
 
@@ -46,7 +46,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _tuned(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    tune(spark)
+    ship_package(tune(spark))
     return docs
 
 
@@ -64,7 +64,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``, each written and read again by the next."""
-    tune(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         path = scratch_path(spark, f"pipeline-{name}")

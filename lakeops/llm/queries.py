@@ -18,7 +18,7 @@ from lakeops.llm import (
     surrogates,
     token_counts,
 )
-from lakeops.session import scratch_path, tune
+from lakeops.session import scratch_path, ship_package, tune
 
 #: The key that surrogates depend on. A real run gets its own from its secret store.
 SURROGATE_KEY = "test tables"
@@ -31,7 +31,7 @@ def query(name: str, sql: str | None = None):
     """Register ``run(spark, sf_dir)``."""
 
     def add(run):
-        QUERIES[name] = lambda spark, sf_dir: run(tune(spark), sf_dir)
+        QUERIES[name] = lambda spark, sf_dir: run(ship_package(tune(spark)), sf_dir)
         if sql:
             ORACLE_SQL[name] = sql
         return run
