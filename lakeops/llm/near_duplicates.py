@@ -26,7 +26,7 @@ ROWS, BANDS = 3, 12
 # down to LEAST_WEIGHT for a shingle of all documents: a group of copies that makes up much of the corpus makes its own
 # shingles frequent, and copies must stay near duplicates whatever the size of their group.
 RARE_SHARE = 1 / 256
-LEAST_WEIGHT = 0.8
+LEAST_WEIGHT = 0.9
 #: Cells of the sketch of document frequencies, and parts it travels in. Fixed: the share that a cell counts by mistake
 #: is the mean number of shingles of a text over the cells, at any number of documents.
 CELLS = 1 << 20
