@@ -37,9 +37,19 @@ SYLLABLES = {
 }
 CYRILLIC_ENDING = {"m": "ов", "f": "ова"}
 
+
+
+def _any_of(words) -> str:
+    """A pattern for one of the words that looks at each first letter once."""
+    tails: dict[str, list[str]] = {}
+    for word in sorted(words, key=lambda w: (w[0], -len(w), w)):
+        tails.setdefault(word[0], []).append(word[1:])
+    return "|".join(f"{first}(?:{'|'.join(rest)})" for first, rest in tails.items())
+
+
 _SURNAME = r"\p{Lu}[\p{L}'’-]+"
-_GIVEN = "|".join(name for names in GIVEN.values() for name in names)
-_TITLE = "|".join(t for titles in TITLES.values() for t in titles)
+_GIVEN = _any_of(name for names in GIVEN.values() for name in names)
+_TITLE = _any_of(t for titles in TITLES.values() for t in titles)
 # How each kind looks. The first that matches at a place wins; a kind's own digits or letters do not go on around it.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -48,10 +58,13 @@ PATTERNS = {
     "ip": rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.\d)",
     "card": r"(?<!\w)\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?!\w)|(?<!\w)\d{4}[ -]\d{6}[ -]\d{5}(?!\w)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "name": rf"(?<!\p{{L}})(?:(?:{_TITLE})\.? (?:(?:{_GIVEN}) )?|(?:{_GIVEN}) ){_SURNAME}(?!\p{{L}})",
+    "name": rf"(?=[A-ZÀ-ÞА-ЯЁг])(?<!\p{{L}})(?:(?:{_TITLE})\.? (?:(?:{_GIVEN}) )?|(?:{_GIVEN}) ){_SURNAME}(?!\p{{L}})",
 }
-ENTITY = "|".join(f"(?:{pattern})" for pattern in PATTERNS.values())
 KINDS = tuple(PATTERNS)
+# All kinds at once: nothing begins within a word, and four kinds begin with a digit or one of two signs, so most places
+# of a text are passed over by one or two looks.
+_NUMBERS = "|".join(f"(?:{PATTERNS[kind]})" for kind in ("phone", "ip", "card", "ssn"))
+ENTITY = rf"(?<!\w)(?:(?:{PATTERNS['email']})|(?=[0-9+(])(?:{_NUMBERS})|(?:{PATTERNS['name']}))"
 
 
 def _hash(key: str, *parts: Column) -> Column:
@@ -233,51 +246,59 @@ def find_entities(text: Column) -> Column:
     return F.coalesce(F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)), F.array().cast("array<string>"))
 
 
-def surrogate_table(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """``entity``, ``kind`` and ``replacement`` for every distinct mention in the corpus."""
-    mentions = docs.select(F.explode(find_entities(F.col(text))).alias("entity")).distinct()
-    described = written(_described(mentions), "entities")
+def surrogate_table(mentions: DataFrame, key: str) -> DataFrame:
+    """``entity``, ``kind`` and ``replacement`` for every distinct mention in ``mentions`` (entity)."""
+    described = written(_described(mentions.select("entity").distinct()), "entities")
     made = _distinct_surrogates(described.select("kind", "canon").distinct(), key)
     return written(
         described.join(made, ["kind", "canon"]).select("entity", "kind", _rendered(key).alias("replacement")), "replacements"
     )
 
 
+def _replaced(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``docs`` with surrogates in ``text``, and the entities that were there in ``_found``.
+
+    Entities and their replacements are kept by the text's hash, so copies share them. Texts with an entity meet them by
+    that hash; the others, which are most, do not move.
+    """
+    body = F.col(text)
+    ours = {"_a": F.xxhash64(body), "_b": F.xxhash64(F.lit("b"), body)}
+    has = F.size(find_entities(body)) > 0
+    found = docs.select(*(c.alias(n) for n, c in ours.items()), find_entities(body).alias("_found"))
+    found = written(found.filter(F.size("_found") > 0).groupBy("_a", "_b").agg(F.first("_found").alias("_found")), "found")
+    mentions = found.select("_a", "_b", F.explode(F.array_distinct("_found")).alias("entity"))
+    pairs = F.map_from_entries(F.collect_list(F.struct("entity", "replacement")))
+    maps = mentions.join(surrogate_table(mentions, key), "entity").groupBy("_a", "_b").agg(pairs.alias("_map"))
+    keyed = docs.filter(has).withColumns(ours).join(found, ["_a", "_b"]).join(maps, ["_a", "_b"])
+
+    def mended(part: Column, entity: Column) -> Column:
+        return F.concat(part, F.coalesce(F.get(F.array(F.col("_map")[entity]), F.lit(0)), F.lit("")))
+
+    whole = F.array_join(F.zip_with(F.split(body, ENTITY, -1), F.col("_found"), mended), "")
+    changed = keyed.withColumn(text, whole).select(*docs.columns, "_found")
+    return docs.filter(~has).withColumn("_found", F.array().cast("array<string>")).unionByName(changed)
+
+
 def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``docs`` with all columns and every entity in ``text`` replaced.
 
     The replacement depends on the key and on what is meant: mentions of one thing agree in all documents, also where
     case or separators differ, and different things stay different. Null and empty texts and texts without an entity
     stay as they are, as do all other columns; repeated rows stay repeated; an empty table gives an empty result.
+    Columns named ``_a``, ``_b``, ``_found`` or ``_map`` would clash and are refused.
     """
-    body = F.col(text)
-    ours = [F.xxhash64(body), F.xxhash64(F.lit("b"), body)]
-    table = surrogate_table(docs, key, text).select("entity", "replacement")
-    found = docs.select(ours[0].alias("_a"), ours[1].alias("_b"), F.array_distinct(find_entities(body)).alias("_found"))
-    texts = found.filter(F.size("_found") > 0).groupBy("_a", "_b").agg(F.first("_found").alias("_found"))
-    pairs = F.map_from_entries(F.collect_list(F.struct("entity", "replacement")))
-    maps = (
-        texts.select("_a", "_b", F.explode("_found").alias("entity"))
-        .join(table, "entity")
-        .groupBy("_a", "_b")
-        .agg(pairs.alias("_map"))
-    )
-    has = F.size(find_entities(body)) > 0
-    keyed = docs.filter(has).withColumns({"_a": ours[0], "_b": ours[1]}).join(maps, ["_a", "_b"])
-    rest = F.split(body, ENTITY, -1)
-    mended = F.zip_with(
-        rest, find_entities(body), lambda part, entity: F.concat(part, F.coalesce(F.get(F.array(F.col("_map")[entity]), F.lit(0)), F.lit("")))
-    )
-    changed = keyed.withColumn(text, F.array_join(mended, "")).select(docs.columns)
-    return docs.filter(~has).union(changed)
+    taken = {"_a", "_b", "_found", "_map"} & set(docs.columns)
+    if taken:
+        raise ValueError(f"columns in use: {sorted(taken)}")
+    return _replaced(docs, key, text).select(docs.columns)
 
 
 def replacement_report(docs: DataFrame, key: str) -> DataFrame:
     """Per document the text with surrogates and the number of entities of each kind."""
-    rows = docs.select("doc_id", "text", F.transform(find_entities(F.col("text")), kind_of).alias("kinds"))
 
     def number(kind: str) -> Column:
         return F.size(F.filter("kinds", lambda k: k == kind)).cast("bigint").alias(f"n_{kind}")
 
-    counted = rows.select("doc_id", "text", *map(number, KINDS))
-    return replace_entities(counted, key)
+    replaced = _replaced(docs.select("doc_id", "text"), key, "text")
+    kinds = replaced.select("doc_id", "text", F.transform("_found", kind_of).alias("kinds"))
+    return kinds.select("doc_id", "text", *map(number, KINDS))
