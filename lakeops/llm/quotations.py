@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -105,21 +107,27 @@ def link_quotes(parsed: DataFrame) -> DataFrame:
 
 def _threads(replies: DataFrame) -> DataFrame:
     """``msg_id``, ``root`` and ``depth`` of ``replies`` (msg_id, reply_to) by pointer jumping: each round doubles the way
-    that is known, so a chain of n replies takes log2(n) rounds."""
-    known = written(replies.select("msg_id", F.col("reply_to").alias("up"), F.lit(1).alias("way")), "reply-ways")
-    while True:
-        above = known.select(F.col("msg_id").alias("up"), F.col("up").alias("next"), F.col("way").alias("more"))
-        step = known.join(above, "up", "left").select(
+    that is known, so a chain of n replies takes log2(n) rounds. A message takes part until its way ends at a root."""
+    first = replies.select(
+        "msg_id", F.col("reply_to").alias("up"), F.lit(1).alias("way"), F.col("reply_to").isNull().alias("ended")
+    )
+    first = written(first, "reply-ways")
+    finished, going = [first.filter("ended")], first.filter("NOT ended")
+    while not going.isEmpty():
+        above = reduce(DataFrame.union, [*finished, going]).select(
+            F.col("msg_id").alias("up"), F.col("up").alias("next"), F.col("way").alias("more"), F.col("ended").alias("known")
+        )
+        at_root = F.col("next").isNull()
+        step = going.drop("ended").join(above, "up").select(
             "msg_id",
             F.coalesce("next", "up").alias("up"),
-            (F.col("way") + F.when(F.col("next").isNotNull(), F.col("more")).otherwise(0)).alias("way"),
-            F.col("next").isNotNull().alias("moved"),
+            (F.col("way") + F.when(at_root, 0).otherwise(F.col("more"))).alias("way"),
+            F.col("known").alias("ended"),
         )
         step = written(step, "reply-ways")
-        known = step.drop("moved")
-        if step.filter("moved").isEmpty():
-            break
-    return known.select(
+        finished.append(step.filter("ended"))
+        going = step.filter("NOT ended")
+    return reduce(DataFrame.union, finished).select(
         "msg_id",
         F.coalesce("up", "msg_id").alias("root"),
         F.when(F.col("up").isNull(), 0).otherwise(F.col("way")).alias("depth"),
