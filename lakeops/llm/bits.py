@@ -8,14 +8,17 @@ from pyspark.sql import functions as F
 
 #: Bits of a filter: 2 MiB, whatever is put in. A fuller filter lets more through, which only costs time.
 FILTER_BITS = 1 << 24
+#: Where in a hash the numbers of its bits begin.
+PROBES = (0, 20, 40)
 
 
 def hash_filter(hashes: DataFrame, name: str) -> np.ndarray:
     """The bits of all values of the bigint column ``name``. They are set per byte on the executors, so the driver gets
     FILTER_BITS / 8 bytes at most."""
-    slot = F.col(name).bitwiseAND(F.lit(FILTER_BITS - 1))
-    bit = F.expr(f"shiftleft(1, CAST(`{name}` & 7 AS INT))")
-    found = hashes.groupBy(F.shiftright(slot, 3).alias("byte")).agg(F.bit_or(bit).alias("bits")).toPandas()
+    slots = [F.shiftrightunsigned(name, probe).bitwiseAND(F.lit(FILTER_BITS - 1)) for probe in PROBES]
+    each = hashes.select(F.explode(F.array(*slots)).alias("slot"))
+    bit = F.bit_or(F.expr("shiftleft(1, CAST(slot & 7 AS INT))")).alias("bits")
+    found = each.groupBy(F.shiftright("slot", 3).alias("byte")).agg(bit).toPandas()
     bits = np.zeros(FILTER_BITS // 8, np.uint8)
     bits[found["byte"].to_numpy(np.int64)] = found["bits"].to_numpy(np.uint8)
     return bits
@@ -23,5 +26,9 @@ def hash_filter(hashes: DataFrame, name: str) -> np.ndarray:
 
 def may_hold(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """For each 64-bit hash whether it may have been put in; never false for one that was."""
-    slot = hashes.view(np.uint64) & np.uint64(FILTER_BITS - 1)
-    return (bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    held = np.ones(len(hashes), bool)
+    for probe in PROBES:
+        left = np.flatnonzero(held)  # most are ruled out by the first look
+        slot = (hashes.view(np.uint64)[left] >> np.uint64(probe)) & np.uint64(FILTER_BITS - 1)
+        held[left] = (bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    return held

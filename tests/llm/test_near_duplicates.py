@@ -235,3 +235,14 @@ def test_signature_classes_agree_with_brute_force(spark, odd_docs, no_docs):
     odd = spot_signatures.like_classes(spot_signatures.fingerprints(odd_docs)).collect()
     assert len(odd) == odd_docs.count() and {r["class_id"] for r in odd if r["doc_id"] in (9009, 9010)} == {9009}
     assert spot_signatures.like_classes(spot_signatures.fingerprints(no_docs)).count() == 0
+
+
+def test_filter_holds_what_was_put_in_and_little_else(spark):
+    from lakeops.llm.bits import hash_filter, may_hold
+
+    held = spark.range(20_000).selectExpr("xxhash64(id) AS h")
+    bits = hash_filter(held, "h")
+    assert may_hold(bits, np.array([r["h"] for r in held.collect()], np.int64)).all()
+    others = np.random.default_rng(0).integers(-(1 << 62), 1 << 62, 200_000)
+    assert may_hold(bits, others).mean() < 1e-4
+    assert not may_hold(hash_filter(held.limit(0), "h"), others).any()
