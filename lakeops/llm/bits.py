@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,3 +35,27 @@ def may_hold(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
         slot = (hashes.view(np.uint64)[left] >> np.uint64(probe)) & np.uint64(FILTER_BITS - 1)
         held[left] = (bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
     return held
+
+
+def divided(docs: DataFrame, key: str, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` in two parts: rows whose ``key`` is certainly not among ``ids``, and rows whose key may be.
+
+    The second part is to be joined with ``ids``; the first, most of the rows where few are meant, need not move. A row
+    with a null key is in one of the parts. A column ``_key_hash`` would clash and is refused.
+    """
+    if "_key_hash" in docs.columns:
+        raise ValueError("column in use: _key_hash")
+    bits = hash_filter(ids.select(F.xxhash64(key).alias("hash")), "hash")
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
+    hashed = docs.withColumn("_key_hash", F.xxhash64(key))
+
+    def part(wanted: bool) -> DataFrame:
+        def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                *columns, hashes = batch.columns
+                rows = pa.RecordBatch.from_arrays(columns, schema=pa.schema(list(batch.schema)[:-1]))
+                yield rows.filter(pa.array(may_hold(shared.value, hashes.to_numpy()) == wanted))
+
+        return hashed.mapInArrow(kept, docs.schema)
+
+    return part(False), part(True)

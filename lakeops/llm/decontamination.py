@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.bits import hash_filter, may_hold
+from lakeops.llm.bits import divided, hash_filter, may_hold
 from lakeops.llm.words import blocks, mix, word_hashes
 from lakeops.session import written
 
@@ -190,4 +190,6 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", item: s
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` with all columns, without the documents that overlap a benchmark item. A null id is kept."""
     found = overlaps(docs.select("doc_id", "text"), benchmark.select("item_id", "text"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    gone = written(found.select("doc_id").distinct(), "contaminated")
+    staying, others = divided(docs, "doc_id", gone)
+    return staying.unionByName(others.join(gone, "doc_id", "left_anti")).select(docs.columns)

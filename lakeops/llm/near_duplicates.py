@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.bits import hash_filter, may_hold
+from lakeops.llm.bits import divided, hash_filter, may_hold
 from lakeops.llm.components import components
 from lakeops.llm.leaders import candidate_pairs
 from lakeops.llm.words import blocks, mix, shingles, word_hashes
@@ -315,6 +315,7 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     found = written(classes.groupBy("doc_id").agg(F.min("class_id").alias("class_id"), F.count("*").alias("n")), "classes")
     gone = found.filter("class_id <> doc_id OR n > 1").select("doc_id")
     again = found.filter("class_id = doc_id AND n > 1").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns).union(
-        docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
-    )
+    staying, others = divided(docs, "doc_id", gone)
+    others = written(others, "may-go")
+    once = others.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return staying.unionByName(others.join(gone, "doc_id", "left_anti")).unionByName(once).select(docs.columns)
