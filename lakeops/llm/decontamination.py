@@ -21,8 +21,10 @@ SPAN = len(MASKS[0])
 LEAST_WORDS = 5
 #: The aligned stretch must have this many equal words (or four fifths of a shorter item) ...
 LEAST_EQUAL = 10
-#: ... and this share of equal words; the best stretch is found with MISMATCH points off per differing word.
+#: ... and this share of equal words, which is one differing word for every EQUAL_PER_OTHER equal ones.
 LEAST_SHARE = 0.8
+EQUAL_PER_OTHER = 4
+#: Points off per differing word in ``best_stretch``.
 MISMATCH = 2.0
 
 HITS = "array<struct<seed:bigint,at:bigint>>"
@@ -99,6 +101,27 @@ def best_stretch(equal: np.ndarray) -> tuple[int, int, int]:
     return start, stop, int(equal[start:stop].sum())
 
 
+def overlap(equal: np.ndarray) -> tuple[int, int, int]:
+    """(start, stop, equal words) of the stretch with the most equal words among all that have LEAST_SHARE of them.
+
+    Of several the shortest, and then the first. A stretch has the share if its sum of 1 per equal word less
+    EQUAL_PER_OTHER per other is not negative; for each stop the earliest start with such a sum is the best one.
+    """
+    points = np.concatenate(([0], np.cumsum(np.where(equal, 1, -EQUAL_PER_OTHER))))
+    low = np.minimum.accumulate(points)
+    begin = np.searchsorted(-low, -points, "left")
+    before = np.concatenate(([0], np.cumsum(equal)))
+    counts = before - before[begin]
+    most = int(counts.max())
+    if not most:
+        return 0, 0, 0
+    places = np.flatnonzero(equal)  # differing words at the ends go
+    stops = np.flatnonzero(counts == most)
+    starts, ends = places[before[begin[stops]]], places[before[stops] - 1] + 1
+    best = int(np.argmin(ends - starts))
+    return int(starts[best]), int(ends[best]), most
+
+
 def accepted(start: int, stop: int, equal: int, item_words: int) -> bool:
     needed = LEAST_EQUAL if item_words >= SPAN else int(np.ceil(LEAST_SHARE * item_words))
     return equal >= needed and equal >= LEAST_SHARE * (stop - start)
@@ -117,7 +140,7 @@ def _verify(key: str, item: str):
                 theirs = items[row].values.to_numpy()
                 mine = documents[row].values.to_numpy()
                 first, last = max(0, -shift), min(len(theirs), len(mine) - shift)
-                start, stop, equal = best_stretch(theirs[first:last] == mine[first + shift : last + shift])
+                start, stop, equal = overlap(theirs[first:last] == mine[first + shift : last + shift])
                 if accepted(start, stop, equal, len(theirs)):
                     kept.append(row)
                     rows.append((first + start + shift, first + start, stop - start, equal, len(theirs)))
@@ -137,7 +160,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", item: s
     Rows: ``key``, ``item``, where the overlap begins in both (word numbers), its words, how many are equal, and the
     item's words. Windows of both sides are hashed under the masks and joined; a fixed-size filter of the benchmark's
     hashes keeps other windows out of the shuffle. A hit fixes how the two texts lie; along it words are compared, and
-    the best stretch must have LEAST_EQUAL equal words and LEAST_SHARE of all. Every text is read whole. Null and empty
+    some stretch with LEAST_SHARE of equal words must have LEAST_EQUAL of them. Every text is read whole. Null and empty
     texts and items under LEAST_WORDS words overlap nothing; repeated documents or items give one row per pair of ids;
     an empty table on either side gives an empty result. Null ids are left out.
     """

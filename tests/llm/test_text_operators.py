@@ -120,6 +120,24 @@ def test_best_stretch_is_the_best_of_all():
         assert points(start, stop) == best and count == equal[start:stop].sum()
 
 
+def test_overlap_has_the_most_equal_words_of_all_stretches_with_the_share():
+    draw = np.random.default_rng(1)
+    for _ in range(300):
+        equal = draw.random(draw.integers(0, 40)) < draw.choice([0.5, 0.7, 0.8])
+        start, stop, count = dc.overlap(equal)
+        spans = [(a, b) for a in range(len(equal)) for b in range(a + 1, len(equal) + 1) if 5 * equal[a:b].sum() >= 4 * (b - a)]
+        assert count == max((equal[a:b].sum() for a, b in spans), default=0) == equal[start:stop].sum()
+        assert stop - start == min((b - a for a, b in spans if equal[a:b].sum() == count), default=0) or not count
+
+
+def test_a_longer_stretch_below_the_share_does_not_hide_a_verbatim_run(spark):
+    bench = prose(710, 49).split(" ")
+    text = " ".join(changed(bench, {*range(12, 17), *range(29, 35)}))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    (row,) = dc.overlaps(docs, items(spark, [" ".join(bench)])).collect()
+    assert row["n_equal"] >= 14 and row["n_equal"] >= 0.8 * row["n_words"]
+
+
 def test_decontamination_of_odd_rows(spark, odd_docs, no_docs):
     bench = items(spark, [None, "", "tie tie tie tie tie tie tie", "a b", prose(3, 30), "日本語のテキスト"])
     found = {(r["doc_id"], r["item_id"]) for r in dc.overlaps(odd_docs, bench.union(bench)).collect()}
