@@ -13,10 +13,15 @@ from lakeops.llm.bits import divided, hash_filter, may_hold
 from lakeops.llm.words import blocks, mix, word_hashes
 from lakeops.session import written
 
-# Word positions that count (1) or are ignored (0). A window of words hits if the counted ones are equal, so each mask
-# forgives any change at its ignored places, and the masks ignore different ones.
-MASKS = ("111101101011", "110111010111", "101011101111")
-SPAN = len(MASKS[0])
+#: From this length on an item has the rule of LEAST_EQUAL words; a shorter one must be equal in four fifths of its own.
+LONG = 12
+# Word positions that count (1) or are ignored (0). A window of words hits if the counted ones are equal. The masks of a
+# length hit every pattern of equal and differing words that its rule accepts: a stretch of 24 words or more has a part
+# of 12 or more that is accepted, and the shorter patterns were all tried (the tests try them again).
+LONG_MASKS = ("1110111", "11010010011", "11010001101")
+MIDDLE_MASKS = ("1111000011", "1100101011", "1110111", "1011111", "1111101", "111001011")
+#: Items of this many words and up to LONG have MIDDLE_MASKS; shorter ones forgive one word, each in turn.
+MIDDLE = 8
 #: An item of fewer words is too short to be told from chance and never matches.
 LEAST_WORDS = 5
 #: The aligned stretch must have this many equal words (or four fifths of a shorter item) ...
@@ -30,11 +35,23 @@ MISMATCH = 2.0
 HITS = "array<struct<seed:bigint,at:bigint>>"
 
 
+def masks_of_length(words: int) -> tuple[str, ...]:
+    """The masks for an item of that many words; none for one that is too short."""
+    if words < LEAST_WORDS:
+        return ()
+    if words < MIDDLE:
+        whole = "1" * (words - 1)
+        return (whole, *(whole[:k] + "0" + whole[k:] for k in range(1, words - 1)))
+    return MIDDLE_MASKS if words < LONG else LONG_MASKS
+
+
+#: All masks; a mask's number is its place here, the same for items of every length.
+MASKS = tuple(sorted({mask for words in range(LEAST_WORDS, LONG + 1) for mask in masks_of_length(words)}))
+
+
 def masks_for(words: int) -> list[tuple[int, str]]:
-    """The numbered masks for an item of that many words; a short item has masks cut to its length."""
-    if words >= SPAN:
-        return list(enumerate(MASKS))
-    return [(len(MASKS) * (SPAN - words) + k, mask[:words]) for k, mask in enumerate(MASKS)] if words >= LEAST_WORDS else []
+    """The numbered masks for an item of that many words."""
+    return [(MASKS.index(mask), mask) for mask in masks_of_length(min(words, LONG))]
 
 
 def windows(hashes: np.ndarray, bounds: np.ndarray, number: int, mask: str) -> tuple[np.ndarray, np.ndarray]:
@@ -50,7 +67,9 @@ def windows(hashes: np.ndarray, bounds: np.ndarray, number: int, mask: str) -> t
 
 def _hits(numbers: list[int], filter_bits, key: str):
     """Per text its words and the windows to be joined: all of an item's, those that pass the filter of a document's."""
-    lengths = {number: mask for words in range(LEAST_WORDS, SPAN + 1) for number, mask in masks_for(words)}
+    of_length = np.zeros((len(MASKS), LONG + 1), bool)
+    for words in range(LONG + 1):
+        of_length[[number for number, _ in masks_for(words)], words] = True
 
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = None if filter_bits is None else filter_bits.value
@@ -62,10 +81,10 @@ def _hits(numbers: list[int], filter_bits, key: str):
                 counts = np.diff(bounds)
                 owner, seeds, ats = [], [], []
                 for number in numbers:
-                    first, seed = windows(hashes, bounds, number, lengths[number])
+                    first, seed = windows(hashes, bounds, number, MASKS[number])
                     who = np.searchsorted(bounds, first, "right") - 1
                     if bits is None:  # an item: only the masks for its own length
-                        whole = counts[who] == len(lengths[number]) if number >= len(MASKS) else counts[who] >= SPAN
+                        whole = of_length[number, np.minimum(counts[who], LONG)]
                     else:
                         whole = may_hold(bits, seed)
                     kept = np.flatnonzero(whole)
@@ -123,7 +142,7 @@ def overlap(equal: np.ndarray) -> tuple[int, int, int]:
 
 
 def accepted(start: int, stop: int, equal: int, item_words: int) -> bool:
-    needed = LEAST_EQUAL if item_words >= SPAN else int(np.ceil(LEAST_SHARE * item_words))
+    needed = LEAST_EQUAL if item_words >= LONG else int(np.ceil(LEAST_SHARE * item_words))
     return equal >= needed and equal >= LEAST_SHARE * (stop - start)
 
 
@@ -166,16 +185,15 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", item: s
     """
     spark = docs.sparkSession
     kinds = {name: df.schema[name].dataType.simpleString() for df, name in ((docs, key), (benchmark, item))}
-    numbers = sorted({number for words in range(LEAST_WORDS, SPAN + 1) for number, _ in masks_for(words)})
     items = written(
         benchmark.select(item, "text")
         .filter(F.col(item).isNotNull())
         .dropDuplicates([item])
-        .mapInArrow(_hits(numbers, None, item), f"`{item}` {kinds[item]}, words array<bigint>, hits {HITS}"),
+        .mapInArrow(_hits(list(range(len(MASKS))), None, item), f"`{item}` {kinds[item]}, words array<bigint>, hits {HITS}"),
         "benchmark-seeds",
     )
     seeds = items.select(item, F.inline("hits"))
-    lengths = items.agg(F.collect_set(F.least(F.size("words"), F.lit(SPAN)))).first()[0]
+    lengths = items.agg(F.collect_set(F.least(F.size("words"), F.lit(LONG)))).first()[0]
     used = sorted({number for words in lengths for number, _ in masks_for(words)})
     if not used:
         used = [0]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 import re
 
@@ -138,6 +139,30 @@ def test_a_longer_stretch_below_the_share_does_not_hide_a_verbatim_run(spark):
     assert row["n_equal"] >= 14 and row["n_equal"] >= 0.8 * row["n_words"]
 
 
+def test_masks_hit_every_pattern_that_the_rule_accepts():
+    for words in range(dc.LEAST_WORDS, dc.LONG + 1):
+        masks = [(int(mask, 2), len(mask)) for _, mask in dc.masks_for(words)]
+        for n in range(2, 24 if words == dc.LONG else words + 1):
+            for others in range(n // 5 + 1):
+                if not dc.accepted(0, n, n - others, words):
+                    continue
+                for places in itertools.combinations(range(1, n - 1), others):
+                    pattern = (1 << n) - 1 - sum(1 << k for k in places)
+                    hit = any((pattern >> at) & mask == mask for mask, span in masks for at in range(n - span + 1))
+                    assert hit, (words, n, places)
+
+
+def test_short_overlaps_and_changed_short_items_are_found(spark):
+    bench, draw = [prose(720 + k, n) for k, n in enumerate((40, 5, 7, 9, 11))], random.Random(4)
+    long = bench[0].split(" ")
+    docs = {1: long[5:15], 2: long[20:31], 3: changed(long[:15], {3, 7, 11})}
+    docs |= {10 * k + place: changed(bench[k].split(" "), {place}) for k in (1, 2, 3, 4) for place in range(len(bench[k].split(" ")))}
+    rows = [(i, f"{prose(800 + i, 30)} {' '.join(part)} {prose(900 + i, 30)}") for i, part in docs.items()]
+    draw.shuffle(rows)
+    found = dc.overlaps(spark.createDataFrame(rows, "doc_id long, text string"), items(spark, bench)).collect()
+    assert {(i, i // 10) for i in docs if i < 45} <= {(r["doc_id"], r["item_id"]) for r in found}
+
+
 def test_decontamination_of_odd_rows(spark, odd_docs, no_docs):
     bench = items(spark, [None, "", "tie tie tie tie tie tie tie", "a b", prose(3, 30), "日本語のテキスト"])
     found = {(r["doc_id"], r["item_id"]) for r in dc.overlaps(odd_docs, bench.union(bench)).collect()}
