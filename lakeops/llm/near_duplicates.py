@@ -10,10 +10,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from lakeops.llm.bits import divided, hash_filter, may_hold
 from lakeops.llm.components import components
-from lakeops.llm.leaders import candidate_pairs
+from lakeops.llm.leaders import candidates, unlike
 from lakeops.llm.words import blocks, mix, shingles, word_hashes
 from lakeops.session import written
 
@@ -34,6 +35,10 @@ PARTS = 16
 #: Parts of the sketch that one task adds up.
 FAN_IN = 16
 
+#: Shingles and texts of a bucket that one task holds at most (two such blocks); texts and shingles compared at a time.
+BLOCK_SHINGLES, BLOCK_TEXTS = 1 << 20, 1 << 12
+CHUNK_TEXTS, CHUNK_SHINGLES = 256, 1 << 16
+
 SET_BITS = np.uint64(16)  # shingles are 48-bit numbers, so that a text's number fits beside them
 
 
@@ -266,11 +271,89 @@ def _verified(threshold: float):
     return verified
 
 
+def _chunks(sizes: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of up to CHUNK_TEXTS texts and CHUNK_SHINGLES shingles, one text at least."""
+    cuts, held = [0], 0
+    for place, size in enumerate(sizes):
+        if place > cuts[-1] and (place - cuts[-1] == CHUNK_TEXTS or held + size > CHUNK_SHINGLES):
+            cuts.append(place)
+            held = 0
+        held += size
+    return list(zip(cuts, [*cuts[1:], len(sizes)])) if len(sizes) else []
+
+
+def most_shared(one: list[np.ndarray], one_weights: list[np.ndarray], two: list[np.ndarray], two_weights: list[np.ndarray]) -> np.ndarray:
+    """For each text of ``one`` and of ``two`` the sum over shared shingles of the root of both weights' product.
+
+    At least the sum of the smaller weights, and equal to it where the weights of both agree.
+    """
+    known = np.intersect1d(np.unique(np.concatenate(one)), np.unique(np.concatenate(two)), assume_unique=True)
+    sides = []
+    for shingles_of, weights_of in ((one, one_weights), (two, two_weights)):
+        dense = np.zeros((len(shingles_of), len(known)), np.float32)
+        if len(known):
+            value, row = np.concatenate(shingles_of), np.repeat(np.arange(len(shingles_of)), [len(s) for s in shingles_of])
+            at = np.minimum(np.searchsorted(known, value), len(known) - 1)
+            held = known[at] == value
+            dense[row[held], at[held]] = np.sqrt(np.concatenate(weights_of)[held])
+        sides.append(dense)
+    return sides[0] @ sides[1].T
+
+
+def _compared(threshold: float, kind: pa.DataType):
+    """Links between all members of different labels of a bucket, or between two blocks of one."""
+
+    def compared(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        one, two = table["one"][0].as_py(), table["two"][0].as_py()
+        ids, block = table["id"], table["block"].to_numpy()
+        label = np.unique(table["label"].to_numpy(zero_copy_only=False), return_inverse=True)[1]
+        found, weights = ([row.values.to_numpy() for row in table[name]] for name in ("shingles", "weights"))
+        total = np.array([w.sum(dtype=np.float64) for w in weights])
+        first, second = np.flatnonzero(block == one), np.flatnonzero(block == two)
+        links = []
+        cuts = [[side[a:b] for a, b in _chunks(np.array([len(found[k]) for k in side]))] for side in (first, second)]
+        for i, mine in enumerate(cuts[0]):
+            for theirs in cuts[1][i if one == two else 0 :]:
+                parts = [[values[k] for k in side] for side in (mine, theirs) for values in (found, weights)]
+                shared = most_shared(*parts).astype(np.float64)
+                # The rounding of the product is far below this allowance.
+                near = shared * (1 + threshold) >= threshold * (total[mine][:, None] + total[theirs]) * (1 - 1e-4)
+                near &= label[mine][:, None] != label[theirs]
+                for a, b in zip(mine[np.nonzero(near)[0]], theirs[np.nonzero(near)[1]]):
+                    if weighted_jaccard(found[a], weights[a], found[b], weights[b]) >= threshold:
+                        links.append((a, b))
+        sides = [pa.array([link[k] for link in links], pa.int64()) for k in (0, 1)]
+        return pa.table({name: ids.take(side).cast(kind) for name, side in zip("ab", sides)})
+
+    return compared
+
+
+def _missing_links(rest: DataFrame, labels: DataFrame, features: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between bucket members that no leader has brought into one class; every such pair is compared.
+
+    A member's shingles travel once per bucket, whatever its size; a bucket of more than a block is cut into blocks and
+    each pair of blocks is a task's work.
+    """
+    open_ = written(unlike(rest, labels), "buckets-open")
+    sized = open_.join(features.select("id", F.size("shingles").alias("size")), "id")
+    counts = sized.groupBy("band").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    blocks_of = F.greatest(F.ceil(F.col("n") / BLOCK_TEXTS), F.ceil(F.col("size") / BLOCK_SHINGLES))
+    dealt = open_.join(counts.select("band", blocks_of.alias("blocks")), "band")
+    dealt = dealt.withColumn("block", F.expr("pmod(xxhash64(id, 1), blocks)"))
+    dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
+    dealt = dealt.withColumn("one", F.least("block", "other")).withColumn("two", F.greatest("block", "other"))
+    work = dealt.select("band", "one", "two", "block", "id", "label").join(features, "id")
+    schema = ", ".join(f"{name} {features.schema['id'].dataType.simpleString()}" for name in "ab")
+    kind = to_arrow_type(features.schema["id"].dataType)
+    return work.groupBy("band", "one", "two").applyInArrow(_compared(threshold, kind), schema).distinct()
+
+
 def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id`` and ``class_id`` (the smallest id of its class) for every row of ``docs``.
 
-    Texts of equal content are one text from the start. Others become linked if they share a band, are compared and
-    reach ``threshold``; classes are the connected components of the links. Null and blank texts are alone; texts
+    Texts of equal content are one text from the start. Others become linked if they share a band and
+    reach ``threshold``: first with their buckets' leaders, then with all members that are still in another class; classes are the connected components of the links. Null and blank texts are alone; texts
     without a word equal only their copies. A null id has a null class. Repeated rows have a row each. An empty table
     gives an empty result.
     """
@@ -282,7 +365,8 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD) -> Dat
     texts = written(
         signed.groupBy("key_a", "key_b").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands")), "contents"
     )
-    pairs = written(candidate_pairs(texts), "candidates")
+    pairs, rest = candidates(texts)
+    pairs = written(pairs, "candidates")
     # Few texts are candidates: a filter of their ids keeps the others out of the shuffle, the join is exact.
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     wanted = written(wanted.withColumn("hash", F.xxhash64("id")), "candidate-ids")
@@ -299,6 +383,10 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD) -> Dat
     schema = f"a {kind}, b {kind}"
     links = written(compared.mapInArrow(_verified(threshold), schema), "verified")
     labels = components(links)
+    # Every open bucket's members are candidates with its leaders, so they are described.
+    missing = written(_missing_links(rest, labels, described, threshold), "missing")
+    if not missing.isEmpty():
+        labels = components(links.union(missing))
     contents = texts.join(labels, "id", "left").select("key_a", "key_b", F.coalesce("label", "id").alias("class_id"))
     classes = signed.join(contents, ["key_a", "key_b"]).groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
     return docs.select("doc_id").join(classes, "doc_id", "left").select(

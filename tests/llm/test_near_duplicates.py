@@ -125,6 +125,29 @@ def test_a_large_group_of_copies_is_one_class(spark):
     assert all(found[1000 + i] == 1000 + i for i in range(600))
 
 
+def test_links_between_texts_that_are_like_no_leader_are_found(spark, monkeypatch):
+    """All share one band; pairs are like each other and like none of the leaders, which are the first texts."""
+    pairs = {2 * k: prose(40 + k, 80) for k in range(10, 40)}
+    texts = {k: prose(k, 80) for k in range(10)} | pairs | {k + 1: edited(t, 1, k) for k, t in pairs.items()}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(nd, "samples", lambda shingle, weight, starts: np.ones((len(starts), nd.ROWS * nd.BANDS), np.uint32))
+    for texts_a_block in (nd.BLOCK_TEXTS, 16):
+        monkeypatch.setattr(nd, "BLOCK_TEXTS", texts_a_block)
+        got = {r["doc_id"]: r["class_id"] for r in nd.near_duplicate_classes(frame).collect()}
+        assert got == {k: k - (k >= 20 and k % 2) for k in texts}
+
+
+def test_shared_weights_are_never_underrated():
+    draw = np.random.default_rng(8)
+    sets = [np.sort(draw.choice(200, draw.integers(1, 90), replace=False)) for _ in range(20)]
+    weights = [draw.uniform(0.9, 3, len(s)).astype(np.float32) for s in sets]
+    bound = nd.most_shared(sets[:8], weights[:8], sets[8:], weights[8:])
+    for a in range(8):
+        for b in range(8, 20):
+            both, at, to = np.intersect1d(sets[a], sets[b], return_indices=True)
+            assert bound[a, b - 8] >= np.minimum(weights[a][at], weights[b][to]).sum() - 1e-3
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     rows = nd.near_duplicate_classes(odd_docs).collect()
     found = {r["doc_id"]: r["class_id"] for r in rows}
