@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.llm.components import components
-from lakeops.llm.leaders import candidate_pairs
+from lakeops.llm.leaders import candidates, unlike
 from lakeops.operators.windows import ordered_window
 from lakeops.session import written
 
@@ -127,25 +127,41 @@ def like_classes(prints: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id`` and ``class_id`` (the smallest id of its class) for every row of ``prints`` (doc_id, signatures).
 
     Sets are partitioned by length, so that sets of similarity ``threshold`` lie in the same or neighbouring
-    partitions. A set need only be found by its first ``n - ceil(threshold * n) + 1`` signatures in order, of which two
+    partitions. A set need only be found by its ``n - ceil(threshold * n) + 1`` rarest signatures, of which two
     similar sets share one. Candidates are pruned by their lengths and then compared. Equal sets are one set from the
-    start, and a signature that many sets share pairs them with few leaders, not with each other. Null ids have a null
+    start. A signature that many sets share pairs them with few leaders first, and then those sets with each other that
+    are still in different classes. Null ids have a null
     class, repeated rows a row each, an empty table gives an empty result.
     """
     rows = prints.filter("doc_id IS NOT NULL").withColumn("digest", fingerprint(F.col("signatures")))
     sets = written(
         rows.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("signatures").alias("signatures")), "signature-sets"
     )
-    n = F.size("signatures")
+    each = sets.select("id", F.explode("signatures").alias("signature"))
+    counts = each.groupBy("signature").agg(F.count("*").alias("n"))
+    ranked = F.array_sort(F.collect_list(F.struct("n", "signature")))["signature"].alias("ranked")
+    ordered = each.join(counts, "signature").groupBy("id").agg(ranked)
+    n = F.size("ranked")
     part = F.floor(F.log(n.cast("double")) / -math.log(threshold)).cast("bigint")
-    first = F.slice("signatures", F.lit(1), (n - F.ceil(n * threshold - 1e-9) + 1).cast("int"))
+    first = F.slice("ranked", F.lit(1), (n - F.ceil(n * threshold - 1e-9) + 1).cast("int"))
     probes = F.concat(F.transform(first, lambda s: F.xxhash64(s, part)), F.transform(first, lambda s: F.xxhash64(s, part + 1)))
-    pairs = written(candidate_pairs(sets.select("id", probes.alias("bands"))), "signature-pairs")
-    sides = [sets.select(F.col("id").alias(s), F.col("signatures").alias(f"{s}_sigs")) for s in "ab"]
     sizes = (F.size("a_sigs"), F.size("b_sigs"))
     similar = (F.least(*sizes) >= F.greatest(*sizes) * threshold) & (likeness(F.col("a_sigs"), F.col("b_sigs")) >= threshold)
-    links = reduce(lambda left, side: left.join(side, side.columns[0]), sides, pairs).filter(similar).select("a", "b")
-    labels = components(written(links, "signature-links"))
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        sides = [sets.select(F.col("id").alias(s), F.col("signatures").alias(f"{s}_sigs")) for s in "ab"]
+        found = reduce(lambda left, side: left.join(side, side.columns[0]), sides, pairs).filter(similar).select("a", "b")
+        return written(found, "signature-links")
+
+    pairs, rest = candidates(ordered.select("id", probes.alias("bands")))
+    links = linked(written(pairs, "signature-pairs"))
+    labels = components(links)
+    open_ = written(unlike(rest, labels), "signature-buckets-open")
+    one, two = (open_.select("band", F.col("id").alias(s), F.col("label").alias(f"{s}_label")) for s in "ab")
+    others = one.join(two, "band").filter("a < b AND a_label <> b_label").select("a", "b").distinct()
+    missing = linked(written(others, "signature-pairs-open"))
+    if not missing.isEmpty():
+        labels = components(links.union(missing))
     named = sets.join(labels, "id", "left").select("digest", F.coalesce("label", "id").alias("class_id"))
     shown = prints.withColumn("digest", fingerprint(F.col("signatures"))).join(named, "digest", "left")
     return shown.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("class_id")).alias("class_id"))

@@ -260,6 +260,27 @@ def test_signature_classes_agree_with_brute_force(spark, odd_docs, no_docs):
     assert spot_signatures.like_classes(spot_signatures.fingerprints(no_docs)).count() == 0
 
 
+def test_signature_classes_of_sets_that_share_their_first_signatures(spark):
+    """The signatures all sets share come first by hash; those of a pair are like each other and like no other set."""
+    rows = []
+    for k in range(20):
+        own = [1000 * (k + 1) + j for j in range(90)]
+        rows += [(2 * k, [*range(40), *own]), (2 * k + 1, [*range(40), *own[1:], 1000 * (k + 1) + 500])]
+    prints = spark.createDataFrame(rows, "doc_id long, signatures array<long>")
+    got = {r["doc_id"]: r["class_id"] for r in spot_signatures.like_classes(prints).collect()}
+    assert got == {k: k - k % 2 for k in range(40)}
+
+
+def test_signature_classes_of_few_signatures_that_all_share(spark):
+    """Sets of ten of twelve signatures: no signature is rare, and leaders alone would leave links out."""
+    from itertools import combinations
+
+    sets = {k: frozenset(c) for k, c in enumerate(list(combinations(range(14), 10))[::9])}
+    wanted = classes_of(sets, lambda a, b: jaccard(sets[a], sets[b]) >= 0.8)
+    prints = spark.createDataFrame([(k, sorted(c)) for k, c in sets.items()], "doc_id long, signatures array<long>")
+    assert {r["doc_id"]: r["class_id"] for r in spot_signatures.like_classes(prints).collect()} == wanted
+
+
 def test_filter_holds_what_was_put_in_and_little_else(spark):
     from lakeops.llm.bits import hash_filter, may_hold
 
