@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.llm import (
+    bounded_kmeans,
     decontamination,
+    fill_in_middle,
     language,
     near_duplicates,
     packing,
@@ -17,6 +19,7 @@ from lakeops.llm import (
     spot_signatures,
     surrogates,
     token_counts,
+    weak_quality,
 )
 from lakeops.session import scratch_path, ship_package, tune
 
@@ -102,6 +105,32 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.replacement_report(table(spark, sf_dir, "documents"), SURROGATE_KEY)
 
 
+@query("op11_centroid_clustering")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bounded_kmeans.kmeans(table(spark, sf_dir, "embeddings"), clusters=8, rounds=10, seed=3)
+
+
+@query("op12_fill_in_middle")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"), seed=42)
+    rebuilt = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(rebuilt, 256).alias("restored_sha256"),
+    )
+
+
+@query("op13_quality_rules")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    return weak_quality.judged(table(spark, sf_dir, "documents")).select(*base, "kept", "quality")
+
+
 OP2_SQL = """
 WITH one AS (
     SELECT conv_id, turn, regexp_replace(min(coalesce(text, '')), '^\\s+|\\s+$', '', 'g') AS text

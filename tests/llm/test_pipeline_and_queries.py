@@ -79,7 +79,7 @@ def test_stages_on_no_rows_and_odd_rows(spark, corpus, odd_docs, no_docs):
 
 def test_every_operator_is_registered_once():
     names = list(spark_entry.queries())
-    for number in range(1, 11):
+    for number in range(1, 14):
         assert len([n for n in names if n.startswith(f"op{number}_")]) == 1
     assert "pipeline" in names and len(names) == len(set(names))
 
@@ -105,6 +105,10 @@ SCHEMAS = {
     "op8": "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint",
     "op9": "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string,"
     " near_edited double, near_next double, next_doc_id bigint",
+    "op12": "doc_id bigint, n bigint, form string, prefix_chars bigint, middle_chars bigint, output_sha256 string,"
+    " restored_sha256 string",
+    "op13": "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint,"
+    " n_repeat_words bigint, base_failed boolean, kept boolean, quality double",
 }
 
 
@@ -117,7 +121,7 @@ def test_queries_return_what_their_contracts_say(spark, prefix):
     assert got.select("doc_id").distinct().count() == docs.count()
 
 
-@pytest.mark.parametrize("prefix", ["op2", "op9", "op10"])
+@pytest.mark.parametrize("prefix", ["op2", "op9", "op10", "op13"])
 def test_native_operators_run_no_python(spark, prefix, monkeypatch):
     """No step of them, the written ones included, has a Python node."""
     from pyspark.sql import DataFrame
