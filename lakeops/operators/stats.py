@@ -23,7 +23,7 @@ def _level_counts(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
         .groupBy(*keys, F.col(value).alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    return ordered_window(counts, ["_v"], keys=keys, running={"_upto": "_n"})
+    return ordered_window(stable(counts), ["_v"], keys=keys, running={"_upto": "_n"})
 
 
 def _pick(levels: DataFrame, keys: Sequence[str], wanted: Sequence[float]) -> DataFrame:

@@ -1,10 +1,11 @@
-"""Ordered numbering, running sums and previous values without one-task windows.
+"""Ordered numbering, ranks, running sums and previous values without one-task windows.
 
-A window over the whole table, or over a key that holds a large part of it, would sort all
-of those rows in one task. Here the rows are range-partitioned by key and order, so a large
-group lies in several neighbouring slices; each slice is numbered on its own, and what the
-earlier slices of the same group add up to is carried in. Only the group a slice starts with
-can have earlier rows, so the carried table has at most one row per slice.
+A window over the whole table, or over a key that holds a large part of it, would sort all of those rows in one task. A
+sample of the sort columns shows which keys hold more than a fair share, and where to cut them into slices. Which slice a
+row lies in is a function of the row, so rows are shuffled once, by key and slice; what the earlier slices of a key add up
+to is counted for the cut keys alone, on the sort columns, and comes along with the row. Nothing of the input is written.
+
+The input is read up to three times (sample, sums of cut keys, rows). Where that is dear, hand in a written table.
 """
 
 from __future__ import annotations
@@ -14,9 +15,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeops.session import stable
+from lakeops.session import stable, written
 
 SLICE = "_slice"
+#: One row in so many is sampled.
+SAMPLE_EVERY = 32
+#: Sampled rows that place the cuts, for each shuffle partition at most.
+SAMPLE_PER_SLICE = 30
 
 
 def sort_columns(order: Sequence[str]) -> list[Column]:
@@ -34,6 +39,78 @@ def _same(left: Sequence[Column], right: Sequence[Column]) -> Column:
     return matched
 
 
+def _before(left: Mapping[str, Column], right: Mapping[str, Column], order: Sequence[str]) -> Column:
+    """Whether ``left`` comes before ``right`` in ``order``, nulls last."""
+    found = F.lit(False)
+    for name in reversed(order):
+        field = name.lstrip("-")
+        a, b = left[field], right[field]
+        ahead = (a > b) if name.startswith("-") else (a < b)
+        found = (a.isNotNull() & b.isNull()) | F.coalesce(ahead, F.lit(False)) | (a.eqNullSafe(b) & found)
+    return found
+
+
+def _cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame | None:
+    """``keys`` and ``cuts``: for each key with more than a fair share of the rows, the places where its slices end, each
+    with the number of sampled cuts that fell on it. None where no key has.
+
+    Which rows are sampled changes the cuts and never a result; the cuts are written. There are at most as many as
+    shuffle partitions.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fields = [name.lstrip("-") for name in order]
+    narrow = df.select(*dict.fromkeys([*keys, *fields]))
+    sample = written(narrow.filter(F.rand(7) * SAMPLE_EVERY < 1), "window-sample")
+    size = sample.count()
+    if size == 0:
+        return None
+    most = SAMPLE_PER_SLICE * partitions
+    if size > most:
+        sample = sample.filter(F.rand(11) * size < most)
+        size = most
+    step = -(-size // partitions)
+    numbered = Window.partitionBy(*keys).orderBy(*sort_columns(order))
+    # At most SAMPLE_PER_SLICE rows for each partition are sorted here.
+    ends = sample.withColumn("_n", F.row_number().over(numbered)).filter(F.col("_n") % step == 0)
+    placed = ends.withColumn("_place", F.struct(*[F.col(f) for f in fields]))
+    # Cuts on the same place become one.
+    places = placed.groupBy(*keys, "_place").agg(F.min("_n").alias("_n"), F.count(F.lit(1)).cast("int").alias("_times"))
+    listed = F.array_sort(F.collect_list(F.struct("_n", "_place", "_times")))
+    cuts = written(places.groupBy(*keys).agg(listed.alias("_cuts")), "window-cuts")
+    return None if cuts.isEmpty() else cuts
+
+
+def _with_key(df: DataFrame, found: DataFrame, keys: Sequence[str], names: Sequence[str], how: str) -> DataFrame:
+    """``df`` with the columns ``names`` that ``found`` has for its key; ``found`` is small, and the planner, which
+    knows the size of its files, broadcasts it if it is."""
+    if not keys:
+        whole = found.select(F.struct(*names)).scalar()
+        return df.withColumn("_found", whole).select("*", *[F.col("_found")[n].alias(n) for n in names]).drop("_found")
+    renamed = found.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *names)
+    matched = _same([F.col(k) for k in keys], [F.col(f"_k_{k}") for k in keys])
+    return df.join(renamed, matched, how).drop(*[f"_k_{k}" for k in keys])
+
+
+def _cut_below(order: Sequence[str], steps: int) -> Column:
+    """The number of cuts before the row, by halving ``_cuts``."""
+    row = {name.lstrip("-"): F.col(name.lstrip("-")) for name in order}
+
+    def halved(state: Column, _: Column) -> Column:
+        middle = F.floor((state["low"] + state["high"]) / 2).cast("int")
+        cut = F.get("_cuts", middle)["_place"]
+        ahead = (state["low"] < state["high"]) & _before({f: cut[f] for f in row}, row, order)
+        low = F.when(ahead, middle + 1).otherwise(state["low"])
+        return F.struct(low.alias("low"), F.when(ahead, state["high"]).otherwise(F.least(state["high"], middle)).alias("high"))
+
+    start = F.struct(F.lit(0).alias("low"), F.size("_cuts").alias("high"))
+    return F.aggregate(F.array(*[F.lit(0)] * steps), start, halved, lambda state: state["low"])
+
+
+def _steps(df: DataFrame) -> int:
+    """Halvings that find a place among as many cuts as there can be."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")).bit_length() + 1
+
+
 def ordered_window(
     df: DataFrame,
     order: Sequence[str],
@@ -51,64 +128,64 @@ def ordered_window(
     if previous and any(name.startswith("-") for name in order):
         raise ValueError("previous values need an ascending order")
     keys = list(keys)
-    placed = stable(
-        df.repartitionByRange(*[F.col(k).asc_nulls_last() for k in keys], *sort_columns(order)).withColumn(
-            SLICE, F.spark_partition_id()
-        )
-    )
-
-    within = Window.partitionBy(SLICE, *keys).orderBy(*sort_columns(order))
+    cuts = _cuts(df, keys, order)
+    sliced = df if cuts is None else _carried(df, order, keys, cuts, running, previous)
+    within = Window.partitionBy(*keys, *([] if cuts is None else [SLICE])).orderBy(*sort_columns(order))
     so_far = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = placed.withColumn("_row", F.row_number().over(within).cast("bigint"))
-    for out, name in running.items():
-        local = local.withColumn(out, F.sum(name).over(so_far))
-    for out, name in previous.items():
-        local = local.withColumn(out, F.lag(name).over(within))
-
-    slices = _slice_totals(placed, keys, order, running, previous)
-    earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    one_back = Window.partitionBy(*keys).orderBy(SLICE)
-    carried = slices.select(
-        F.col(SLICE).alias("_c_slice"),
-        *[F.col(k).alias(f"_c_{k}") for k in keys],
-        F.sum("_rows").over(earlier).alias("_c_rows"),
-        *[F.sum(f"_sum_{out}").over(earlier).alias(f"_c_sum_{out}") for out in running],
-        *[F.lag(f"_last_{out}").over(one_back).alias(f"_c_last_{out}") for out in previous],
-    ).filter("_c_rows IS NOT NULL")
-
-    # At most one row per slice, hence safe to broadcast at any data size.
-    joined = local.join(
-        F.broadcast(carried),
-        (F.col(SLICE) == F.col("_c_slice")) & _same([F.col(k) for k in keys], [F.col(f"_c_{k}") for k in keys]),
-        "left",
-    )
+
+    def carried(name: str) -> Column:
+        return F.lit(None) if cuts is None else F.col("_carry")[name]
+
+    local = F.row_number().over(within).cast("bigint")
     values: dict[str, Column] = {}
     if row_number:
-        values[row_number] = F.col("_row") + F.coalesce("_c_rows", F.lit(0))
-    for out in running:
+        values[row_number] = local + F.coalesce(carried("rows"), F.lit(0))
+    for out, name in running.items():
+        here, earlier = F.sum(name).over(so_far), carried(f"sum_{out}")
         # A group's earlier rows may all be null, and so may this slice's: keep SUM's null then.
-        values[out] = F.when(
-            F.col(out).isNotNull() | F.col(f"_c_sum_{out}").isNotNull(),
-            F.coalesce(F.col(out), F.lit(0)) + F.coalesce(F.col(f"_c_sum_{out}"), F.lit(0)),
-        )
-    for out in previous:
-        values[out] = F.when(F.col("_row") == 1, F.col(f"_c_last_{out}")).otherwise(F.col(out))
-    return joined.select(*df.columns, *[value.alias(out) for out, value in values.items()])
-
-
-def _slice_totals(placed, keys, order, running, previous) -> DataFrame:
-    """Per slice and group: rows, sums and last values; only groups that begin some slice."""
-    rows = placed
-    if keys:
-        starts = placed.groupBy(SLICE).agg(F.min(F.struct(*[_nulls_last(k) for k in keys])).alias("_start"))
-        begun = starts.select("_start").distinct()  # at most one row per slice
-        rows = placed.join(F.broadcast(begun), F.struct(*[_nulls_last(k) for k in keys]) == F.col("_start"), "left_semi")
+        values[out] = F.when(here.isNull(), earlier).otherwise(here + F.coalesce(earlier, F.lit(0)))
+    for out, name in previous.items():
+        values[out] = F.when(local == 1, carried(f"last_{out}")).otherwise(F.lag(name).over(within))
+    return sliced.select(*df.columns, *[value.alias(out) for out, value in values.items()])
+
+
+def _carried(df: DataFrame, order, keys, cuts: DataFrame, running, previous) -> DataFrame:
+    """``df`` with the slice of each row and ``_carry``: rows, sums and last values of its key's earlier slices."""
+    slice_of = F.when(F.col("_cuts").isNull(), 0).otherwise(_cut_below(order, _steps(df)))
+    fields = [name.lstrip("-") for name in order]
+    needed = dict.fromkeys([*keys, *fields, *running.values(), *previous.values()])
     place = F.struct(*[_nulls_last(name) for name in order]) if previous else None
-    return rows.groupBy(SLICE, *keys).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.sum(name).alias(f"_sum_{out}") for out, name in running.items()],
-        *[F.max_by(F.col(name), place).alias(f"_last_{out}") for out, name in previous.items()],
+    sums = (
+        _with_key(df.select(*needed), cuts, keys, ["_cuts"], "inner")
+        .withColumn(SLICE, slice_of)
+        .groupBy(*keys, SLICE)
+        .agg(
+            F.count(F.lit(1)).alias("_rows"),
+            *[F.sum(name).alias(f"_sum_{out}") for out, name in running.items()],
+            *[F.struct(F.max_by(F.col(name), place).alias("v")).alias(f"_last_{out}") for out, name in previous.items()],
+        )
+    )
+    by_slice = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    carry = F.struct(
+        F.sum("_rows").over(by_slice).alias("rows"),
+        *[F.sum(f"_sum_{out}").over(by_slice).alias(f"sum_{out}") for out in running],
+        *[F.last(f"_last_{out}", True).over(by_slice)["v"].alias(f"last_{out}") for out in previous],
     )
+    found = _carry_lists(cuts, sums, keys, F.size("_cuts"), carry)
+    joined = _with_key(df, found, keys, ["_cuts", "_carries"], "left").withColumn(SLICE, slice_of)
+    return joined.withColumn("_carry", F.get("_carries", F.col(SLICE))).drop("_cuts", "_carries")
+
+
+def _carry_lists(cuts: DataFrame, sums: DataFrame, keys, last_slice: Column, carry: Column) -> DataFrame:
+    """``cuts`` with ``_carries``: for each slice of a key, empty ones too, ``carry`` over the slices before it. A row per
+    cut key and a list entry per slice: both are bounded by the number of shuffle partitions."""
+    names = [f"_c_{k}" for k in keys]
+    every = cuts.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.explode(F.sequence(F.lit(0), last_slice)).alias("_at"))
+    matched = (F.col("_at") == F.col(SLICE)) & _same([F.col(n) for n in names], [F.col(k) for k in keys])
+    filled = every.join(sums, matched, "left").drop(*keys, SLICE).withColumnsRenamed(dict(zip(names, keys)) | {"_at": SLICE})
+    listed = F.array_sort(F.collect_list(F.struct(F.col(SLICE).alias("at"), F.col("_carry"))))
+    lists = filled.withColumn("_carry", carry).groupBy(*keys).agg(F.transform(listed, lambda one: one["_carry"]).alias("_carries"))
+    return written(_with_key(cuts, lists, keys, ["_carries"], "inner"), "window-carries")
 
 
 def _nulls_last(name: str) -> Column:
@@ -122,29 +199,63 @@ def ranked(
     rank: str | None = None,
     dense_rank: str | None = None,
 ) -> DataFrame:
-    """RANK and DENSE_RANK: number the distinct values, then join them back.
+    """RANK and DENSE_RANK in one shuffle of the rows, whatever their ties.
 
-    Ties are counted before anything is moved, so a value shared by many rows costs one row
-    in the numbering.
+    Equal values lie in one slice. A value that holds so many rows that a cut falls on it has a slice of its own, where
+    every row has the same rank, so its rows are dealt out over several tasks.
+    """
+    keys = list(keys)
+    cuts = _cuts(df, keys, order)
+    sliced = df if cuts is None else _carried_ranks(df, order, keys, cuts, dense_rank is not None)
+    within = Window.partitionBy(*keys, *([] if cuts is None else [SLICE, "_part"])).orderBy(*sort_columns(order))
+
+    def placed(local: Column, name: str) -> Column:
+        earlier = F.lit(0) if cuts is None else F.coalesce(F.col("_carry")[name], F.lit(0))
+        return local.over(within).cast("bigint") + earlier
+
+    return sliced.select(
+        *df.columns,
+        *([placed(F.dense_rank(), "levels").alias(dense_rank)] if dense_rank else []),
+        *([placed(F.rank(), "rows").alias(rank)] if rank else []),
+    )
+
+
+def _carried_ranks(df: DataFrame, order, keys, cuts: DataFrame, dense: bool) -> DataFrame:
+    """``df`` with slice, part of the slice, and the rows and distinct values of its key's earlier slices.
+
+    Of n cuts the even slices 0, 2 .. 2n lie between them and the odd ones on them.
     """
     fields = [name.lstrip("-") for name in order]
-    names = [*keys, *fields]
-    base = stable(df)
-    levels = base.groupBy(*names).agg(F.count(F.lit(1)).alias("_ties"))
-    levels = ordered_window(levels, order, keys, row_number="_dense", running={"_upto": "_ties"})
-    levels = levels.select(
-        *[F.col(name).alias(f"_l_{name}") for name in names],
-        *([F.col("_dense").alias(dense_rank)] if dense_rank else []),
-        *([(F.col("_upto") - F.col("_ties") + 1).alias(rank)] if rank else []),
+    next_cut = F.get("_cuts", F.col("_below"))
+    on_cut = F.coalesce(_same([F.col(f) for f in fields], [next_cut["_place"][f] for f in fields]), F.lit(False))
+    # Past the last cut there is none to lie on, also where the row's values are all null.
+    on_cut = on_cut & next_cut.isNotNull()
+
+    def cut(rows: DataFrame) -> DataFrame:
+        below = F.when(F.col("_cuts").isNotNull(), _cut_below(order, _steps(df)))
+        number = F.coalesce(2 * F.col("_below") + on_cut.cast("int"), F.lit(0))
+        return rows.withColumn("_below", below).withColumn(SLICE, number)
+
+    narrow = df.select(*dict.fromkeys([*keys, *fields]))
+    levels = F.count_distinct(F.struct(*[_nulls_last(f) for f in fields])) if dense else F.lit(0)
+    sums = (
+        cut(_with_key(narrow, cuts, keys, ["_cuts"], "inner"))
+        .groupBy(*keys, SLICE)
+        .agg(F.count(F.lit(1)).alias("_rows"), (levels if dense else F.max(levels)).alias("_levels"))
     )
-    matched = _same([F.col(n) for n in names], [F.col(f"_l_{n}") for n in names])
-    return base.join(levels, matched).drop(*[f"_l_{n}" for n in names])
+    by_slice = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    carry = F.struct(F.sum("_rows").over(by_slice).alias("rows"), F.sum("_levels").over(by_slice).alias("levels"))
+    found = _carry_lists(cuts, sums, keys, 2 * F.size("_cuts"), carry)
+    joined = cut(_with_key(df, found, keys, ["_cuts", "_carries"], "left"))
+    part = F.when(on_cut, F.pmod(F.xxhash64(*df.columns), next_cut["_times"])).otherwise(F.lit(0))
+    dealt = joined.withColumn("_part", part).withColumn("_carry", F.get("_carries", F.col(SLICE)))
+    return dealt.drop("_cuts", "_carries", "_below")
 
 
 def ntile(df: DataFrame, buckets: int, order: Sequence[str], out: str) -> DataFrame:
     """NTILE over the whole table: the first ``n mod buckets`` buckets hold one row more."""
     numbered = ordered_window(df, order, row_number="_r")
-    size = numbered.agg(F.count(F.lit(1))).scalar()
+    size = df.agg(F.count(F.lit(1))).scalar()
     base, extra = F.floor(size / buckets), size % buckets
     long_part = extra * (base + 1)
     bucket = F.when(F.col("_r") <= long_part, F.ceil(F.col("_r") / (base + 1))).otherwise(

@@ -10,6 +10,7 @@ from lakeops.plans import orderlines as lines
 from lakeops.plans.binding import cents
 from lakeops.plans.catalog.retail import avg, pct
 from lakeops.plans.registry import query
+from lakeops.session import stable
 
 CUSTOMERS = "WITH ct AS (SELECT customer_id, customer_name, SUM(sales) AS total FROM wide_v GROUP BY ALL)"
 
@@ -207,7 +208,7 @@ def d15(t):
     " rank() OVER (ORDER BY total DESC) AS sales_rank FROM ct",
 )
 def d16(t):
-    placed = windows.ranked(_totals(t), ["-total"], rank="sales_rank")
+    placed = windows.ranked(stable(_totals(t)), ["-total"], rank="sales_rank")
     return _named(t, placed).select(
         "customer_name", money.amount(F.col("total")).alias("total_sales"), "sales_rank"
     )

@@ -10,6 +10,7 @@ from lakeops.operators import stats, windows
 from lakeops.plans.catalog.dimension import batch, state
 from lakeops.plans.catalog.retail import avg, pct
 from lakeops.plans.registry import query
+from lakeops.session import stable
 
 
 def dec(name: str, kind: str = "decimal(15,2)"):
@@ -494,7 +495,7 @@ def w03(t):
 )
 def w04(t):
     counts = t.raw("lineitem").groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n"))
-    return windows.ranked(counts, ["-n"], dense_rank="place")
+    return windows.ranked(stable(counts), ["-n"], dense_rank="place")
 
 
 @query(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from lakeops.functions import money
 from lakeops.operators import windows
+from lakeops.session import stable
 
 
 def _total(name: str) -> Column:
@@ -82,7 +83,7 @@ def above_average_customers(totals: DataFrame) -> DataFrame:
 
 
 def spend_tiers(totals: DataFrame) -> DataFrame:
-    placed = windows.ntile(totals, 4, ["-total", "customer_id"], "spend_quartile")
+    placed = windows.ntile(stable(totals), 4, ["-total", "customer_id"], "spend_quartile")
     names = F.array(*[F.lit(name) for name in ("Platinum", "Gold", "Silver", "Bronze")])
     return placed.withColumn("customer_tier", F.element_at(names, F.col("spend_quartile").cast("int")))
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from lakeops.functions import dates, money
 from lakeops.operators import baskets, windows
+from lakeops.session import stable
 
 CANCELLED = "CANCELLED"
 DELIVERED = "DELIVERED"
@@ -173,7 +174,7 @@ def daily_running_total(items, orders, places) -> DataFrame:
 def product_ranks(items, orders, products) -> DataFrame:
     totals = billed_lines(items, orders).groupBy("product_id").agg(F.sum("line_revenue").alias("total"))
     named = totals.join(products.select("product_id", "product_name", "category"), "product_id")
-    placed = windows.ranked(named, ["-total"], keys=["category"], dense_rank="rank_in_category")
+    placed = windows.ranked(stable(named), ["-total"], keys=["category"], dense_rank="rank_in_category")
     return placed.select(
         "category", "product_name", money.amount(F.col("total")).alias("total_revenue"), "rank_in_category"
     )
@@ -230,7 +231,7 @@ def in_band_order(bands: DataFrame) -> DataFrame:
 
 
 def customer_quartiles(items, orders, customers) -> DataFrame:
-    totals = customer_values(items, orders).select("customer_id", F.col("revenue").alias("total"))
+    totals = stable(customer_values(items, orders).select("customer_id", F.col("revenue").alias("total")))
     placed = windows.ntile(totals, 4, ["-total", "customer_id"], "quartile")
     label = F.element_at(F.array(*[F.lit(name) for name in QUARTILE_LABELS]), F.col("quartile").cast("int"))
     return placed.join(customers.select("customer_id", "customer_name"), "customer_id").select(
@@ -294,12 +295,12 @@ def category_shift(items, orders, products) -> DataFrame:
 
 def revenue_concentration(items, orders) -> DataFrame:
     """Customers by revenue with the running share of revenue and of customers."""
-    totals = customer_values(items, orders).select("customer_id", "revenue")
+    totals = stable(customer_values(items, orders).select("customer_id", "revenue"))
     placed = windows.ordered_window(
         totals, ["-revenue", "customer_id"], row_number="revenue_rank", running={"cumulative": "revenue"}
     )
-    whole = placed.agg(F.sum("revenue")).scalar()
-    people = placed.agg(F.count(F.lit(1))).scalar()
+    whole = totals.agg(F.sum("revenue")).scalar()
+    people = totals.agg(F.count(F.lit(1))).scalar()
     return placed.select(
         "customer_id",
         "revenue_rank",

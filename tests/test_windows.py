@@ -46,9 +46,86 @@ def test_number_sum_and_lag_match_plain_windows(many_slices, rows, keys):
     same(ours.select(plain.columns), plain)
 
 
-def test_hot_key_spans_several_slices(many_slices, rows):
-    placed = rows.repartitionByRange("key", "tied", "id").withColumn("p", F.spark_partition_id())
-    assert placed.filter("key = 'hot'").select("p").distinct().count() > 1
+def test_hot_key_spans_several_slices(many_slices, stored):
+    cuts = {r["key"]: len(r["_cuts"]) for r in windows._cuts(stored, ["key"], ["tied", "id"]).collect()}
+    assert cuts["hot"] > 1 and len(cuts) < 40  # of 41 keys the hot one is cut, and few others
+
+
+@pytest.fixture(scope="module")
+def stored(spark, rows, tmp_path_factory):
+    """The rows ten times over as a table, with a column that no window looks at."""
+    path = str(tmp_path_factory.mktemp("rows"))
+    more = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(9))).alias("copy")).withColumn("id", F.col("id") * 10 + F.col("copy"))
+    more.withColumn("payload", F.concat(F.lit("payload"), "id")).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def payload_exchanges(df) -> int:
+    """Shuffles through which the payload goes, of the plan as it was carried out."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].splitlines()
+    found = 0
+    for at, line in enumerate(plan):
+        if "Exchange hashpartitioning" in line or "Exchange rangepartitioning" in line:
+            child = next(x for x in plan[at + 1 :] if "Project" in x or "Scan" in x or "Exchange" in x)
+            found += "payload" in child
+    return found
+
+
+@pytest.mark.parametrize("kind", ["window", "rank"])
+@pytest.mark.parametrize("keys", [[], ["key"]])
+def test_rows_move_once_and_are_not_written(many_slices, stored, keys, kind, monkeypatch):
+    written, sizes = windows.written, []
+
+    def watched(df, label, *rest):
+        sizes.append((label, df.columns, df.count()))
+        return written(df, label, *rest)
+
+    monkeypatch.setattr(windows, "written", watched)
+    if kind == "window":
+        ours = windows.ordered_window(
+            stored, ["tied", "id"], keys=keys, row_number="n", running={"total": "amount"}, previous={"before": "amount"}
+        )
+    else:
+        ours = windows.ranked(stored, ["-tied"], keys=keys, rank="r", dense_rank="d")
+    assert {label for label, _, _ in sizes} == {"window-sample", "window-cuts", "window-carries"}
+    assert all("payload" not in columns and rows < 0.1 * 6000 for _, columns, rows in sizes)
+    assert payload_exchanges(ours) == 1
+
+
+@pytest.mark.parametrize("keys", [[], ["key"]])
+def test_many_slices_give_the_numbers_of_one(many_slices, stored, keys):
+    order = ["-amount", "id"]
+    ours = windows.ordered_window(stored, order, keys=keys, row_number="n", running={"total": "tied"})
+    w = Window.partitionBy(*keys).orderBy(*windows.sort_columns(order))
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    plain = stored.select("*", F.row_number().over(w).cast("bigint").alias("n"), F.sum("tied").over(whole).alias("total"))
+    same(ours, plain)
+
+
+def test_a_value_that_holds_half_of_all_rows_is_dealt_out(many_slices, stored):
+    df = stored.withColumn("level", F.when(F.col("id") % 2 == 0, 50).when(F.col("id") % 17 != 0, F.col("id") % 100))
+    cuts = windows._cuts(df, [], ["level"]).first()["_cuts"]
+    assert max(cut["_times"] for cut in cuts if cut["_place"]["level"] == 50) >= 3
+    ours = windows.ranked(df, ["level"], rank="r", dense_rank="d")
+    w = Window.orderBy(*windows.sort_columns(["level"]))
+    plain = df.select("*", F.dense_rank().over(w).cast("bigint").alias("d"), F.rank().over(w).cast("bigint").alias("r"))
+    same(ours, plain.select(ours.columns))
+    half = windows._carried_ranks(df, ["level"], [], windows._cuts(df, [], ["level"]), True).filter("level = 50")
+    assert half.select(windows.SLICE).distinct().count() == 1 and half.select("_part").distinct().count() >= 3
+
+
+def test_null_keys_and_null_places(many_slices, stored):
+    df = stored.withColumn("key", F.when(F.col("id") % 2 == 0, F.col("key"))).withColumn(
+        "place", F.when(F.col("id") % 3 > 0, F.col("id") % 500)
+    )
+    for order in (["place", "id"], ["-place", "-id"]):
+        w = Window.partitionBy("key").orderBy(*windows.sort_columns(order))
+        ours = windows.ordered_window(df, order, keys=["key"], row_number="n")
+        same(ours, df.select("*", F.row_number().over(w).cast("bigint").alias("n")))
+        first = order[:1]
+        v = Window.partitionBy("key").orderBy(*windows.sort_columns(first))
+        same(windows.ranked(df, first, keys=["key"], rank="r"), df.select("*", F.rank().over(v).cast("bigint").alias("r")))
 
 
 @pytest.mark.parametrize("keys", [[], ["key"]])
