@@ -94,7 +94,8 @@ def link_quotes(parsed: DataFrame) -> DataFrame:
     # A message's quotations come before its own text in the order, so it never quotes itself.
     order = ["sent", "msg_id", "is_original", "passage", "rank"]
     keys = ["thread", "h1", "h2"]
-    counted = written(ordered_window(originals.union(quoted), order, keys, running={"k": "is_original"}), "quotations")
+    units = written(originals.union(quoted), "quotable")
+    counted = written(ordered_window(units, order, keys, running={"k": "is_original"}), "quotations")
     named = counted.filter("is_original = 1").select(*keys, "k", F.col("msg_id").alias("source"), F.col("sent").alias("source_sent"))
     met = counted.filter("is_original = 0 AND k > 0").alias("q").join(
         named.alias("o"), F.expr("q.thread <=> o.thread AND q.h1 = o.h1 AND q.h2 = o.h2 AND q.k = o.k")
@@ -156,7 +157,7 @@ def reply_ordered(messages: DataFrame) -> DataFrame:
     replies = written(
         parsed.select("msg_id", "thread", "sent").join(replies, "msg_id", "left").fillna(0, ["n_linked"]), "replies"
     )
-    placed = replies.join(_threads(replies), "msg_id")
+    placed = written(replies.join(_threads(replies), "msg_id"), "threads")
     numbered = ordered_window(placed, ["depth", "sent", "msg_id"], ["root"], row_number="position")
     return numbered.join(parsed.select("msg_id", "own"), "msg_id")
 
