@@ -98,3 +98,45 @@ def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> D
 def repeated_keys(df: DataFrame, *keys: str) -> DataFrame:
     """Keys that occur more than once, with their count."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("times_repeated")).filter("times_repeated > 1")
+
+
+def mark_rows(
+    df: DataFrame, order: str, repeats: Sequence[tuple[str, str]], missing: Sequence[tuple[str, DataFrame, str, str]]
+) -> DataFrame:
+    """Rows with flags, where the rows themselves move once at most.
+
+    ``repeats`` are (key, flag): true on rows that are not the first of their key by ``order``, never on a null key.
+    ``missing`` are (key, parent, parent's key, flag): true on rows whose key the parent lacks, also on a null key.
+
+    The keys alone meet each other and the parents; what is left of that are the keys that fail, written and folded to
+    one small verdict for each combination of keys that has a flag. Rows meet the verdicts once, by a digest of their
+    keys. Most rows of a feed have none, so the verdicts are few, and their true size decides whether rows move at all.
+    """
+    names = list(dict.fromkeys([key for key, _ in repeats] + [key for key, *_ in missing]))
+    keys = df.select(order, *names)
+    judged = keys
+    for key, out in repeats:
+        firsts = keys.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(
+            F.min(order).alias("_first"), F.count(F.lit(1)).alias("_n")
+        )
+        firsts = written(firsts.filter("_n > 1").drop("_n"), "repeated")
+        late = F.coalesce(F.col(order) > F.col("_first"), F.lit(False))
+        judged = judged.join(firsts, F.col(key) == F.col("_key"), "left").withColumn(out, late).drop("_key", "_first")
+    for key, parent, parent_key, out in missing:
+        held = keys.filter(F.col(key).isNotNull()).select(F.col(key).alias("_key")).distinct()
+        known = parent.select(F.col(parent_key).alias("_known"))
+        lost = written(held.join(known, F.col("_key") == F.col("_known"), "left_anti"), "missing-parents")
+        found = F.col("_key").isNotNull() | F.col(key).isNull()
+        judged = judged.join(lost, F.col(key) == F.col("_key"), "left").withColumn(out, found).drop("_key")
+    flags = [out for *_, out in repeats] + [out for *_, out in missing]
+    digest = {f"_d{k}": _key_digest([order, *names], k) for k in range(2)}
+    any_flag = F.greatest(*[F.col(flag).cast("int") for flag in flags], F.lit(0)) == 1
+    verdicts = judged.filter(any_flag).withColumns(digest).groupBy("_d0", "_d1").agg(*[F.max(f).alias(f) for f in flags])
+    marked = df.withColumns(digest).join(written(verdicts, "verdicts"), ["_d0", "_d1"], "left").drop("_d0", "_d1")
+    return marked.withColumns({flag: F.coalesce(flag, F.lit(False)) for flag in flags})
+
+
+def _key_digest(names: Sequence[str], seed: int) -> Column:
+    """64 bits of some columns, where null differs from every value; two seeds together tell any keys apart."""
+    parts = [part for name in names for part in (F.col(name).isNull(), F.col(name))]
+    return F.xxhash64(F.lit(seed), *parts)
