@@ -10,8 +10,8 @@ from lakeops.plans.catalog.quality import QUALITY_SQL, RAW_NAMES, mail_ok
 from lakeops.plans.registry import query
 from lakeops.plans.runner import run_queries
 from lakeops.session import scratch_path
-from lakeops.sources import files
-from lakeops.sources.snapshots import SnapshotTable, store_below
+from lakeops.sources import files, versions
+from lakeops.sources.files import store_below
 
 PARTS = "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part"
 
@@ -107,11 +107,11 @@ def s08(t):
 
 @query("s09_read_at_version", "SELECT s_suppkey, s_name, s_acctbal FROM supplier")
 def s09(t):
-    table = SnapshotTable.scratch(t.spark, "suppliers")
+    root = scratch_path(t.spark, "suppliers")
     suppliers = t.raw("supplier").select("s_suppkey", "s_name", "s_acctbal")
-    table.write(suppliers, "WRITE")
-    table.write(suppliers.withColumn("s_acctbal", F.col("s_acctbal") + 1), "UPDATE")
-    return table.read(version=0)
+    versions.write_version(suppliers, root, 0, "WRITE")
+    versions.write_version(suppliers.withColumn("s_acctbal", F.col("s_acctbal") + 1), root, 1, "UPDATE")
+    return versions.read_version(t.spark, root, 0)
 
 
 @query("s10_csv_sink", "SELECT p_partkey, p_name, p_retailprice FROM part")

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from lakeops.functions import money, text
 from lakeops.operators import merge, stats
 from lakeops.plans.cleaning import clean_dimension, dimension_report
-from lakeops.session import stable, written
-from lakeops.sources.snapshots import SnapshotTable
+from lakeops.session import stable
+from lakeops.sources import versions
 
 KEY = "customer_id"
 
@@ -83,9 +83,13 @@ class Batch:
         """The type 1 table after the batch, with actions."""
         return stable(merge.merge_upsert(self.master, self.feed, KEY))
 
+    @property
+    def seed_rows(self) -> DataFrame:
+        return merge.seed_scd2(self.master, KEY, TRACKED, self.snapshot_at)
+
     @cached_property
     def seed(self) -> DataFrame:
-        return stable(merge.seed_scd2(self.master, KEY, TRACKED, self.snapshot_at))
+        return stable(self.seed_rows)
 
     @cached_property
     def scd2(self) -> DataFrame:
@@ -93,23 +97,21 @@ class Batch:
         return stable(merge.merge_scd2(self.seed, self.feed, KEY, TRACKED, self.batch_at))
 
 
-def maintain(batch: Batch, scd1: SnapshotTable, scd2: SnapshotTable) -> None:
-    """Write the seeds as version 0 and the merged tables as version 1, with their metrics."""
-    scd1.write(batch.master, "WRITE")
-    scd2.write(batch.seed, "WRITE")
-    apply_feed(batch.feed, scd1, scd2, batch.batch_at)
+def maintain(batch: Batch, scd1: str, scd2: str) -> None:
+    """Write the seeds as version 0 and the merged tables as version 1 below the two folders."""
+    versions.write_version(batch.master, scd1, 0, "WRITE")
+    versions.write_type2(batch.seed, scd2, 0, "WRITE")
+    apply_feed(batch.feed, scd1, scd2, batch.batch_at, 0, "MERGE")
 
 
-def apply_feed(feed: DataFrame, scd1: SnapshotTable, scd2: SnapshotTable, at: str) -> None:
-    """Merge one cleaned feed into the latest versions of both tables."""
-    merged = written(merge.merge_upsert(scd1.read(), feed, KEY), "merged-scd1")
-    scd1.write(merged.drop(merge.ACTION), "MERGE", merge.merge_metrics(merged, feed))
-    held = scd2.read()
-    last = held.agg(F.max(merge.SK)).first()[0]
-    versions = written(merge.merge_current(held.filter(merge.CURRENT), feed, KEY, TRACKED, at, last), "merged-scd2")
-    rows = versions.drop(merge.ACTION)
-    metrics = merge.merge_metrics(versions, feed)
-    scd2.write(rows.filter(merge.CURRENT), "MERGE", metrics, added=rows.filter(~F.col(merge.CURRENT)))
+def apply_feed(feed: DataFrame, scd1: str, scd2: str, at: str, version: int, operation: str) -> dict[str, dict[str, int]]:
+    """Merge one cleaned feed into ``version`` of both tables and write the next; returns the rows by action."""
+    spark = feed.sparkSession
+    merged = merge.merge_upsert(versions.read_version(spark, scd1, version), feed, KEY)
+    merged, counted = merge.counted_actions(merged)
+    two = versions.merge_type2(spark, scd2, feed, KEY, TRACKED, at, version, operation)
+    versions.write_version(merged.drop(merge.ACTION), scd1, version + 1, operation)
+    return {"scd1": counted(), "scd2": two}
 
 
 def touched_by_batch(dimension: DataFrame, day: str) -> DataFrame:
@@ -219,9 +221,10 @@ def overall(dimension: DataFrame) -> DataFrame:
     )
 
 
-def run_summary(batch: Batch, scd1: SnapshotTable, scd2: SnapshotTable) -> DataFrame:
+def run_summary(batch: Batch, scd1: str, scd2: str) -> DataFrame:
     """One row that sums up a run, fit to be written as JSON: what came in, what cleaning did, what the merges did, which
     versions the tables have now, and how many checks hold."""
+    spark = batch.raw_feed.sparkSession
     cleaned = dimension_report(batch.raw_snapshot).agg(
         F.map_from_entries(F.collect_list(F.struct("metric", "value"))).alias("m")  # one entry per metric
     )
@@ -251,5 +254,5 @@ def run_summary(batch: Batch, scd1: SnapshotTable, scd2: SnapshotTable) -> DataF
         cleaned.scalar().alias("cleaning"),
         tally.scalar().alias("validation"),
         batch.master.agg(F.count(F.lit(1))).scalar().alias("rows_before"),
-        F.struct(F.lit(scd1.latest()).alias("scd1"), F.lit(scd2.latest()).alias("scd2")).alias("versions"),
+        F.struct(*[F.lit(versions.latest(spark, root)).alias(n) for n, root in (("scd1", scd1), ("scd2", scd2))]).alias("versions"),
     )

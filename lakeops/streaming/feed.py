@@ -13,7 +13,7 @@ from lakeops.operators import merge
 from lakeops.plans.cleaning import DIMENSION, clean_dimension
 from lakeops.plans.dimension import KEY, TRACKED
 from lakeops.session import stable
-from lakeops.sources.snapshots import SnapshotTable
+from lakeops.sources import versions
 
 FEED_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in DIMENSION])
 
@@ -30,57 +30,55 @@ def feed_stream(spark: SparkSession, path: str, files_per_batch: int = 100) -> D
     )
 
 
-def apply_batch(scd1: SnapshotTable, scd2: SnapshotTable) -> Callable[[DataFrame, int], None]:
+def apply_batch(scd1: str, scd2: str) -> Callable[[DataFrame, int], None]:
     """A foreachBatch function that merges one batch into both tables.
 
-    The version operation names the batch, so a batch that is delivered again after a failure
-    is recognised per table and skipped there. The newest record time of the batch is the moment
-    its versions change hands. A row older than what the table holds is late and left out.
+    The operation names the batch, so a batch that is delivered again after a failure is recognised per table and
+    skipped there. The newest record time of the batch is the moment its versions change hands; where no row has one,
+    it is the time at which the batch is applied. A row older than what the table holds is late and left out; a row
+    without a time is as new as its batch.
     """
 
     def run(rows: DataFrame, batch_id: int) -> None:
         operation = f"FEED {batch_id}"
+        spark = rows.sparkSession
         feed = stable(clean_dimension(rows))
-        moment = feed.agg(F.max("record_updated_at")).first()[0]
-        if moment is None:
-            return
-        for table, merged_with in ((scd1, _type_one), (scd2, _type_two)):
-            if table.history().filter(F.col("operation") == operation).isEmpty():
-                merged_with(table, feed, str(moment), operation)
+        newest, now = feed.agg(F.max("record_updated_at"), F.localtimestamp()).first()
+        moment = str(newest or now)
+        for root, history, merged_with in (
+            (scd1, versions.history, _type_one), (scd2, versions.history_type2, _type_two)
+        ):
+            done = {row["operation"]: row["version"] for row in history(spark, root).collect()}
+            if operation not in done:
+                merged_with(spark, root, feed, moment, max(done.values(), default=0), operation)
 
     return run
 
 
-def _not_late(feed: DataFrame, table: DataFrame) -> DataFrame:
+def _not_late(feed: DataFrame, current: DataFrame) -> DataFrame:
     """Feed rows at least as new as the current row of their key."""
-    current = table.filter(merge.CURRENT) if merge.CURRENT in table.columns else table
     held = current.select(F.col(KEY).alias("_k"), F.col("record_updated_at").alias("_held"))
     joined = feed.join(held, F.col(KEY) == F.col("_k"), "left")
     late = F.coalesce(F.col("record_updated_at") < F.col("_held"), F.lit(False))
     return joined.filter(~late).drop("_k", "_held")
 
 
-def _type_one(table: SnapshotTable, feed: DataFrame, moment: str, operation: str) -> None:
-    base = table.latest()
-    current = table.read(base)
+def _type_one(spark: SparkSession, root: str, feed: DataFrame, moment: str, version: int, operation: str) -> None:
+    current = versions.read_version(spark, root, version)
     merged = merge.merge_upsert(current, _not_late(feed, current), KEY)
-    table.write(merged.drop(merge.ACTION), operation, base=base)
+    versions.write_version(merged.drop(merge.ACTION), root, version + 1, operation)
 
 
-def _type_two(table: SnapshotTable, feed: DataFrame, moment: str, operation: str) -> None:
-    """Closed versions are written by the batch that closes them and never again."""
-    base = table.latest()
-    versions = table.read(base)
-    last = versions.agg(F.max(merge.SK)).first()[0]
-    current = versions.filter(merge.CURRENT)
-    merged = stable(merge.merge_current(current, _not_late(feed, current), KEY, TRACKED, moment, last)).drop(merge.ACTION)
-    table.write(merged.filter(merge.CURRENT), operation, added=merged.filter(~F.col(merge.CURRENT)), base=base)
+def _type_two(spark: SparkSession, root: str, feed: DataFrame, moment: str, version: int, operation: str) -> None:
+    newer = _not_late(feed, versions.read_current(spark, root, version))
+    versions.merge_type2(spark, root, newer, KEY, TRACKED, moment, version, operation)
 
 
 def run_feed(
-    spark: SparkSession, path: str, scd1: SnapshotTable, scd2: SnapshotTable, progress: str, files_per_batch: int = 100
+    spark: SparkSession, path: str, scd1: str, scd2: str, progress: str, files_per_batch: int = 100
 ) -> StreamingQuery:
-    """Apply every file that is there and stop; ``progress`` remembers which files were done."""
+    """Apply every file that is there and stop; ``progress`` remembers which files were done. ``scd1`` and ``scd2`` are
+    folders of versions."""
     return (
         feed_stream(spark, path, files_per_batch)
         .writeStream.foreachBatch(apply_batch(scd1, scd2))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lakeops.operators import dedupe
 from lakeops.operators.rules import REASON
 from lakeops.plans import cleaning
-from lakeops.sources.snapshots import store_below
+from lakeops.sources.files import store_below
 
 ORDERS = "seq long, order_id string, customer_id string, order_date string, status string, region_code string"
 ITEMS = (

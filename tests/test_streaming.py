@@ -5,8 +5,8 @@ from __future__ import annotations
 from lakeops.operators import merge
 from lakeops.plans.cleaning import DIMENSION, clean_dimension
 from lakeops.plans.dimension import KEY, TRACKED
+from lakeops.sources import versions
 from lakeops.sources.files import write_csv
-from lakeops.sources.snapshots import SnapshotTable
 from lakeops.streaming import feed
 
 COLUMNS = ", ".join(f"{name} string" for name in DIMENSION)
@@ -21,10 +21,10 @@ def rows(spark, at, *people):
 
 
 def test_feed_files_are_applied_once(spark, tmp_path):
-    one, two = SnapshotTable(spark, str(tmp_path / "one")), SnapshotTable(spark, str(tmp_path / "two"))
+    one, two = str(tmp_path / "one"), str(tmp_path / "two")
     master = clean_dimension(rows(spark, "2020-01-01 00:00:00", ("a", "rome"), ("b", "oslo")))
-    one.write(master, "WRITE")
-    two.write(merge.seed_scd2(master, KEY, TRACKED, "2020-01-01 00:00:00"), "WRITE")
+    versions.write_version(master, one, 0, "WRITE")
+    versions.write_type2(merge.seed_scd2(master, KEY, TRACKED, "2020-01-01 00:00:00"), two, 0, "WRITE")
     inbox = str(tmp_path / "inbox")
 
     def deliver():
@@ -39,11 +39,20 @@ def test_feed_files_are_applied_once(spark, tmp_path):
     deliver()
     deliver()  # nothing new
 
-    assert {r.customer_id: r.city for r in one.read().collect()} == {"a": "Paris", "b": "Oslo", "c": "Bern"}
-    versions = two.read()
-    assert versions.count() == 5 and versions.filter("is_current").count() == 3
-    assert {r.city for r in versions.filter("NOT is_current").collect()} == {"Rome", "Bonn"}
+    def state():
+        return versions.latest(spark, one), versions.latest(spark, two)
+
+    assert state() == (3, 3)
+    assert {r.customer_id: r.city for r in versions.read_version(spark, one, 3).collect()} == {"a": "Paris", "b": "Oslo", "c": "Bern"}
+    rows_2 = versions.read_type2(spark, two, 3)
+    assert rows_2.count() == 5 and rows_2.filter("is_current").count() == 3
+    assert {r.city for r in rows_2.filter("NOT is_current").collect()} == {"Rome", "Bonn"}
 
-    before = (one.versions(), two.versions())
     feed.apply_batch(one, two)(rows(spark, "2020-04-01 00:00:00", ("a", "again")), 0)  # batch 0 again
-    assert (one.versions(), two.versions()) == before
+    assert state() == (3, 3)
+
+    feed.apply_batch(one, two)(rows(spark, None, ("a", "lima"), ("e", "kiev")), 9)  # no record time at all
+    assert {r.customer_id: r.city for r in versions.read_version(spark, one, 4).collect()} == {
+        "a": "Lima", "b": "Oslo", "c": "Bern", "e": "Kiev",
+    }
+    assert versions.read_type2(spark, two, 4).filter("is_current").count() == 4
