@@ -77,5 +77,10 @@ def currency_to_decimal(text: Column, precision: int = 18, scale: int = 2) -> Co
 
 
 def number_or_null(text: Column, kind: str = "decimal(18,4)") -> Column:
-    """Read a number from raw text; null tokens and bad text become null."""
-    return blank_to_null(text).try_cast(kind)
+    """The number a text holds; null for a null token and for anything else that is none.
+
+    No text with a space inside is a number, so trimming is enough. Of the null tokens only ``nan`` is a number to Spark,
+    and that for the floating kinds.
+    """
+    bare = F.trim(text, F.lit(SPACES))
+    return (blank_to_null(text) if kind in ("double", "float") else bare).try_cast(kind)

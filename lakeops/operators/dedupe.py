@@ -113,7 +113,8 @@ def mark_rows(
     keys. Most rows of a feed have none, so the verdicts are few, and their true size decides whether rows move at all.
     """
     names = list(dict.fromkeys([key for key, _ in repeats] + [key for key, *_ in missing]))
-    keys = df.select(order, *names)
+    # Keys are derived columns as a rule, and read once for each flag: written, they are derived once.
+    keys = written(df.select(order, *names), "keys")
     judged = keys
     for key, out in repeats:
         firsts = keys.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(

@@ -12,15 +12,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from lakeops.session import stable, written
 
 SLICE = "_slice"
-#: One row in so many is sampled.
-SAMPLE_EVERY = 32
-#: Sampled rows that place the cuts, for each shuffle partition at most.
+#: One row in so many is sampled, and a slice has at least so many sampled rows: about 30,000 rows. More than that, and
+#: up to a fair share of the rows for each shuffle partition, are in a slice of a larger table.
+SAMPLE_EVERY = 1024
 SAMPLE_PER_SLICE = 30
 
 
@@ -50,7 +50,14 @@ def _before(left: Mapping[str, Column], right: Mapping[str, Column], order: Sequ
     return found
 
 
-def _cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame | None:
+def _counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """``df`` written, and its rows, counted while they are."""
+    seen = Observation()
+    table = written(df.observe(seen, F.count(F.lit(1)).alias("rows")), label)
+    return table, seen.get["rows"]
+
+
+def _cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str], every: int | None = None) -> DataFrame | None:
     """``keys`` and ``cuts``: for each key with more than a fair share of the rows, the places where its slices end, each
     with the number of sampled cuts that fell on it. None where no key has.
 
@@ -60,24 +67,21 @@ def _cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     fields = [name.lstrip("-") for name in order]
     narrow = df.select(*dict.fromkeys([*keys, *fields]))
-    sample = written(narrow.filter(F.rand(7) * SAMPLE_EVERY < 1), "window-sample")
-    size = sample.count()
-    if size == 0:
+    sample, size = _counted(narrow.filter(F.rand(7) * (every or SAMPLE_EVERY) < 1), "window-sample")
+    if size < SAMPLE_PER_SLICE:
         return None
     most = SAMPLE_PER_SLICE * partitions
     if size > most:
         sample = sample.filter(F.rand(11) * size < most)
-        size = most
-    step = -(-size // partitions)
     numbered = Window.partitionBy(*keys).orderBy(*sort_columns(order))
     # At most SAMPLE_PER_SLICE rows for each partition are sorted here.
-    ends = sample.withColumn("_n", F.row_number().over(numbered)).filter(F.col("_n") % step == 0)
+    ends = sample.withColumn("_n", F.row_number().over(numbered)).filter(F.col("_n") % SAMPLE_PER_SLICE == 0)
     placed = ends.withColumn("_place", F.struct(*[F.col(f) for f in fields]))
     # Cuts on the same place become one.
     places = placed.groupBy(*keys, "_place").agg(F.min("_n").alias("_n"), F.count(F.lit(1)).cast("int").alias("_times"))
     listed = F.array_sort(F.collect_list(F.struct("_n", "_place", "_times")))
-    cuts = written(places.groupBy(*keys).agg(listed.alias("_cuts")), "window-cuts")
-    return None if cuts.isEmpty() else cuts
+    cuts, found = _counted(places.groupBy(*keys).agg(listed.alias("_cuts")), "window-cuts")
+    return cuts if found else None
 
 
 def _with_key(df: DataFrame, found: DataFrame, keys: Sequence[str], names: Sequence[str], how: str) -> DataFrame:
@@ -118,17 +122,18 @@ def ordered_window(
     row_number: str | None = None,
     running: Mapping[str, str] | None = None,
     previous: Mapping[str, str] | None = None,
+    sample_every: int | None = None,
 ) -> DataFrame:
     """Add ``row_number``, ``running`` sums ``{out: column}`` and ``previous`` values ``{out: column}``.
 
     ``order`` must be unique within ``keys`` for a repeatable result. ``previous`` takes an
-    ascending order only.
+    ascending order only. A smaller ``sample_every`` cuts smaller tables, for rows that are dear to handle.
     """
     running, previous = dict(running or {}), dict(previous or {})
     if previous and any(name.startswith("-") for name in order):
         raise ValueError("previous values need an ascending order")
     keys = list(keys)
-    cuts = _cuts(df, keys, order)
+    cuts = _cuts(df, keys, order, sample_every)
     sliced = df if cuts is None else _carried(df, order, keys, cuts, running, previous)
     within = Window.partitionBy(*keys, *([] if cuts is None else [SLICE])).orderBy(*sort_columns(order))
     so_far = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)

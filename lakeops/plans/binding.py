@@ -143,9 +143,11 @@ class Tables:
             F.expr("CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE p_brand END").alias("seller_name"),
         )
 
-    def view(self, name: str) -> DataFrame:
-        """A raw view, from the SQL text it shares with the other engine."""
+    def view(self, name: str, tasks: int | None = None) -> DataFrame:
+        """A raw view, from the SQL text it shares with the other engine; made by as many tasks, if they are given."""
         sources = {table: self.raw(table) for table in TABLES_OF[name]}
+        if tasks:
+            sources = {table: df.repartition(tasks) for table, df in sources.items()}
         sql = RAW_VIEWS[name]
         for table in sources:
             sql = re.sub(rf"(FROM|JOIN) {table}\b", rf"\1 {{{table}}}", sql)
@@ -154,8 +156,9 @@ class Tables:
     def landed(self, name: str) -> DataFrame:
         """A raw view written out once, the way a landed table is read several times by a job."""
         if name not in self._landed:
-            # A test table may come as a single row group; its landed form can be read by many tasks.
-            self._landed[name] = written(self.view(name), name, row_group_bytes=4 << 20)
+            # A test table may come as a single row group, for one task; what lands comes as many files.
+            tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            self._landed[name] = written(self.view(name, tasks), name, row_group_bytes=4 << 20)
         return self._landed[name]
 
     @cached_property

@@ -89,7 +89,7 @@ def test_rows_move_once_and_are_not_written(many_slices, stored, keys, kind, mon
     else:
         ours = windows.ranked(stored, ["-tied"], keys=keys, rank="r", dense_rank="d")
     assert {label for label, _, _ in sizes} == {"window-sample", "window-cuts", "window-carries"}
-    assert all("payload" not in columns and rows < 0.1 * 6000 for _, columns, rows in sizes)
+    assert all("payload" not in columns and (rows < 100 or label == "window-sample") for label, columns, rows in sizes)
     assert payload_exchanges(ours) == 1
 
 
