@@ -95,7 +95,7 @@ def link_quotes(parsed: DataFrame) -> DataFrame:
     order = ["sent", "msg_id", "is_original", "passage", "rank"]
     keys = ["thread", "h1", "h2"]
     units = written(originals.union(quoted), "quotable")
-    counted = written(ordered_window(units, order, keys, running={"k": "is_original"}), "quotations")
+    counted = written(ordered_window(units, order, keys, running={"k": "is_original"}, sample_every=16), "quotations")
     named = counted.filter("is_original = 1").select(*keys, "k", F.col("msg_id").alias("source"), F.col("sent").alias("source_sent"))
     met = counted.filter("is_original = 0 AND k > 0").alias("q").join(
         named.alias("o"), F.expr("q.thread <=> o.thread AND q.h1 = o.h1 AND q.h2 = o.h2 AND q.k = o.k")
@@ -158,7 +158,7 @@ def reply_ordered(messages: DataFrame) -> DataFrame:
         parsed.select("msg_id", "thread", "sent").join(replies, "msg_id", "left").fillna(0, ["n_linked"]), "replies"
     )
     placed = written(replies.join(_threads(replies), "msg_id"), "threads")
-    numbered = ordered_window(placed, ["depth", "sent", "msg_id"], ["root"], row_number="position")
+    numbered = ordered_window(placed, ["depth", "sent", "msg_id"], ["root"], row_number="position", sample_every=16)
     return numbered.join(parsed.select("msg_id", "own"), "msg_id")
 
 

@@ -78,7 +78,7 @@ def _with_next(docs: DataFrame) -> DataFrame:
     last = narrow.agg(F.max(F.struct("place", "mark", "n")).alias("last")).first()["last"]
     end = (last["place"], last["mark"], last["n"]) if last else (0, 0, 0)
     names = {"before_place": "place", "before_mark": "mark", "before_n": "n"}
-    order = ordered_window(narrow, ["place", "mark"], previous=names).select(
+    order = ordered_window(narrow, ["place", "mark"], previous=names, sample_every=16).select(
         "place", "mark", *(F.coalesce(name, F.lit(value)).alias(name) for name, value in zip(names, end))
     )
     known = rows.join(order, ["place", "mark"])

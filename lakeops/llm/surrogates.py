@@ -141,22 +141,39 @@ def _described(entities: DataFrame) -> DataFrame:
     )
 
 
+#: From this attempt on, a surrogate may leave the network of a private address, and be longer than what it replaces.
+WIDER = 3
+#: From this attempt on, a surrogate may be something that is found in the corpus, as long as it is no other's surrogate:
+#: where the corpus holds most of what a format allows, there is nothing else left.
+FOUND = 8
+#: No space is still too small after so many attempts but that of all IPv4 addresses.
+MOST_ATTEMPTS = 40
+
+
 def _made(key: str) -> Column:
-    """The surrogate of ``canon``: the same for every mention, another for every ``attempt``."""
-    kind, canon = F.col("kind"), F.col("canon")
-    hexed = _hash(key, kind, canon, F.col("attempt"))
+    """The surrogate of ``canon``: the same for every mention, another for every ``attempt``.
+
+    Every space grows with the attempt: mailboxes and numbers get longer, surnames get more syllables, addresses leave
+    their network. So however many there are of a kind, few attempts tell them apart.
+    """
+    kind, canon, attempt = F.col("kind"), F.col("canon"), F.col("attempt")
+    hexed = _hash(key, kind, canon, attempt)
     digits, size = _digits(hexed), F.length(canon)
+    longer = F.greatest(attempt - WIDER + 1, F.lit(0))
 
     def number(place: int) -> Column:
         return F.conv(F.substring(hexed, 4 * place + 1, 4), 16, 10).cast("bigint")
 
     private = F.regexp_extract(canon, r"^(10\.|127\.|192\.168\.|172\.(?:1[6-9]|2\d|3[01])\.)", 1)
-    own = F.size(F.split(private, r"\.")) - 1  # a private address keeps its network, others get a public one
-    octets = [F.when(own == 0, number(0) % 89 + 11).otherwise(number(0) % 254 + 1), *(number(k) % 254 + 1 for k in (1, 2, 3))]
-    octets = F.array(*(octet.cast("string") for octet in octets))
+    # A private address keeps its network as long as that is wide enough, and then moves to the widest one; others get a
+    # public address.
+    private = F.when((private != "") & (attempt >= WIDER) & (attempt < FOUND), "10.").when(attempt >= FOUND, "").otherwise(private)
+    own = F.size(F.split(private, r"\.")) - 1
+    first = F.when(attempt >= FOUND, number(0) % 223 + 1).when(own == 0, number(0) % 89 + 11).otherwise(number(0) % 254 + 1)
+    octets = F.array(*(octet.cast("string") for octet in (first, *(number(k) % 254 + 1 for k in (1, 2, 3)))))
     ip = F.concat(private, F.array_join(F.slice(octets, F.lit(1), (F.lit(4) - own).cast("int")), "."))
     # A card keeps its first digit, and is valid if it was.
-    body = F.concat(F.substring(canon, F.lit(1), F.lit(1)), F.substring(digits, F.lit(1), size - 2))
+    body = F.concat(F.substring(canon, F.lit(1), F.lit(1)), F.substring(digits, F.lit(1), size - 2 + longer))
     check = ((F.lit(10) - _luhn(F.concat(body, F.lit("0"))) % 10) % 10).cast("string")
     wrong = F.pmod(check.cast("int") + 1 + (number(15) % 9).cast("int"), F.lit(10)).cast("string")
     card = F.concat(body, F.when(_luhn(canon) % 10 == 0, check).otherwise(wrong))
@@ -168,42 +185,58 @@ def _made(key: str) -> Column:
         return F.when(char.rlike("[a-z]"), letter).when(char.rlike("[0-9]"), digit).otherwise(char)
 
     shaped = F.array_join(F.transform(F.split(local, ""), like), "")
-    email = F.concat(shaped, F.lit("@"), F.substring(_letters(_hash(key, F.lit("host"), host)), 1, 8), F.lit(".example"))
+    more_letters = F.substring(_letters(_hash(key, F.lit("longer"), canon, attempt)), F.lit(1), attempt)
+    email = F.concat(
+        shaped, more_letters, F.lit("@"), F.substring(_letters(_hash(key, F.lit("host"), host)), 1, 8), F.lit(".example")
+    )
 
     def invented(script: str) -> Column:
         choice = F.array(*map(F.lit, SYLLABLES[script]))
-        parts = [F.get(choice, (number(k) % len(SYLLABLES[script])).cast("int")) for k in range(3)]
-        return F.concat(F.lit(f"{script} "), *parts, F.when(F.col("attempt") > 2, parts[0]).otherwise(F.lit("")))
+        size = len(SYLLABLES[script])
+
+        def syllable(place: Column) -> Column:
+            return F.get(choice, (F.conv(F.substring(hexed, place * 4 + 1, F.lit(4)), 16, 10).cast("bigint") % size).cast("int"))
+
+        # Three syllables, and one more with every other attempt.
+        places = F.sequence(F.lit(0), F.least(F.floor(attempt / 2), F.lit(12)).cast("int") + 2)
+        return F.concat(F.lit(f"{script} "), F.array_join(F.transform(places, syllable), ""))
 
     name = F.when(canon.startswith("cyrillic "), F.concat(invented("cyrillic"), F.lit("ов"))).otherwise(invented("latin"))
     return (
         F.when(kind == "email", email)
         .when(kind == "ip", ip)
         .when(kind == "card", card)
-        .when(kind == "ssn", F.concat(F.lit("9"), F.substring(digits, 1, 8)))
-        .when(kind == "phone", F.substring(digits, F.lit(1), size))
+        .when(kind == "ssn", F.concat(F.lit("9"), F.substring(digits, F.lit(1), F.lit(8) + longer)))
+        .when(kind == "phone", F.substring(digits, F.lit(1), size + longer))
         .otherwise(name)
     )
 
 
 def _distinct_surrogates(canons: DataFrame, key: str) -> DataFrame:
-    """``kind``, ``canon`` and ``surrogate``: no two alike, and none that is itself something found in the corpus.
+    """``kind``, ``canon`` and ``surrogate``: no two alike, and none that is itself something found in the corpus, but for
+    those that take FOUND attempts or more.
 
-    A clash is settled for all but the first by another attempt, until there is none. All of it stays on the executors.
+    What is taken already, what another one of the same attempt has (all but the first) and what is found in the corpus
+    is tried again, and nothing else is; spaces grow with the attempt, so the rest shrinks fast. All of it stays on the
+    executors. Raises where there are more addresses than IPv4 has.
     """
-    tried = canons.withColumn("attempt", F.lit(0))
-    while True:
-        made = written(tried.withColumn("surrogate", _made(key)), "surrogates")
-        first = made.groupBy("kind", "surrogate").agg(F.min("canon").alias("keeps"), F.count("*").alias("n"))
-        alike = made.join(first.filter("n > 1"), ["kind", "surrogate"]).filter("canon <> keeps").select("kind", "canon")
-        real = made.join(made.select("kind", F.col("canon").alias("surrogate")), ["kind", "surrogate"], "left_semi")
-        again = written(alike.union(real.select("kind", "canon")).distinct(), "surrogate-clashes")
-        if again.isEmpty():
-            return made.select("kind", "canon", "surrogate")
-        more = again.withColumn("more", F.lit(1))
-        tried = made.join(more, ["kind", "canon"], "left").select(
-            "kind", "canon", (F.col("attempt") + F.coalesce("more", F.lit(0))).alias("attempt")
-        )
+    canons = written(canons, "canons")
+    open_, settled = canons, None
+    for attempt in range(MOST_ATTEMPTS):
+        made = written(open_.withColumn("attempt", F.lit(attempt)).withColumn("surrogate", _made(key)).drop("attempt"), "surrogates")
+        taken = made.groupBy("kind", "surrogate").agg(F.min("canon").alias("keeps"))
+        free = made.join(taken, ["kind", "surrogate"]).filter("canon = keeps").drop("keeps")
+        if settled is not None:
+            free = free.join(settled.select("kind", "surrogate"), ["kind", "surrogate"], "left_anti")
+        if attempt < FOUND:
+            real = canons.select("kind", F.col("canon").alias("surrogate"))
+            free = free.join(real, ["kind", "surrogate"], "left_anti")
+        free = written(free.select("kind", "canon", "surrogate"), "surrogates-settled")
+        settled = free if settled is None else settled.unionByName(free)
+        open_ = written(made.select("kind", "canon").join(free, ["kind", "canon"], "left_anti"), "surrogates-open")
+        if open_.isEmpty():
+            return settled
+    raise ValueError("more entities of one kind than there are surrogates")
 
 
 def _other_names(key: str) -> Column:
@@ -218,14 +251,16 @@ def _other_names(key: str) -> Column:
 def _rendered(key: str) -> Column:
     """The surrogate in the format of the mention."""
     entity, made, kind = F.col("entity"), F.col("surrogate"), F.col("kind")
-    total = F.length(_only_digits(entity))
+    total, size = F.length(_only_digits(entity)), F.length("canon")
 
     def laid(char: Column, place: Column) -> Column:
         before = F.length(_only_digits(F.substring(entity, F.lit(1), place)))
-        rank = before - (total - F.length(made))  # a phone keeps the digits before the last ten
+        rank = before - (total - size)  # a phone keeps the digits before the last ten
         return F.when(char.rlike("[0-9]") & (rank >= 0), F.substring(made, rank + 1, F.lit(1))).otherwise(char)
 
-    numbers = F.array_join(F.transform(F.split(entity, ""), laid), "")
+    # A number that had to become longer goes on at the end.
+    more = F.substring(made, size + 1, F.length(made) - size)
+    numbers = F.concat(F.array_join(F.transform(F.split(entity, ""), laid), ""), more)
     root = F.substring_index(made, " ", -1)
     ending = F.when((F.col("script") == "cyrillic") & (F.col("gender") == "f"), F.lit("а")).otherwise(F.lit(""))
     plain = F.initcap(F.concat(root, ending))

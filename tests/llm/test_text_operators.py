@@ -229,6 +229,43 @@ def test_distinct_things_stay_distinct_also_where_surrogates_are_few(spark):
     assert not {r["entity"] for r in table} & {r["replacement"] for r in table}
 
 
+def entity_table(spark, entities):
+    frame = spark.createDataFrame([(e,) for e in entities], "entity string")
+    return {r["entity"]: (r["kind"], r["replacement"]) for r in surrogates.surrogate_table(frame, "k").collect()}
+
+
+def test_full_spaces_end_and_stay_distinct(spark):
+    """Every one-letter mailbox of a host, every short number, and each address of a whole network."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    boxes = [f"{a}@site.com" for a in letters] + [f"{a}{b}@site.com" for a in letters for b in letters]
+    # All of the numbers a format has: all its surrogates are found in the corpus.
+    phones = [f"+1 {a:02d} {b:02d}" for a in range(100) for b in range(100)]
+    addresses = [f"192.168.{a}.{b}" for a in range(256) for b in range(256)]
+    table = entity_table(spark, [*boxes, *phones, *addresses])
+    assert len(table) == len(boxes) + len(phones) + len(addresses)
+    for kind, entities in (("email", boxes), ("phone", phones), ("ip", addresses)):
+        assert {table[e][0] for e in entities} == {kind}
+        made = [table[e][1] for e in entities]
+        assert len(set(made)) == len(made)
+        assert not set(made) & set(entities)
+
+
+def test_more_surnames_than_three_syllables_have(spark):
+    table = entity_table(spark, [f"Mr Q{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676 % 26)}{chr(97 + k // 17576)}" for k in range(60_000)])
+    made = [replacement for _, replacement in table.values()]
+    assert len(made) == 60_000 == len(set(made)) and all(name.startswith("Mr ") for name in made)
+
+
+def test_a_longer_surrogate_still_agrees_in_every_format(spark):
+    few = [f"+1 {a:02d} {b:02d}" for a in range(100) for b in range(100)]
+    table = entity_table(spark, [*few, *[e.replace(" ", "-") for e in few], *[e.replace(" ", ".") for e in few]])
+    plain = {e: table[e][1] for e in few}
+    assert len(set(plain.values())) == len(few)
+    for e, made in plain.items():
+        assert table[e.replace(" ", "-")][1] == made.replace(" ", "-")
+        assert table[e.replace(" ", ".")][1] == made.replace(" ", ".")
+
+
 def test_surrogates_of_odd_rows(spark, odd_docs, no_docs):
     docs = odd_docs.union(spark.createDataFrame([(None, "to a.b@c.org", None, None, 1, "x")] * 2, odd_docs.schema))
     got = surrogates.replace_entities(docs, "k")
