@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.llm.bits import divided, hash_filter, may_hold
@@ -22,15 +22,13 @@ LONG_MASKS = ("1110111", "11010010011", "11010001101")
 MIDDLE_MASKS = ("1111000011", "1100101011", "1110111", "1011111", "1111101", "111001011")
 #: Items of this many words and up to LONG have MIDDLE_MASKS; shorter ones forgive one word, each in turn.
 MIDDLE = 8
-#: An item of fewer words is too short to be told from chance and never matches.
+#: An item of fewer words is too short to be told from chance inside another text: it matches a text of the same words.
 LEAST_WORDS = 5
 #: The aligned stretch must have this many equal words (or four fifths of a shorter item) ...
 LEAST_EQUAL = 10
 #: ... and this share of equal words, which is one differing word for every EQUAL_PER_OTHER equal ones.
 LEAST_SHARE = 0.8
 EQUAL_PER_OTHER = 4
-#: Points off per differing word in ``best_stretch``.
-MISMATCH = 2.0
 
 HITS = "array<struct<seed:bigint,at:bigint>>"
 
@@ -65,6 +63,17 @@ def windows(hashes: np.ndarray, bounds: np.ndarray, number: int, mask: str) -> t
     return first, mix(value)
 
 
+def whole_seeds(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First words of the texts of under LEAST_WORDS words, but at least one, and a seed of all their words."""
+    counts = np.diff(bounds)
+    short = np.flatnonzero((counts > 0) & (counts < LEAST_WORDS))
+    value = counts[short].astype(np.uint64) + np.uint64(len(MASKS) + 1)
+    for place in range(LEAST_WORDS - 1):
+        held = counts[short] > place
+        value[held] = value[held] * np.uint64(0x9E3779B97F4A7C15) + hashes[bounds[:-1][short[held]] + place]
+    return bounds[:-1][short], mix(value)
+
+
 def _hits(numbers: list[int], filter_bits, key: str):
     """Per text its words and the windows to be joined: all of an item's, those that pass the filter of a document's."""
     of_length = np.zeros((len(MASKS), LONG + 1), bool)
@@ -91,6 +100,11 @@ def _hits(numbers: list[int], filter_bits, key: str):
                     owner.append(who[kept])
                     seeds.append(seed[kept].view(np.int64))
                     ats.append(first[kept] - bounds[who[kept]])
+                first, seed = whole_seeds(hashes, bounds)
+                kept = np.arange(len(first)) if bits is None else np.flatnonzero(may_hold(bits, seed))
+                owner.append(np.searchsorted(bounds, first[kept], "right") - 1)
+                seeds.append(seed[kept].view(np.int64))
+                ats.append(np.zeros(len(kept), np.int64))
                 who, seed, at = (np.concatenate(x) for x in (owner, seeds, ats))
                 order = np.argsort(who, kind="stable")
                 who, seed, at = who[order], seed[order], at[order]
@@ -111,15 +125,6 @@ def _hits(numbers: list[int], filter_bits, key: str):
     return hits
 
 
-def best_stretch(equal: np.ndarray) -> tuple[int, int, int]:
-    """(start, stop, equal words) of the stretch with the most points: 1 per equal word, less MISMATCH per other."""
-    points = np.concatenate(([0.0], np.cumsum(np.where(equal, 1.0, -MISMATCH))))
-    low = np.minimum.accumulate(points)
-    stop = int(np.argmax(points - low))
-    start = int(np.flatnonzero(points[: stop + 1] == low[stop])[-1]) if stop else 0
-    return start, stop, int(equal[start:stop].sum())
-
-
 def overlap(equal: np.ndarray) -> tuple[int, int, int]:
     """(start, stop, equal words) of the stretch with the most equal words among all that have LEAST_SHARE of them.
 
@@ -160,7 +165,8 @@ def _verify(key: str, item: str):
                 mine = documents[row].values.to_numpy()
                 first, last = max(0, -shift), min(len(theirs), len(mine) - shift)
                 start, stop, equal = overlap(theirs[first:last] == mine[first + shift : last + shift])
-                if accepted(start, stop, equal, len(theirs)):
+                # A short item is met by texts of the same words only.
+                if equal == len(mine) == len(theirs) if len(theirs) < LEAST_WORDS else accepted(start, stop, equal, len(theirs)):
                     kept.append(row)
                     rows.append((first + start + shift, first + start, stop - start, equal, len(theirs)))
             columns = [pa.array(c, pa.int64()) for c in (zip(*rows, strict=True) if rows else [[]] * 5)]
@@ -173,53 +179,47 @@ def _verify(key: str, item: str):
     return verify
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", item: str = "item_id") -> DataFrame:
-    """The best verified overlap of every document with every benchmark item it shares one with.
+def _content(text: str) -> Column:
+    """128 bits that stand for a text."""
+    whole = F.coalesce(F.col(text), F.lit(""))
+    return F.struct(F.xxhash64(whole).alias("a"), F.xxhash64(F.lit("b"), whole).alias("b"))
 
-    Rows: ``key``, ``item``, where the overlap begins in both (word numbers), its words, how many are equal, and the
-    item's words. Windows of both sides are hashed under the masks and joined; a fixed-size filter of the benchmark's
-    hashes keeps other windows out of the shuffle. A hit fixes how the two texts lie; along it words are compared, and
-    some stretch with LEAST_SHARE of equal words must have LEAST_EQUAL of them. Every text is read whole. Null and empty
-    texts and items under LEAST_WORDS words overlap nothing; repeated documents or items give one row per pair of ids;
-    an empty table on either side gives an empty result. Null ids are left out.
-    """
+
+CONTENT = "struct<a:bigint,b:bigint>"
+
+
+def _content_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The best verified overlap of every content of ``docs`` (doc, text) with every one of ``benchmark`` (item, text)."""
     spark = docs.sparkSession
-    kinds = {name: df.schema[name].dataType.simpleString() for df, name in ((docs, key), (benchmark, item))}
     items = written(
-        benchmark.select(item, "text")
-        .filter(F.col(item).isNotNull())
-        .dropDuplicates([item])
-        .mapInArrow(_hits(list(range(len(MASKS))), None, item), f"`{item}` {kinds[item]}, words array<bigint>, hits {HITS}"),
+        benchmark.dropDuplicates(["item"]).mapInArrow(
+            _hits(list(range(len(MASKS))), None, "item"), f"item {CONTENT}, words array<bigint>, hits {HITS}"
+        ),
         "benchmark-seeds",
     )
-    seeds = items.select(item, F.inline("hits"))
+    seeds = items.select("item", F.inline("hits"))
     lengths = items.agg(F.collect_set(F.least(F.size("words"), F.lit(LONG)))).first()[0]
     used = sorted({number for words in lengths for number, _ in masks_for(words)})
-    if not used:
-        used = [0]
     shared = spark.sparkContext.broadcast(hash_filter(seeds, "seed"))
-    found = written(
-        docs.select(key, "text")
-        .filter(F.col(key).isNotNull())
-        .mapInArrow(_hits(used, shared, key), f"`{key}` {kinds[key]}, words array<bigint>, hits {HITS}"),
-        "document-seeds",
-    )
+    # Texts without a hit are gone here; of those with one, copies are looked at once.
+    found = docs.mapInArrow(_hits(used, shared, "doc"), f"doc {CONTENT}, words array<bigint>, hits {HITS}")
+    found = written(found.dropDuplicates(["doc"]), "document-seeds")
     lying = (
-        found.select(key, F.inline("hits"))
+        found.select("doc", F.inline("hits"))
         .join(seeds.withColumnRenamed("at", "item_at"), "seed")
-        .select(key, item, (F.col("at") - F.col("item_at")).alias("shift"))
+        .select("doc", "item", (F.col("at") - F.col("item_at")).alias("shift"))
         .distinct()
     )
     pairs = (
-        lying.join(items.select(item, F.col("words").alias("item_words")), item)
-        .join(found.select(key, "words"), key)
-        .mapInArrow(_verify(key, item), f"`{key}` {kinds[key]}, `{item}` {kinds[item]}, {VERIFIED}")
+        lying.join(items.select("item", F.col("words").alias("item_words")), "item")
+        .join(found.select("doc", "words"), "doc")
+        .mapInArrow(_verify("doc", "item"), f"doc {CONTENT}, item {CONTENT}, {VERIFIED}")
     )
     best = F.struct("n_equal", *(-F.col(c) for c in ("doc_start", "item_start", "n_words")), "item_words")
-    top = pairs.groupBy(key, item).agg(F.max(best).alias("best"))
+    top = pairs.groupBy("doc", "item").agg(F.max(best).alias("best"))
     return top.select(
-        key,
-        item,
+        "doc",
+        "item",
         (-F.col("best.col2")).alias("doc_start"),
         (-F.col("best.col3")).alias("item_start"),
         (-F.col("best.col4")).alias("n_words"),
@@ -228,9 +228,39 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", item: s
     )
 
 
+def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", item: str = "item_id") -> DataFrame:
+    """The best verified overlap of every document with every benchmark item it shares one with.
+
+    Rows: ``key``, ``item``, where the overlap begins in both (word numbers), its words, how many are equal, and the
+    item's words. Windows of both sides are hashed under the masks and joined; a fixed-size filter of the benchmark's
+    hashes keeps other windows out of the shuffle. A hit fixes how the two texts lie; along it words are compared, and
+    some stretch with LEAST_SHARE of equal words must have LEAST_EQUAL of them. Every text is read whole. Null and empty
+    texts overlap nothing; an item under LEAST_WORDS words overlaps texts of the same words only. Texts are compared by
+    content: rows that share an id and not the text are each looked at, and of a pair of ids the best overlap is
+    returned. An empty table on either side gives an empty result. Rows with a null id are left out.
+    """
+    doc_rows = docs.filter(F.col(key).isNotNull()).select(F.col(key).alias("doc_key"), _content("text").alias("doc"), "text")
+    item_rows = benchmark.filter(F.col(item).isNotNull()).select(
+        F.col(item).alias("item_key"), _content("text").alias("item"), "text"
+    )
+    found = written(_content_overlaps(doc_rows.drop("doc_key"), item_rows.drop("item_key")), "overlaps")
+    named = found.join(doc_rows.select("doc_key", "doc"), "doc").join(item_rows.select("item_key", "item"), "item")
+    rest = ["n_equal", "doc_start", "item_start", "n_words", "item_words"]
+    order = F.struct("n_equal", *(-F.col(c) for c in rest[1:4]))
+    best = F.max_by(F.struct(*rest), order).alias("best")
+    return named.groupBy("doc_key", "item_key").agg(best).select(
+        F.col("doc_key").alias(key),
+        F.col("item_key").alias(item),
+        *[f"best.{name}" for name in ("doc_start", "item_start", "n_words", "n_equal", "item_words")],
+    )
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` with all columns, without the documents that overlap a benchmark item. A null id is kept."""
-    found = overlaps(docs.select("doc_id", "text"), benchmark.select("item_id", "text"))
-    gone = written(found.select("doc_id").distinct(), "contaminated")
-    staying, others = divided(docs, "doc_id", gone)
-    return staying.unionByName(others.join(gone, "doc_id", "left_anti")).select(docs.columns)
+    """``docs`` with all columns, without the rows whose text overlaps a text of the benchmark, whatever the ids of both.
+    Null and empty texts stay."""
+    rows = docs.select(F.struct("*").alias("row"), _content("text").alias("doc"))
+    theirs = benchmark.select(_content("text").alias("item"), "text")
+    found = _content_overlaps(docs.select(_content("text").alias("doc"), "text"), theirs)
+    gone = written(found.select("doc").distinct(), "contaminated")
+    staying, others = divided(rows, "doc", gone)
+    return staying.unionByName(others.join(gone, "doc", "left_anti")).select("row.*")

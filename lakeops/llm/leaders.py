@@ -35,8 +35,8 @@ def candidates(texts: DataFrame, leaders: int = LEADERS) -> tuple[DataFrame, Dat
     left = written(members.join(degrees, "id").select("band", "id", "degree"), "bucket-degrees")
     pairs = []
     for _ in range(leaders):
-        best = F.max(F.struct("degree", (-F.col("id")).alias("back"))).alias("best")
-        first = written(left.groupBy("band").agg(best).select("band", (-F.col("best.back")).alias("leader")), "leaders")
+        best = F.min(F.struct((-F.col("degree")).alias("back"), "id")).alias("best")
+        first = written(left.groupBy("band").agg(best).select("band", F.col("best.id").alias("leader")), "leaders")
         led = left.join(first, "band").filter("id <> leader")
         pairs.append(led.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")))
         left = led.drop("leader")

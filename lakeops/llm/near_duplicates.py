@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -307,7 +307,8 @@ def _compared(threshold: float, kind: pa.DataType):
         table = table.combine_chunks()
         one, two = table["one"][0].as_py(), table["two"][0].as_py()
         ids, block = table["id"], table["block"].to_numpy()
-        label = np.unique(table["label"].to_numpy(zero_copy_only=False), return_inverse=True)[1]
+        numbers: dict[str, int] = {}
+        label = np.array([numbers.setdefault(repr(name), len(numbers)) for name in table["label"].to_pylist()])
         found, weights = ([row.values.to_numpy() for row in table[name]] for name in ("shingles", "weights"))
         total = np.array([w.sum(dtype=np.float64) for w in weights])
         first, second = np.flatnonzero(block == one), np.flatnonzero(block == two)
@@ -349,21 +350,22 @@ def _missing_links(rest: DataFrame, labels: DataFrame, features: DataFrame, thre
     return work.groupBy("band", "one", "two").applyInArrow(_compared(threshold, kind), schema).distinct()
 
 
-def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``doc_id`` and ``class_id`` (the smallest id of its class) for every row of ``docs``.
+def _row_id() -> Column:
+    """What a row is known by: its id and a hash of its text, so that unlike texts of one id are not taken for each other.
+    Null where the id is. Ids order rows before hashes do."""
+    whole = F.coalesce("text", F.lit(""))
+    return F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", F.xxhash64(whole).alias("text_hash")))
 
-    Texts of equal content are one text from the start. Others become linked if they share a band and
-    reach ``threshold``: first with their buckets' leaders, then with all members that are still in another class; classes are the connected components of the links. Null and blank texts are alone; texts
-    without a word equal only their copies. A null id has a null class. Repeated rows have a row each. An empty table
-    gives an empty result.
-    """
-    spark = docs.sparkSession
-    rows = docs.select("doc_id", "text").filter(F.col("doc_id").isNotNull())
+
+def _classes(rows: DataFrame, threshold: float) -> DataFrame:
+    """``id`` and ``class_id`` (the smallest id of its class) for every different ``id`` of ``rows`` (id, text) whose text
+    has more than blanks."""
+    spark = rows.sparkSession
     weights = spark.sparkContext.broadcast(idf_weights(rows.select("text")))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    signed = written(rows.mapInArrow(_sign(weights, "doc_id"), f"doc_id {kind}, {SIGNED}"), "signatures")
+    kind = rows.schema["id"].dataType.simpleString()
+    signed = written(rows.mapInArrow(_sign(weights, "id"), f"id {kind}, {SIGNED}"), "signatures")
     texts = written(
-        signed.groupBy("key_a", "key_b").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands")), "contents"
+        signed.groupBy("key_a", "key_b").agg(F.min("id").alias("id"), F.first("bands").alias("bands")), "contents"
     )
     pairs, rest = candidates(texts)
     pairs = written(pairs, "candidates")
@@ -372,7 +374,7 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD) -> Dat
     wanted = written(wanted.withColumn("hash", F.xxhash64("id")), "candidate-ids")
     bits = spark.sparkContext.broadcast(hash_filter(wanted, "hash"))
     described = written(
-        rows.withColumn("hash", F.xxhash64("doc_id"))
+        rows.withColumn("hash", F.xxhash64("id"))
         .mapInArrow(_described(weights, bits), f"id {kind}, shingles array<bigint>, weights array<float>")
         .join(wanted, "id", "left_semi")
         .dropDuplicates(["id"]),
@@ -380,30 +382,45 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD) -> Dat
     )
     sides = [described.select(*(F.col(c).alias(f"{s}_{c}" if c != "id" else s) for c in described.columns)) for s in "ab"]
     compared = pairs.join(sides[0], "a").join(sides[1], "b")
-    schema = f"a {kind}, b {kind}"
-    links = written(compared.mapInArrow(_verified(threshold), schema), "verified")
+    links = written(compared.mapInArrow(_verified(threshold), f"a {kind}, b {kind}"), "verified")
     labels = components(links)
     # Every open bucket's members are candidates with its leaders, so they are described.
     missing = written(_missing_links(rest, labels, described, threshold), "missing")
     if not missing.isEmpty():
         labels = components(links.union(missing))
     contents = texts.join(labels, "id", "left").select("key_a", "key_b", F.coalesce("label", "id").alias("class_id"))
-    classes = signed.join(contents, ["key_a", "key_b"]).groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
-    return docs.select("doc_id").join(classes, "doc_id", "left").select(
-        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id")
+    return signed.join(contents, ["key_a", "key_b"]).groupBy("id").agg(F.min("class_id").alias("class_id"))
+
+
+def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``doc_id`` and ``class_id`` (the smallest id of its class) for every row of ``docs``.
+
+    Texts of equal content are one text from the start. Others become linked if they share a band and
+    reach ``threshold``: first with their buckets' leaders, then with all members that are still in another class; classes
+    are the connected components of the links. Null and blank texts are alone; texts without a word equal only their
+    copies. A null id has a null class. Repeated rows have a row each, and rows of one id with unlike texts each the
+    class of its text. An empty table gives an empty result.
+    """
+    rows = docs.select("doc_id", _row_id().alias("id"), "text")
+    classes = _classes(rows.filter(F.col("id").isNotNull()).select("id", "text"), threshold)
+    return rows.select("doc_id", "id").join(classes, "id", "left").select(
+        "doc_id", F.coalesce("class_id.doc_id", "doc_id").alias("class_id")
     )
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """``docs`` with all columns and one document of each class, the one with the smallest id; null ids stay.
+    """``docs`` with all columns and one row of each class, the one with the smallest id; rows with a null id stay.
 
-    Where rows repeat an id, one of them stays.
+    Only rows of equal or similar text go for each other: rows that share an id but not the text each stay or go by
+    their own class. Of rows that repeat id and text, one stays.
     """
-    classes = near_duplicate_classes(docs.select("doc_id", "text"))
-    found = written(classes.groupBy("doc_id").agg(F.min("class_id").alias("class_id"), F.count("*").alias("n")), "classes")
-    gone = found.filter("class_id <> doc_id OR n > 1").select("doc_id")
-    again = found.filter("class_id = doc_id AND n > 1").select("doc_id")
-    staying, others = divided(docs, "doc_id", gone)
+    rows = docs.select(F.struct("*").alias("row"), _row_id().alias("id"))
+    ids = docs.select(_row_id().alias("id"), "text").filter(F.col("id").isNotNull())
+    found = ids.groupBy("id").agg(F.count("*").alias("n")).join(_classes(ids, THRESHOLD), "id", "left")
+    found = written(found.select("id", "n", F.coalesce("class_id", "id").alias("class_id")), "classes")
+    gone = found.filter("class_id <> id OR n > 1").select("id")
+    again = found.filter("class_id = id AND n > 1").select("id")
+    staying, others = divided(rows, "id", gone)
     others = written(others, "may-go")
-    once = others.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return staying.unionByName(others.join(gone, "doc_id", "left_anti")).unionByName(once).select(docs.columns)
+    once = others.join(again, "id", "left_semi").dropDuplicates(["id"])
+    return staying.unionByName(others.join(gone, "id", "left_anti")).unionByName(once).select("row.*")

@@ -11,13 +11,14 @@ from lakeops.operators.windows import ordered_window
 from lakeops.session import written
 
 # Lines that announce a quotation.
-ANNOUNCED = r"^(?:On|Am|Le|El) .{1,200}(?:wrote|schrieb.{0,100}|a écrit|escribió) ?:$"
+ANNOUNCED = r"^(?:On|Am|Le|El) .+(?:wrote|schrieb.*|a écrit|escribió) ?:\s*$"
 #: A single line is linked by itself only if it has this many characters.
 LINE_CHARS = 20
 
 
 def passages(body: Column) -> Column:
-    """Runs of lines of one quote level, in order: array of (level, text). ``> >`` and ``>>`` both are level 2."""
+    """Runs of lines of one quote level, in order: array of (level, text, raw), ``raw`` with its quote marks. ``> >`` and
+    ``>>`` both are level 2."""
     plain = F.regexp_replace(F.coalesce(body, F.lit("")), r"\r\n?", "\n")
     lines = F.split(F.regexp_replace(plain, r"(?m)(?:^|\G)[ \t]*>", ">"), "\n")
 
@@ -31,8 +32,13 @@ def passages(body: Column) -> Column:
             def run(starts: Column) -> Column:
                 def one(start: Column, k: Column) -> Column:
                     end = F.coalesce(F.get(starts, k + 1), F.size(lines))
-                    inside = F.transform(F.slice(lines, start + 1, end - start), lambda line: F.regexp_replace(line, "^>+ ?", ""))
-                    return F.struct(F.get(levels, start).alias("level"), F.array_join(inside, "\n").alias("text"))
+                    run = F.slice(lines, start + 1, end - start)
+                    inside = F.transform(run, lambda line: F.regexp_replace(line, "^>+ ?", ""))
+                    return F.struct(
+                        F.get(levels, start).alias("level"),
+                        F.array_join(inside, "\n").alias("text"),
+                        F.array_join(run, "\n").alias("raw"),
+                    )
 
                 return F.transform(starts, one)
 
@@ -44,8 +50,44 @@ def passages(body: Column) -> Column:
     return F.get(F.transform(F.array(lines), of), 0)
 
 
+def _unannounced(text: Column) -> Column:
+    """A passage without the announcement it ends with, and without blank lines after that."""
+    lines = F.split(F.regexp_replace(text, r"\s+$", ""), "\n")
+    announced = F.regexp_replace(F.element_at(lines, -1), "^>+ ?", "").rlike(ANNOUNCED)
+    return F.when(announced, F.array_join(F.slice(lines, F.lit(1), F.size(lines) - 1), "\n")).otherwise(text)
+
+
+def without_quotes(found: Column, linked: Column) -> Column:
+    """What a message says itself: all of it but what is linked to another message, and the announcement directly before
+    that. ``linked`` has, for each run of lines with a link, its number, whether it is linked as a whole, and else the
+    hashes of its linked lines. A quotation of something that is not there stays, with its marks, as does a line that
+    only looks like an announcement. Runs of nothing but marks and blank ends go."""
+    links = F.coalesce(linked, F.array().cast("array<struct<passage:int,whole:boolean,lines:array<bigint>>>"))
+
+    def kept(run: Column, number: Column) -> Column:
+        link = F.get(F.filter(links, lambda one: one["passage"] == number), 0)
+        lines = F.split(run["raw"], "\n")
+        rest = F.filter(lines, lambda line: ~F.array_contains(link["lines"], line_hash(F.regexp_replace(line, "^>+ ?", ""))))
+        own = (
+            F.when(run["level"] == 0, run["text"])
+            .when(link.isNull(), run["raw"])
+            .when(~link["whole"], F.array_join(rest, "\n"))
+            .otherwise("")
+        )
+        announces = F.exists(links, lambda one: one["passage"] == number + 1)
+        bare = F.when(announces, _unannounced(own)).otherwise(own)
+        return F.when(bare.rlike(r"[^>\s]") | (run["level"] == 0), bare)
+
+    runs = F.filter(F.transform(found, kept), lambda text: text.isNotNull())
+    return F.regexp_replace(F.array_join(runs, "\n"), r"^\s+|\s+$", "")
+
+
+def line_hash(line: Column) -> Column:
+    return F.xxhash64(normalised(line))
+
+
 def own_text(found: Column) -> Column:
-    """What a message says itself: level 0 without announcements and blank ends."""
+    """Level 0 without announcements and blank ends: what others quote of a message as a whole."""
     mine = F.transform(F.filter(found, lambda p: p["level"] == 0), lambda p: p["text"])
     lines = F.filter(F.split(F.array_join(mine, "\n"), "\n"), lambda line: ~line.rlike(ANNOUNCED))
     return F.regexp_replace(F.array_join(lines, "\n"), r"^\s+|\s+$", "")
@@ -72,7 +114,8 @@ def _hashed(rows: DataFrame) -> DataFrame:
 
 
 def link_quotes(parsed: DataFrame) -> DataFrame:
-    """Every linked quotation: ``msg_id``, ``level``, and the message ``source`` it comes from.
+    """Every linked quotation: ``msg_id``, ``level``, the message ``source`` it comes from, and ``link``: the number of its
+    run of lines, whether all of that is linked, and the hashes of the lines that are.
 
     A quoted passage belongs to the latest earlier message of the same ``thread`` that says the same itself, by the hash
     of the normalised text; where no message has the passage as a whole, to one that has a line of it. The count of
@@ -97,12 +140,18 @@ def link_quotes(parsed: DataFrame) -> DataFrame:
     units = written(originals.union(quoted), "quotable")
     counted = written(ordered_window(units, order, keys, running={"k": "is_original"}, sample_every=16), "quotations")
     named = counted.filter("is_original = 1").select(*keys, "k", F.col("msg_id").alias("source"), F.col("sent").alias("source_sent"))
+    # Of a run that no message has as a whole, the lines that some message has are its links.
     met = counted.filter("is_original = 0 AND k > 0").alias("q").join(
         named.alias("o"), F.expr("q.thread <=> o.thread AND q.h1 = o.h1 AND q.h2 = o.h2 AND q.k = o.k")
     )
     best = F.max(F.struct((-F.col("rank")).alias("whole"), "source_sent", "source")).alias("best")
-    return met.groupBy("q.msg_id", "level", "passage").agg(best).select(
-        "msg_id", "level", F.col("best.source").alias("source"), F.col("best.source_sent").alias("source_sent")
+    lines = F.collect_set(F.when(F.col("rank") == 1, F.col("q.h1"))).alias("lines")  # of one run of one message
+    return met.groupBy("q.msg_id", "level", "passage").agg(best, lines).select(
+        "msg_id",
+        "level",
+        F.col("best.source").alias("source"),
+        F.col("best.source_sent").alias("source_sent"),
+        F.struct("passage", (F.col("best.whole") == 0).alias("whole"), "lines").alias("link"),
     )
 
 
@@ -138,7 +187,8 @@ def _threads(replies: DataFrame) -> DataFrame:
 def reply_ordered(messages: DataFrame) -> DataFrame:
     """Conversations of ``messages`` (msg_id, thread, sent, body), one row per message, in reply order without quotes.
 
-    Rows: ``msg_id``, ``thread``, ``sent``, ``own`` (the text without quotes), ``n_linked`` quotations, ``reply_to`` (the
+    Rows: ``msg_id``, ``thread``, ``sent``, ``own`` (the text without linked quotations; what is quoted from nowhere and
+    what only looks like an announcement stays), ``n_linked`` quotations, ``reply_to`` (the
     source of the shallowest linked quotation, the latest of several), ``root``, ``depth`` below it, and ``position`` in
     the conversation by depth, time and id. A null body says nothing, a message without a linked quotation begins a
     conversation, a null thread is one thread, a null time comes last. Repeated ids are one message (the smallest body);
@@ -151,15 +201,16 @@ def reply_ordered(messages: DataFrame) -> DataFrame:
     parsed = written(found.withColumn("own", own_text(F.col("found"))), "messages-parsed")
     links = written(link_quotes(parsed), "quotation-links")
     nearest = F.max(F.struct((-F.col("level")).alias("up"), "source_sent", "source")).alias("best")
-    replies = links.groupBy("msg_id").agg(nearest, F.count("*").alias("n_linked")).select(
-        "msg_id", F.col("best.source").alias("reply_to"), "n_linked"
-    )
+    replies = links.groupBy("msg_id").agg(
+        nearest, F.count("*").alias("n_linked"), F.collect_list("link").alias("linked")  # of one message
+    ).select("msg_id", F.col("best.source").alias("reply_to"), "n_linked", "linked")
     replies = written(
         parsed.select("msg_id", "thread", "sent").join(replies, "msg_id", "left").fillna(0, ["n_linked"]), "replies"
     )
     placed = written(replies.join(_threads(replies), "msg_id"), "threads")
     numbered = ordered_window(placed, ["depth", "sent", "msg_id"], ["root"], row_number="position", sample_every=16)
-    return numbered.join(parsed.select("msg_id", "own"), "msg_id")
+    said = parsed.select("msg_id", "found")
+    return numbered.join(said, "msg_id").withColumn("own", without_quotes(F.col("found"), F.col("linked"))).drop("found", "linked")
 
 
 def quoting_messages(turns: DataFrame) -> DataFrame:

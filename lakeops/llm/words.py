@@ -52,16 +52,41 @@ def blocks(texts: list[str | None], chars: int = BLOCK_CHARS) -> Iterator[tuple[
         yield start, len(texts)
 
 
+def _full_width_marks(data: np.ndarray) -> np.ndarray:
+    """Bytes of the full-width punctuation U+FF01 to U+FF0F, U+FF1A to U+FF20, U+FF5B to U+FF65."""
+    at = np.flatnonzero(data[:-2] == 0xEF)
+    second, third = data[at + 1], data[at + 2]
+    low = (second == 0xBC) & (((third >= 0x81) & (third <= 0x8F)) | ((third >= 0x9A) & (third <= 0xA0)))
+    high = (second == 0xBD) & (third >= 0x9B) & (third <= 0xA5)
+    marks = at[low | high]
+    return np.concatenate((marks, marks + 1, marks + 2))
+
+
+def _unspaced(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First bytes of the characters of scripts written without blanks between words, and the bytes after them: Thai and
+    Lao (U+0E00 to U+0EFF), Burmese (U+1000 to U+109F), Khmer (U+1780 to U+17FF), kana (U+3040 to U+30FF) and Chinese
+    characters (U+3400 to U+9FFF, U+20000 to U+3FFFF)."""
+    first, second = data[:-1], data[1:]
+    three = (first == 0xE0) & (second >= 0xB8) & (second <= 0xBB)
+    three |= (first == 0xE1) & (((second >= 0x80) & (second <= 0x82)) | (second == 0x9E) | (second == 0x9F))
+    three |= (first == 0xE3) & (((second >= 0x81) & (second <= 0x83)) | (second >= 0x90))
+    three |= (first >= 0xE4) & (first <= 0xE9)
+    lead = np.flatnonzero(three)
+    four = np.flatnonzero((first == 0xF0) & (second >= 0xA0))
+    return np.concatenate((lead, four)), np.concatenate((lead + 3, four + 4))
+
+
 def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in order, and where each text's words begin (one entry more than texts).
 
     A word is a run of letters, digits and underscores in lower case. Outside ASCII every
-    character counts as a letter but for the Latin-1, general and CJK punctuation blocks.
-    Null has no words.
+    character counts as a letter but for the Latin-1, general, CJK and full-width punctuation blocks.
+    Where words are written without blanks between them (Chinese, Japanese, Thai, Lao, Khmer, Burmese) each
+    character is a word. Null has no words.
     """
     coded = [(text or "").lower().encode("utf-8", "replace") for text in texts]
     data = np.frombuffer(b"\n" + b"\n".join(coded) + b"\n", np.uint8)
-    inside = _WORD[data]
+    inside, alone = _WORD[data], None
     if any(not (text or "").isascii() for text in texts):
         first, second = data[:-1], data[1:]
         two = np.flatnonzero(first == 0xC2)
@@ -69,8 +94,15 @@ def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         for marks, width in ((two, 2), (three, 3)):
             for k in range(width):
                 inside[marks + k] = False
-    edge = np.diff(inside.astype(np.int8))
-    starts, ends = np.flatnonzero(edge == 1) + 1, np.flatnonzero(edge == -1) + 1
+        inside[_full_width_marks(data)] = False
+        alone = _unspaced(data)
+    begins = np.append(False, ~inside[:-1]) & inside
+    if alone is not None and len(alone[0]):
+        lead, after = alone
+        begins[lead] = inside[lead]
+        begins[after] |= inside[after]
+    stops = np.append(False, inside[:-1]) & (~inside | begins)
+    starts, ends = np.flatnonzero(begins), np.flatnonzero(stops)
     power, inverse = _power_tables(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE[data] * power[: len(data)], out=sums[1:])

@@ -7,6 +7,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from lakeops.llm import near_duplicates as nd
 from lakeops.llm import spot_signatures
@@ -166,6 +167,35 @@ def test_one_of_each_class_stays_with_all_columns(spark, odd_docs, no_docs):
     assert nd.drop_near_duplicates(no_docs).count() == 0
 
 
+def test_rows_of_one_id_with_unlike_texts_each_stay_or_go_by_their_own(spark):
+    one, two, three = prose(1, 80), prose(2, 80), prose(3, 80)
+    rows = [(1, one), (1, two), (2, two + " more"), (3, three), (3, three), (4, one), (None, one), (5, None), (5, three)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("id", F.lit("x")).withColumn("row", F.lit(0))
+    kept = nd.drop_near_duplicates(frame)
+    assert kept.columns == frame.columns
+    assert sorted(((r["doc_id"] or 0, r["text"] or "") for r in kept.collect())) == sorted(
+        [(1, one), (1, two), (3, three), (0, one), (5, "")]
+    )
+    classes = [tuple(r) for r in nd.near_duplicate_classes(frame).collect()]
+    assert sorted(classes, key=str) == sorted(
+        [(1, 1), (1, 1), (2, 1), (3, 3), (3, 3), (4, 1), (None, None), (5, 5), (5, 3)], key=str
+    )
+
+
+def test_characters_of_unspaced_scripts_are_words():
+    hashes, bounds = word_hashes(["日本語。テスト", "ab日本cd", "ไทย", "한국어 말", "日 本", "日本", "a，b！c", "𠀀𠀁x"])
+    assert np.diff(bounds).tolist() == [6, 4, 3, 2, 2, 2, 3, 3]
+    assert hashes[bounds[4] : bounds[5]].tolist() == hashes[bounds[5] : bounds[6]].tolist()
+
+
+def test_near_copies_in_chinese_are_found(spark):
+    draw = random.Random(6)
+    texts = ["".join(chr(draw.randint(0x4E00, 0x9000)) for _ in range(400)) for _ in range(6)]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(100 + k, t[:200] + "改" + t[201:]) for k, t in enumerate(texts)]
+    got = {r["doc_id"]: r["class_id"] for r in nd.near_duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {k: k % 100 for k in got}
+
+
 def test_components_by_minimum_labels(spark):
     draw = random.Random(3)
     chain = [(k, k + 1) for k in range(200)]

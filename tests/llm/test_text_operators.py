@@ -111,16 +111,6 @@ def test_any_two_changes_in_a_long_passage_are_forgiven(spark):
     assert got.count() == 60
 
 
-def test_best_stretch_is_the_best_of_all():
-    draw = np.random.default_rng(0)
-    for _ in range(200):
-        equal = draw.random(draw.integers(0, 25)) < 0.6
-        start, stop, count = dc.best_stretch(equal)
-        points = lambda a, b: equal[a:b].sum() - dc.MISMATCH * (~equal[a:b]).sum()
-        best = max((points(a, b) for a in range(len(equal) + 1) for b in range(a, len(equal) + 1)), default=0)
-        assert points(start, stop) == best and count == equal[start:stop].sum()
-
-
 def test_overlap_has_the_most_equal_words_of_all_stretches_with_the_share():
     draw = np.random.default_rng(1)
     for _ in range(300):
@@ -163,12 +153,38 @@ def test_short_overlaps_and_changed_short_items_are_found(spark):
     assert {(i, i // 10) for i in docs if i < 45} <= {(r["doc_id"], r["item_id"]) for r in found}
 
 
+def test_decontamination_goes_by_texts_and_not_by_ids(spark):
+    """Items that share an id, documents without one, and rows that share one and not the text."""
+    one, two, clean = prose(910, 30), prose(911, 30), prose(912, 60)
+    bench = spark.createDataFrame([(1, one), (1, two), (None, prose(913, 30))], "item_id long, text string")
+    rows = [(1, f"{clean} {one}"), (2, two), (None, one), (None, clean), (3, clean), (3, two), (4, prose(913, 30)), (5, None), (6, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("doc", F.lit(1)).withColumn("row", F.lit(2))
+    kept = dc.decontaminate(docs, bench)
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in kept.collect()) == sorted([(0, clean), (3, clean), (5, ""), (6, "")])
+    found = {(r["doc_id"], r["item_id"]) for r in dc.overlaps(docs.drop("doc", "row"), bench).collect()}
+    assert found == {(1, 1), (2, 1), (3, 1)}
+
+
+def test_short_items_match_equal_texts_and_unspaced_ones_their_characters(spark):
+    chinese = "这是一个用来检查去污染方法的句子它没有空格"
+    bench = items(spark, ["Paris", "forty two", "the red fox ran", chinese])
+    rows = [
+        (1, "paris!"), (2, "Paris is large"), (3, "Forty  two."), (4, "forty two and more"), (5, "The red fox ran"),
+        (6, "the red fox sat"), (7, "前面的话" + chinese + "后面的话"), (8, "完全不同的另外一句中文没有任何关系"), (9, "two forty"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"] for r in dc.overlaps(docs, bench).collect()} == {1, 3, 5, 7}
+    assert {r["doc_id"] for r in dc.decontaminate(docs, bench).collect()} == {2, 4, 6, 8, 9}
+
+
 def test_decontamination_of_odd_rows(spark, odd_docs, no_docs):
     bench = items(spark, [None, "", "tie tie tie tie tie tie tie", "a b", prose(3, 30), "日本語のテキスト"])
     found = {(r["doc_id"], r["item_id"]) for r in dc.overlaps(odd_docs, bench.union(bench)).collect()}
-    assert found == {(9009, 2), (9010, 2)}
+    # Each character of the Japanese item is a word, so the text that begins with it is found.
+    assert found == {(9006, 5), (9009, 2), (9010, 2)}
     kept = dc.decontaminate(odd_docs, bench)
-    assert kept.columns == odd_docs.columns and kept.count() == odd_docs.count() - 2
+    assert kept.columns == odd_docs.columns and kept.count() == odd_docs.count() - 3
     assert dc.overlaps(no_docs, bench).count() == 0 and dc.overlaps(odd_docs, bench.limit(0)).count() == 0
 
 
@@ -282,6 +298,7 @@ def test_surrogates_of_odd_rows(spark, odd_docs, no_docs):
 def test_passages_are_runs_of_one_level(spark):
     body = "hello\n> > old\n>> older\n> reply\n\nOn Monday A wrote:\n> x > y\nend"
     row = spark.createDataFrame([(body,)], "b string").select(quotations.passages(F.col("b")).alias("p")).first()["p"]
+    assert [p["raw"] for p in row] == ["hello", ">> old\n>> older", "> reply", "\nOn Monday A wrote:", "> x > y", "end"]
     assert [(p["level"], p["text"]) for p in row] == [
         (0, "hello"), (2, "old\nolder"), (1, "reply"), (0, "\nOn Monday A wrote:"), (1, "x > y"), (0, "end"),
     ]
@@ -326,6 +343,30 @@ def test_a_long_chain_and_a_text_that_all_messages_share(spark):
     assert all(got[f"s{k:03d}"]["reply_to"] == (f"s{k - 1:03d}" if k else None) for k in range(150))
 
 
+def test_only_what_is_linked_goes(spark):
+    long = "On Monday, " + "very " * 90 + "late, the teacher wrote:"
+    got = threaded(
+        spark,
+        [
+            ("a", 1, 1, "On Monday the teacher wrote:"),
+            ("b", 1, 2, "The sun was out all day long.\nAnd nobody stayed at home."),
+            ("c", 1, 3, "I agree.\nOn Monday B wrote:\n> The sun was out all day long.\n> And nobody stayed at home.\nSo do I."),
+            ("d", 1, 4, "As someone said:\nOn Friday X wrote:\n> words from a message we never saw\nIndeed."),
+            ("e", 1, 5, f"{long}\n> The sun was out all day long.\n> But I stayed in, quite alone.\nLonely."),
+            ("f", 1, 6, "> On Tuesday B wrote:\n> > The sun was out all day long.\n> > And nobody stayed at home.\nDeep."),
+        ],
+    )
+    assert {m: r["own"] for m, r in got.items()} == {
+        "a": "On Monday the teacher wrote:",
+        "b": "The sun was out all day long.\nAnd nobody stayed at home.",
+        "c": "I agree.\nSo do I.",
+        "d": "As someone said:\nOn Friday X wrote:\n> words from a message we never saw\nIndeed.",
+        "e": "> But I stayed in, quite alone.\nLonely.",
+        "f": "Deep.",
+    }
+    assert {m: r["reply_to"] for m, r in got.items()} == {"a": None, "b": None, "c": "b", "d": None, "e": "b", "f": "b"}
+
+
 def test_turns_come_back_in_order_and_without_quotes(spark):
     turns = [(c, t, "user", f"turn {t} of {c}\nsecond line {t * c}") for c in range(5) for t in range(6) if (c, t) != (2, 3)]
     frame = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
@@ -338,6 +379,8 @@ def test_turns_come_back_in_order_and_without_quotes(spark):
 def test_quotations_of_odd_rows(spark):
     rows = [(None, 1, 1, "x"), ("n", None, None, None), ("e", 1, None, ""), ("q", 1, 2, ">>>\n> \n"), ("q", 1, 2, ">>>\n> \n"), ("l", None, 3, "> a\n" * 3000)]
     got = threaded(spark, rows)
-    assert set(got) == {"n", "e", "q", "l"} and all(r["own"] == "" and r["reply_to"] is None for r in got.values())
+    assert set(got) == {"n", "e", "q", "l"} and all(r["reply_to"] is None for r in got.values())
+    # What is quoted from nowhere stays; marks without words go.
+    assert {m: r["own"] for m, r in got.items()} == {"n": "", "e": "", "q": "", "l": "\n".join(["> a"] * 3000)}
     frame = spark.createDataFrame([], "msg_id string, thread long, sent long, body string")
     assert quotations.reply_ordered(frame).count() == 0
