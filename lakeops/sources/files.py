@@ -92,6 +92,10 @@ def write_csv(df: DataFrame, path: str) -> None:
     csv_options(df.write.mode("overwrite")).csv(path)
 
 
+def write_parquet(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").parquet(path)
+
+
 def table_format(spark: SparkSession, wanted: str) -> str:
     """The wanted table format, or Parquet where the session does not have it.
 
