@@ -16,6 +16,10 @@ from lakeops.operators.windows import ordered_window
 from lakeops.session import stable
 
 
+#: Size of a quantile sketch: about 0.5 % of rank error.
+SKETCH_SIZE = 800
+
+
 def _level_counts(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
     """Distinct values per group with their count and the number of rows up to them."""
     counts = (
@@ -59,16 +63,42 @@ def _pick(levels: DataFrame, keys: Sequence[str], wanted: Sequence[float]) -> Da
     )
 
 
-def percentiles(df: DataFrame, value: str, wanted: dict[str, float], keys: Sequence[str] = ()) -> DataFrame:
-    """Exact percentiles ``{out: q}`` of ``value``, per group where ``keys`` are given."""
+def rank_error(k: int) -> float:
+    """The rank error, as a share of all values, that a quantile of a sketch of size ``k`` stays below with 99 %."""
+    return 2.446 / k**0.9433
+
+
+def quantile_states(df: DataFrame, value: str, keys: Sequence[str] = (), k: int = SKETCH_SIZE) -> DataFrame:
+    """A mergeable sketch of ``value`` per group, in the column ``sketch``: kept per day or partition, it stands for the
+    rows in any later ``merged_percentiles``. Null values are left out; a group of nothing else has no sketch."""
+    values = df.filter(F.col(value).isNotNull())
+    return values.groupBy(*keys).agg(F.kll_sketch_agg_double(F.col(value).cast("double"), k).alias("sketch"))
+
+
+def merged_percentiles(states: DataFrame, wanted: dict[str, float], keys: Sequence[str] = ()) -> DataFrame:
+    """Percentiles ``{out: q}`` and the number of values (``n``) per group, from sketches. Each is one of the values, and
+    its rank is off by ``rank_error`` at most."""
+    merged = states.groupBy(*keys).agg(F.kll_merge_agg_double("sketch").alias("_all"))
+    found = [F.kll_sketch_get_quantile_double("_all", F.lit(float(q))).alias(out) for out, q in wanted.items()]
+    return merged.select(*keys, F.kll_sketch_get_n_double("_all").alias("n"), *found)
+
+
+def percentiles(
+    df: DataFrame, value: str, wanted: dict[str, float], keys: Sequence[str] = (), approx: int | None = None
+) -> DataFrame:
+    """Percentiles ``{out: q}`` of ``value``, per group where ``keys`` are given: exact, or with ``approx`` from sketches
+    of that size, which moves one sketch per task and group in place of every distinct value."""
+    if approx:
+        found = merged_percentiles(quantile_states(df, value, keys, approx), wanted, keys).drop("n")
+        return found.withColumns({out: rounded(F.col(out), 6) for out in wanted})
     picked = _pick(_level_counts(df, value, keys), keys, list(wanted.values()))
     return picked.select(*keys, *[rounded(F.col(f"_p{i}"), 6).alias(out) for i, out in enumerate(wanted)])
 
 
-def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str], approx: int | None = None) -> DataFrame:
     """Count, mean, standard deviation, minimum, quartiles and maximum, one row per column.
 
-    One pass for the moments of all columns and one for all quartiles.
+    One pass for the moments of all columns and one for all quartiles; ``approx`` as in ``percentiles``.
     """
     cells = [F.struct(F.lit(name).alias("column"), F.col(name).cast("double").alias("value")) for name in columns]
     long = df.select(F.inline(F.array(*cells)))
@@ -79,7 +109,7 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    quartiles = percentiles(long, "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, ["column"])
+    quartiles = percentiles(long, "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, ["column"], approx)
     return moments.join(quartiles, "column", "left").select(
         "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"
     )

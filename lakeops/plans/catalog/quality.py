@@ -635,7 +635,7 @@ def q35(t):
 
 @query(
     "q36_exact_duplicates_on_wider_key",
-    "SELECT order_id, product_id, CAST(sales AS BIGINT) AS sales, quantity, CAST(discount AS DOUBLE) AS discount,"
+    "SELECT order_id, product_id, CAST(sales AS DOUBLE) AS sales, quantity, CAST(discount AS DOUBLE) AS discount,"
     " COUNT(*) AS times_repeated FROM (SELECT * FROM wide_v UNION ALL SELECT * FROM wide_v WHERE order_id % 60 = 7)"
     " GROUP BY 1, 2, 3, 4, 5 HAVING COUNT(*) > 1",
 )
@@ -644,7 +644,7 @@ def q36(t):
     lines = t.wide_items.select("order_id", "product_id", "sales", "quantity", "discount")
     twice = lines.unionByName(lines.filter("order_id % 60 = 7"))
     found = dedupe.repeated_keys(twice, "order_id", "product_id", "sales", "quantity", "discount")
-    return found.withColumn("discount", money.as_double(F.col("discount")))
+    return found.withColumns({"sales": money.amount(F.col("sales")), "discount": money.as_double(F.col("discount"))})
 
 
 @query(

@@ -363,6 +363,33 @@ def a17(t):
     return stats.describe(t.raw("lineitem"), ["l_quantity", "l_extendedprice"])
 
 
+SKETCHED = {"q10": 0.1, "q50": 0.5, "q99": 0.99}
+
+
+@query(
+    "a17_quantile_sketches",
+    """
+    SELECT l_returnflag, q, COUNT(*) AS n, true AS within FROM lineitem, (SELECT unnest(['q10', 'q50', 'q99']) AS q)
+    GROUP BY 1, 2""",
+)
+def a17_sketches(t):
+    """Quantiles per flag from sketches kept per ship month, and whether their true ranks are within the stated error."""
+    lines = t.raw("lineitem").select("l_returnflag", "l_extendedprice", F.trunc("l_shipdate", "MM").alias("month"))
+    states = stable(stats.quantile_states(lines, "l_extendedprice", ["l_returnflag", "month"]))
+    found = stats.merged_percentiles(states, SKETCHED, ["l_returnflag"])
+    long = found.select(
+        "l_returnflag", "n", F.inline(F.array(*[F.struct(F.lit(q).alias("q"), F.lit(share).alias("share"), F.col(q).alias("value"))
+                                               for q, share in SKETCHED.items()]))
+    )
+    # The rank of a value that repeats is a span; the wanted rank lies in it or next to it.
+    ranks = lines.join(long, "l_returnflag").groupBy("l_returnflag", "n", "q", "share").agg(
+        (F.count_if(F.col("l_extendedprice") < F.col("value")) / F.max("n")).alias("low"),
+        (F.count_if(F.col("l_extendedprice") <= F.col("value")) / F.max("n")).alias("high"),
+    )
+    off = F.greatest(F.col("low") - F.col("share"), F.col("share") - F.col("high"), F.lit(0.0))
+    return ranks.select("l_returnflag", "q", "n", (off <= stats.rank_error(stats.SKETCH_SIZE)).alias("within"))
+
+
 @query(
     "a18_histogram",
     """

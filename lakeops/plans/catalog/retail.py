@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from datetime import date
 
-from lakeops.plans import retail
+from lakeops.functions import dates
+from lakeops.plans import daily, retail
 from lakeops.plans.registry import query
+from lakeops.session import scratch_path
 
 START, END = date(1998, 3, 1), date(1998, 5, 20)
 PERIOD = f"order_day BETWEEN DATE '{START}' AND DATE '{END}'"
@@ -290,6 +292,39 @@ def r17(t):
     return retail.period_summary(t.items, t.orders, START, END)
 
 
+def _daily(t) -> str:
+    path = scratch_path(t.spark, "daily")
+    daily.write_daily(daily.daily_states(t.items, t.orders), path)
+    return path
+
+
+@query(
+    "r17_period_from_daily_states",
+    f"""
+    SELECT CAST(COUNT(DISTINCT order_id) AS BIGINT) AS orders, CAST(COALESCE(SUM(line_revenue), 0) AS DOUBLE) AS revenue,
+           COUNT(DISTINCT customer_id) AS customers
+    FROM revenue_v WHERE {PERIOD}""",
+)
+def r17_states(t):
+    """The same from one row per day. The sketches hold so few customers exactly; above, their count is an estimate."""
+    return daily.summary(daily.read_period(t.spark, _daily(t), START, END))
+
+
+@query(
+    "r19_customers_of_both_periods",
+    f"""
+    SELECT COUNT(*) FILTER (now) AS customers, COUNT(*) FILTER (before) AS customers_before,
+           COUNT(*) FILTER (now AND before) AS customers_of_both
+    FROM (SELECT customer_id, bool_or(order_day >= DATE '{START}') AS now, bool_or(order_day < DATE '{START}') AS before
+          FROM revenue_v WHERE customer_id IS NOT NULL AND order_day BETWEEN DATE '{BEFORE_START}' AND DATE '{END}'
+          GROUP BY 1)""",
+)
+def r19_both(t):
+    path = _daily(t)
+    now, before = (daily.read_period(t.spark, path, *span) for span in ((START, END), dates.previous_period(START, END)))
+    return daily.customers_of_both(now, before)
+
+
 def bucket_sql(label: str) -> str:
     return f"""
     SELECT {label} AS bucket, COUNT(DISTINCT order_id) AS orders, CAST(SUM(line_revenue) AS DOUBLE) AS revenue,
