@@ -6,10 +6,10 @@ first rule it breaks; nothing is dropped without ending up in the quarantine.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 REASON = "quarantine_reason"
@@ -34,6 +34,14 @@ class Note:
     action: str
 
 
+@dataclass(frozen=True)
+class Counts:
+    """Issues (table, issue, rows, action) and the row counts (table, raw, clean, dropped) of one table."""
+
+    issues: list[tuple[str, str, int, str]]
+    rows: tuple[str, int, int, int]
+
+
 @dataclass
 class Judged:
     """A table after its rules ran: cleaned columns, the reason and the raw row."""
@@ -55,10 +63,32 @@ class Judged:
         """The same table read back from where its rows were written."""
         return Judged(self.table, rows, self.rules, self.notes)
 
+    def _counted(self) -> list[tuple[str, Column, str]]:
+        """Name, condition and action of every rule and note."""
+        counted = [(rule.reason, F.col(REASON) == rule.reason, rule.action) for rule in self.rules]
+        return counted + [(note.issue, note.seen, note.action) for note in self.notes]
+
+    def counted_while_written(self) -> tuple[DataFrame, Callable[[], Counts]]:
+        """The rows, to be written once, and a function that gives their counts after that; nothing is read again."""
+        seen = Observation()
+        tests = [F.count_if(condition).alias(f"_{i}") for i, (_, condition, _) in enumerate(self._counted())]
+        dropped = F.count_if(F.col(REASON).isNotNull()).alias("_dropped")
+
+        def counts() -> Counts:
+            found = seen.get
+            issues = [
+                (self.table, name, found[f"_{i}"], action)
+                for i, (name, _, action) in enumerate(self._counted())
+                if found[f"_{i}"]
+            ]
+            raw, gone = found["_raw"], found["_dropped"]
+            return Counts(issues, (self.table, raw, raw - gone, gone))
+
+        return self.rows.observe(seen, F.count(F.lit(1)).alias("_raw"), dropped, *tests), counts
+
     def issues(self) -> DataFrame:
         """``(table, issue, rows, action)`` for every rule and note that met a row; one pass."""
-        counted = [(rule.reason, F.col(REASON) == rule.reason, rule.action) for rule in self.rules]
-        counted += [(note.issue, note.seen, note.action) for note in self.notes]
+        counted = self._counted()
         totals = self.rows.agg(*[F.count_if(seen).alias(f"_{i}") for i, (_, seen, _) in enumerate(counted)])
         entries = [
             F.struct(

@@ -117,6 +117,42 @@ def test_customers(spark):
     assert [r.customer_id for r in cleaning.invalid_emails(judged.clean).collect()] == ["C2"]
 
 
+def test_counts_taken_while_rows_are_written_are_those_of_the_rows(spark, tables, tmp_path):
+    judged = cleaning.clean_orders(tables[0])
+    rows, counts = judged.counted_while_written()
+    stored = store_below(spark, str(tmp_path))("orders", rows)
+    found = counts()
+    assert set(found.issues) == {tuple(r) for r in judged.with_rows(stored).issues().collect()}
+    assert found.rows == tuple(judged.with_rows(stored).row_counts().first())
+
+
+def test_raw_columns_go_through_one_shuffle_at_most(spark):
+    """Also where no table is small enough to be broadcast, and most rows have a flag."""
+    items = spark.range(3000).select(
+        F.col("id").alias("seq"),
+        F.concat(F.lit("I"), F.col("id") % 2900).alias("item_id"),
+        F.when(F.col("id") % 3 == 0, "O-hot").otherwise(F.concat(F.lit("O"), F.col("id") % 700)).alias("order_id"),
+        F.concat(F.lit("P"), F.col("id") % 50).alias("product_id"),
+        F.concat(F.lit("payload"), F.col("id")).alias("payload"),
+    )
+    orders = spark.range(0, 700, 2).select(F.concat(F.lit("O"), F.col("id")).alias("order_id"))
+    products = spark.range(40).select(F.concat(F.lit("P"), F.col("id")).alias("product_id"))
+    checks = {"repeats": [("item_id", "late")], "missing": [("order_id", orders, "order_id", "lost"), ("product_id", products, "product_id", "gone")]}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        marked = dedupe.mark_rows(items, "seq", **checks)
+        found = {r.seq: (r.late, r.lost, r.gone) for r in marked.collect()}
+        plan = marked._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert found == {
+        k: (k >= 2900, k % 3 == 0 or (k % 700) % 2 == 1, k % 50 >= 40) for k in range(3000)
+    }
+    moved = [at for at, line in enumerate(plan) if "Exchange hashpartitioning" in line]
+    assert sum("payload" in next(x for x in plan[at + 1 :] if "Project" in x or "Scan" in x) for at in moved) == 1
+
+
 def test_clean_all_reports_and_holds_its_constraints(spark, tables, tmp_path):
     orders, products = tables
     raw = {
