@@ -21,7 +21,8 @@ RELATIVE = 0.2
 #: Slots of the filter per n-gram, and probes per look-up.
 SLOTS_PER_GRAM = 16
 PROBES = 2
-MAX_LANGUAGES = 64
+#: Languages in one mask; a slot has as many masks as the languages need.
+MASK_BITS = 64
 UNDETERMINED = "und"
 
 # ASCII but for letters becomes blank, so that only letters tell languages apart.
@@ -65,19 +66,21 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Model:
-    """Languages and a Bloom filter whose slots are bitmasks over them: bit l of all slots is the filter of language l."""
+    """Languages and a Bloom filter whose slots are bitmasks over them: bit l of all slots is the filter of language l.
+
+    ``slots`` has a row for each MASK_BITS languages."""
 
     languages: list[str]
     slots: np.ndarray
     false_rate: np.ndarray
 
     def masks(self, value: np.ndarray) -> np.ndarray:
-        """Per n-gram the set of languages that may contain it, by one look-up per probe for all languages."""
+        """Per n-gram the set of languages that may contain it, by one look-up per probe for MASK_BITS languages."""
         hashed = mix(value.astype(np.uint64))
         found = None
         for probe in range(PROBES):
-            slot = (hashed >> np.uint64(32 * probe)).astype(np.uint32) & np.uint32(len(self.slots) - 1)
-            found = self.slots[slot] if found is None else found & self.slots[slot]
+            slot = (hashed >> np.uint64(32 * probe)).astype(np.uint32) & np.uint32(self.slots.shape[1] - 1)
+            found = self.slots[:, slot] if found is None else found & self.slots[:, slot]
         return found
 
     def shares(self, texts: list[str | None]) -> np.ndarray:
@@ -85,11 +88,11 @@ class Model:
         value, starts = grams(texts)
         known = value != 0
         masks = self.masks(value)
-        masks[~known] = 0
+        masks[:, ~known] = 0
         total = np.maximum(np.add.reduceat(known, starts[:-1], dtype=np.int64), 1)
         shares = np.empty((len(texts), len(self.languages)))
         for bit, rate in enumerate(self.false_rate):
-            hits = np.add.reduceat((masks >> np.uint64(bit)) & np.uint64(1), starts[:-1]).astype(np.float64)
+            hits = np.add.reduceat((masks[bit // MASK_BITS] >> np.uint64(bit % MASK_BITS)) & np.uint64(1), starts[:-1]).astype(np.float64)
             shares[:, bit] = np.clip((hits / total - rate) / (1 - rate), 0, 1)
         return shares
 
@@ -97,12 +100,12 @@ class Model:
 def build(languages: list[str], lang: np.ndarray, gram: np.ndarray) -> Model:
     """The filter that holds ``gram[i]`` for language number ``lang[i]``."""
     size = 1 << max(10, int(np.ceil(np.log2(max(1, len(gram)) * SLOTS_PER_GRAM))))
-    slots = np.zeros(size, np.uint64)
+    slots = np.zeros((max(1, -(-len(languages) // MASK_BITS)), size), np.uint64)
     hashed = mix(gram.astype(np.uint64))
     for probe in range(PROBES):
         slot = (hashed >> np.uint64(32 * probe)).astype(np.uint32) & np.uint32(size - 1)
-        np.bitwise_or.at(slots, slot, np.uint64(1) << lang.astype(np.uint64))
-    filled = np.array([np.mean((slots >> np.uint64(bit)) & np.uint64(1)) for bit in range(len(languages))])
+        np.bitwise_or.at(slots, (lang // MASK_BITS, slot), np.uint64(1) << (lang % MASK_BITS).astype(np.uint64))
+    filled = np.array([np.mean((slots[bit // MASK_BITS] >> np.uint64(bit % MASK_BITS)) & np.uint64(1)) for bit in range(len(languages))])
     return Model(languages, slots, np.minimum(filled**PROBES, 0.99))
 
 
@@ -110,16 +113,14 @@ def learn(labelled: DataFrame) -> Model:
     """The model of ``labelled`` (text, lang), from counts over all its rows.
 
     Rows without a text or language teach nothing. The n-grams kept are at most 1 / SHARE per language, so what the
-    driver gets has a fixed bound. At most MAX_LANGUAGES languages are supported.
+    driver gets and every task holds grows with the number of languages and not with the corpus.
     """
     rows = labelled.filter("text IS NOT NULL AND lang IS NOT NULL").select(F.col("lang").cast("string"), "text")
     counts = rows.mapInArrow(_count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    frequent = counts.join(F.broadcast(totals.limit(MAX_LANGUAGES + 1)), "lang").filter(F.col("n") >= F.col("total") * SHARE)
+    frequent = counts.join(totals, "lang").filter(F.col("n") >= F.col("total") * SHARE)
     kept = frequent.select("lang", "gram", (F.col("n") / F.col("total")).alias("share")).toPandas()
     languages = sorted(kept["lang"].unique())
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     best = kept.groupby("gram")["share"].transform("max")
     kept = kept[kept["share"] >= best * RELATIVE]
     number = {lang: k for k, lang in enumerate(languages)}

@@ -9,6 +9,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeops.llm.bits import divided
+from lakeops.session import written
+
 
 def content_digest(text: Column) -> Column:
     """SHA-256 of the UTF-8 text; null counts as empty."""
@@ -38,12 +41,15 @@ def _first_seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def unseen_contents(contents: DataFrame, known: DataFrame | None) -> DataFrame:
     """One row (digest, text) per digest that ``known`` lacks.
 
-    Copies go before the shuffle, within each task, so that a text that holds a third of all
+    Only digests meet the known ones. Of the texts, those that a filter of the unseen digests rules out, which are nearly
+    all known ones, do not move. Copies go before the shuffle, within each task, so that a text that holds a third of all
     rows arrives once per task; the copies that are left meet in one partition and go there.
     """
     fresh = contents.select("digest", "text")
     if known is not None:
-        fresh = fresh.join(known.select("digest"), "digest", "left_anti")
+        unseen = fresh.select("digest").distinct().join(known.select("digest"), "digest", "left_anti")
+        unseen = written(unseen, "unseen")
+        fresh = divided(fresh, "digest", unseen)[1].join(unseen, "digest", "left_semi")
     schema = "digest binary, text string"
     return fresh.mapInArrow(_first_seen, schema).repartition("digest").mapInArrow(_first_seen, schema)
 

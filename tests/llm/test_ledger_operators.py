@@ -108,3 +108,25 @@ def test_cache_holds_distinct_contents_and_grows_by_misses(spark):
     more = docs.union(spark.createDataFrame([(4, "d"), (5, "c")], docs.schema))
     assert token_counts.count_tokens(more, PATH, cache).count() == 5
     assert spark.read.parquet(cache).count() == 3
+
+
+def test_a_second_run_moves_and_encodes_new_texts_only(spark, tmp_path, monkeypatch):
+    from lakeops.llm import ledger
+
+    path, done = str(tmp_path / "ledger"), []
+    rows = [(f"text number {k}",) for k in range(400)]
+    first = spark.createDataFrame(rows, "text string")
+    later = spark.createDataFrame(rows[:390] + [("a new one",)] * 30 + [("another",), (None,), (None,)], "text string")
+
+    def work(unseen):
+        table = unseen.select("digest", F.lit("v").alias("version"), F.length("text").alias("n"))
+        done.append((unseen.count(), unseen._jdf.queryExecution().executedPlan().toString()))
+        return table
+
+    def run(texts):
+        addressed = texts.select(ledger.content_digest(F.col("text")).alias("digest"), F.coalesce("text", F.lit("")).alias("text"))
+        return ledger.extend(addressed, path, "digest binary, version string, n int", "v", work)
+
+    assert run(first).count() == 400
+    assert run(later).count() == 403 and run(later).count() == 403
+    assert [n for n, _ in done] == [400, 3, 0]

@@ -68,6 +68,19 @@ def test_language_of_odd_rows_and_without_labels(spark, labelled, odd_docs, no_d
     assert kept.columns == odd_docs.columns and not {9001, 9002, 9003, 9004} & {r["doc_id"] for r in kept.collect()}
 
 
+def test_more_languages_than_a_mask_has_bits(spark):
+    """150 languages of invented words; every one is told from the others, in each of three masks."""
+    draw = random.Random(8)
+    vocabularies = [["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(12)] for _ in range(150)]
+    rows = [(k, " ".join(draw.choices(words, k=40)), f"l{k % 150:03d}") for k, words in enumerate(vocabularies * 3)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.learn(frame.filter("doc_id < 300"))
+    assert len(model.languages) == 150 and model.slots.shape[0] == 3
+    got = {r["doc_id"]: r["lang_pred"] for r in language.predict(frame.filter("doc_id >= 300"), model).collect()}
+    assert got == {k: lang for k, _, lang in rows if k >= 300}
+    assert language.keep_known(frame, model, 0.2).count() == len(rows)
+
+
 # --- decontamination
 
 
