@@ -213,6 +213,7 @@ def gold(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
 # --- serving -------------------------------------------------------------------------------
 
 # Columns and order in which each gold table is served; a written table keeps no order.
+# The columns and the order in which each gold table is served.
 SERVED = {
     "daily_revenue_by_city": (
         ["order_day", "city", "total_revenue", "total_orders", "avg_basket_size"], ["-order_day", "city"],
