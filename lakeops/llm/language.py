@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.llm.words import blocks, mix
+from lakeops.session import written
 
 #: Bytes in an n-gram of lower-case text.
 WIDTH = 4
@@ -117,7 +118,9 @@ def learn(labelled: DataFrame) -> Model:
     """
     rows = labelled.filter("text IS NOT NULL AND lang IS NOT NULL").select(F.col("lang").cast("string"), "text")
     counts = rows.mapInArrow(_count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
+    counts = written(counts, "gram-counts")
+    # A row per language: the planner knows its size and broadcasts it, so the n-grams of a language stay where they are.
+    totals = written(counts.groupBy("lang").agg(F.sum("n").alias("total")), "gram-totals")
     frequent = counts.join(totals, "lang").filter(F.col("n") >= F.col("total") * SHARE)
     kept = frequent.select("lang", "gram", (F.col("n") / F.col("total")).alias("share")).toPandas()
     languages = sorted(kept["lang"].unique())
