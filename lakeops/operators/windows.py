@@ -22,6 +22,8 @@ SLICE = "_slice"
 #: up to a fair share of the rows for each shuffle partition, are in a slice of a larger table.
 SAMPLE_EVERY = 1024
 SAMPLE_PER_SLICE = 30
+#: Without keys all rows are one group, which would lie in one task as a whole: it is cut from about 1,000 rows on.
+WHOLE_EVERY = 32
 
 
 def sort_columns(order: Sequence[str]) -> list[Column]:
@@ -67,7 +69,8 @@ def _cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str], every: int |
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     fields = [name.lstrip("-") for name in order]
     narrow = df.select(*dict.fromkeys([*keys, *fields]))
-    sample, size = _counted(narrow.filter(F.rand(7) * (every or SAMPLE_EVERY) < 1), "window-sample")
+    every = every or (SAMPLE_EVERY if keys else min(SAMPLE_EVERY, WHOLE_EVERY))
+    sample, size = _counted(narrow.filter(F.rand(7) * every < 1), "window-sample")
     if size < SAMPLE_PER_SLICE:
         return None
     most = SAMPLE_PER_SLICE * partitions
