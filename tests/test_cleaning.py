@@ -225,3 +225,73 @@ def test_dimension_keeps_the_latest_and_fills_gaps(spark):
     report = {r.metric: r.value for r in cleaning.dimension_report(raw).collect()}
     assert report["rows_in"] == 6 and report["rows_out"] == 2
     assert (report["dropped_null_key"], report["dropped_exact_duplicates"], report["dropped_duplicate_keys"]) == (1, 1, 2)
+
+
+def test_blank_to_null_and_tidy_give_the_same_with_and_without_whitespace(spark):
+    from lakeops.functions import text
+
+    given = {
+        "a": "a", " a ": "a", "a  b": "a b", "a\tb": "a b", "\u00a0x": "\u00a0x", "": None, " ": None, "NULL": None, " n/A\n": None,
+        "none": None, "nones": "nones", "-": None, "--": "--", "a\x0b\x0cb": "a b", "NaN ": None, None: None,
+    }
+    df = spark.createDataFrame([(k, v) for k, v in given.items()], "raw string, expected string")
+    found = df.select("raw", "expected", text.blank_to_null(F.col("raw")).alias("clean"), text.tidy(F.col("raw")).alias("tidy"))
+    for r in found.collect():
+        assert r.clean == r.expected, r
+        assert r.tidy == (None if r.raw is None else " ".join(r.raw.replace("\u00a0", "@").split()).replace("@", "\u00a0")), r
+
+
+def test_rows_move_for_the_one_large_set_of_failing_keys_only(spark):
+    """Orphans too many to be broadcast, repeats and products few: raw columns move once, by the order, and no keys beside."""
+    items = spark.range(4000).select(
+        F.col("id").alias("seq"),
+        F.concat(F.lit("I"), F.col("id") % 3999).alias("item_id"),
+        F.when(F.col("id") % 10 != 0, F.sha2(F.col("id").cast("string"), 256)).alias("order_id"),
+        F.concat(F.lit("P"), F.col("id") % 50).alias("product_id"),
+        F.concat(F.lit("payload"), F.col("id")).alias("payload"),
+    )
+    orders = spark.range(0, 4000, 2).select(F.sha2(F.col("id").cast("string"), 256).alias("order_id"))
+    products = spark.range(40).select(F.concat(F.lit("P"), F.col("id")).alias("product_id"))
+    checks = {"repeats": [("item_id", "late")], "missing": [("order_id", orders, "order_id", "lost"), ("product_id", products, "product_id", "gone")]}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+    try:
+        marked = dedupe.mark_rows(items, "seq", **checks)
+        found = {r.seq: (r.late, r.lost, r.gone) for r in marked.collect()}
+        plan = marked._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert found == {k: (k == 3999, k % 10 == 0 or k % 2 == 1, k % 50 >= 40) for k in range(4000)}
+    assert "_d0" not in plan and "_at" in plan and plan.count("BroadcastHashJoin") == 2
+
+
+def test_keys_that_may_repeat_are_found_by_their_digests(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a"), (4, None), (5, None)], "seq long, k string")
+    assert {r.seq for r in dedupe.suspects(df, "k").collect()} == {1, 3}
+    assert {(r.k, r.seq) for r in dedupe.drop_repeats(df, "k").collect()} == {("a", 1), ("b", 2)}
+
+
+def test_orphans_are_counted_on_folded_keys(spark):
+    child = spark.createDataFrame([("a",), ("a",), ("b",), (None,), (None,)], "k string")
+    for parents in (["b"], ["a", "b"], []):
+        parent = spark.createDataFrame([(p,) for p in parents], "p string")
+        assert dedupe.orphan_count(child, "k", parent, "p").first()["rows"] == dedupe.orphans(child, "k", parent, "p").count()
+
+
+def test_a_landed_table_is_dealt_out_only_where_its_splits_are_uneven(spark, tmp_path):
+    from lakeops.plans.binding import dealt
+
+    spark.range(4000).repartition(8).write.parquet(str(tmp_path / "even"))
+    spark.range(4000).coalesce(1).write.parquet(str(tmp_path / "one"))
+    even, one = (spark.read.parquet(str(tmp_path / name)) for name in ("even", "one"))
+    assert dealt(even, 6) is even
+    assert dealt(one, 6).rdd.getNumPartitions() == 6 and dealt(one, 6).count() == 4000
+    empty = spark.read.schema("id long").parquet(str(tmp_path / "even")).filter("id < 0")
+    assert dealt(empty, 6).count() == 0
+
+
+def test_tables_written_on_the_way_are_zstd(spark, tmp_path):
+    import os
+
+    store_below(spark, str(tmp_path))("t", spark.range(9))
+    assert any(name.endswith(".zstd.parquet") for name in os.listdir(tmp_path / "t"))
