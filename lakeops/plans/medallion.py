@@ -142,20 +142,22 @@ def daily_revenue_by_city(orders: DataFrame) -> DataFrame:
 def product_return_summary(items: DataFrame, orders: DataFrame) -> DataFrame:
     """Units and orders per product, and what came back; cancelled orders are included.
 
-    Lines fold to one row per product and order first, so counting orders needs no distinct.
+    Lines fold to one row per product and order, so counting orders needs no distinct. They meet their orders
+    first: rows that lie by order are folded where they are, and lines move twice, by order and by product.
     """
     product = ["category", "product_id", "product_name"]
-    back = F.coalesce(F.col("status") == "returned", F.lit(False))
+    back = F.coalesce(F.col("status") == "returned", F.lit(False)).alias("_back")
     per_order = (
-        items.groupBy(*product, "order_id")
+        items.select(*product, "order_id", "qty")
+        .join(orders.select("order_id", back), "order_id")
+        .groupBy(*product, "order_id", "_back")
         .agg(F.sum("qty").alias("_units"))
-        .join(orders.select("order_id", "status"), "order_id")
     )
     summary = per_order.groupBy(*product).agg(
         F.sum("_units").alias("total_units_sold"),
         F.count("order_id").alias("total_orders"),
-        F.sum(F.when(back, F.col("_units")).otherwise(0)).alias("returned_units"),
-        F.count_if(back).alias("returned_orders"),
+        F.sum(F.when(F.col("_back"), F.col("_units")).otherwise(0)).alias("returned_units"),
+        F.count_if("_back").alias("returned_orders"),
     )
     rate = money.percent_or_zero(F.col("returned_units"), F.col("total_units_sold"))
     return summary.withColumn("return_rate_pct", rate)

@@ -7,6 +7,7 @@ import re
 import pytest
 import lakeops.plans.catalog  # noqa: F401  (fills the registry)
 from lakeops.operators import windows
+from lakeops.plans import medallion
 from lakeops.plans.binding import Tables
 from lakeops.plans.registry import ENTRIES
 
@@ -41,6 +42,30 @@ def test_staged_plans_stay_on_the_jvm_and_join_on_keys(tables, name):
         assert node not in text, node
 
 
+def test_the_return_summary_does_not_store_the_lines_again(tables):
+    text = plan(ENTRIES["g07_product_return_summary"].build(tables))
+    assert "feed_items_v" in text and "silver-items" not in text and "net_price" not in text
+
+
+def test_lines_move_by_order_and_by_product_only(spark):
+    items = spark.createDataFrame(
+        [("c", "p", "tea", "1", 2), ("c", "p", "tea", "1", 3), ("c", "p", "tea", "2", 5), ("c", "p", "tea", "3", 7),
+         ("c", "q", None, "1", 1), ("c", "q", None, None, 9), ("c", "q", None, "lost", 9)],
+        "category string, product_id string, product_name string, order_id string, qty int",
+    )
+    orders = spark.createDataFrame([("1", "returned"), ("2", "cancelled"), ("3", None), (None, "returned")], "order_id string, status string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        summary = medallion.product_return_summary(items, orders)
+        text = plan(summary)
+        found = {r.product_id: tuple(r)[3:] for r in summary.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert text.count("Exchange hashpartitioning") == 3  # lines by order, orders, products
+    assert found == {"p": (17, 3, 5, 1, 29.41), "q": (1, 1, 1, 1, 100.0)}
+
+
 def line_exchanges(df) -> int:
     """Shuffles between the scan of the lines and the first aggregate that folds them."""
     depth, count, counts = [], 0, []
