@@ -8,8 +8,8 @@ from lakeops.functions import money
 from lakeops.plans import medallion
 from lakeops.plans.catalog.retail import avg, pct
 from lakeops.plans.registry import query
-from lakeops.plans.runner import run_stages
-from lakeops.session import scratch_path, written
+from lakeops.plans.runner import run_stages, run_together
+from lakeops.session import scratch_path
 from lakeops.sources import files
 
 LAYERS = """
@@ -72,18 +72,23 @@ def land(t) -> str:
     root = scratch_path(t.spark, "landing")
     tables = {name: t.view(view) for name, view in FEED_VIEWS.items()}
     by_city = tables["raw_orders"].withColumn("part", F.trim("city"))
-    files.csv_options(by_city.write.partitionBy("part")).csv(f"{root}/orders")
-    files.csv_options(tables["raw_order_items"].write).csv(f"{root}/order_items")
-    files.csv_options(tables["raw_delivery_logs"].write).csv(f"{root}/delivery")
-    write_json_arrays(tables["raw_customers"], "customer_id", f"{root}/customers")
+    run_together(
+        [
+            lambda: files.csv_options(tables["raw_order_items"].write).csv(f"{root}/order_items"),
+            lambda: files.csv_options(by_city.write.partitionBy("part")).csv(f"{root}/orders"),
+            lambda: files.csv_options(tables["raw_delivery_logs"].write).csv(f"{root}/delivery"),
+            # A few MB a file: many small ones cost more to make, list and open than to read.
+            lambda: write_json_arrays(tables["raw_customers"], "customer_id", f"{root}/customers", 20_000),
+        ]
+    )
     return root
 
 
 def write_json_arrays(df, key: str, path: str, rows_per_file: int = 500) -> None:
-    """Files with one JSON array of at most ``rows_per_file`` objects each."""
+    """Files with one JSON array each, of at most ``rows_per_file`` objects with different keys."""
     place = F.floor(F.col(key).cast("bigint") / rows_per_file).alias("part")
     arrays = df.groupBy(place).agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("value"))
-    arrays.repartition("part").write.partitionBy("part").text(path)
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
 
 
 @query(

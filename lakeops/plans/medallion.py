@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.functions import dates, money
 from lakeops.operators.dedupe import drop_repeats
+from lakeops.plans.runner import run_together
 from lakeops.sources import files
 
 RAW_TABLES = ["orders", "order_items", "customers", "delivery_logs"]
@@ -61,7 +63,8 @@ def silver_order_items(raw: DataFrame) -> DataFrame:
 def silver_orders(raw: DataFrame, items: DataFrame) -> DataFrame:
     """Orders with the totals of their items; an order without items has totals of 0."""
     totals = items.groupBy("order_id").agg(
-        F.sum("net_price").alias("_total"), F.sum("discount_amount").alias("_discount")
+        F.sum(money.in_cents(F.col("net_price"))).alias("_total"),
+        F.sum(money.in_cents(F.col("discount_amount"))).alias("_discount"),
     )
     zero = F.lit(0)
     return (
@@ -72,8 +75,8 @@ def silver_orders(raw: DataFrame, items: DataFrame) -> DataFrame:
             F.trim("city").alias("city"),
             F.trim("payment_mode").alias("payment_mode"),
             _code("status"),
-            F.coalesce("_total", zero).cast("decimal(18,2)").alias("order_total"),
-            F.coalesce("_discount", zero).cast("decimal(18,2)").alias("total_discount"),
+            money.exact_amount(F.coalesce("_total", zero)).alias("order_total"),
+            money.exact_amount(F.coalesce("_discount", zero)).alias("total_discount"),
             *_stamp(raw),
         )
     )
@@ -252,17 +255,27 @@ def stages(spark: SparkSession, raw_root: str, lake_root: str, fmt: str = "delta
     def load(layer: str, names) -> dict[str, DataFrame]:
         return {name: files.read_table(spark, f"{lake_root}/{layer}/{name}", fmt) for name in names}
 
+    def put(layer: str, name: str, df: DataFrame) -> None:
+        files.write_table(df, f"{lake_root}/{layer}/{name}", fmt)
+
     def save(layer: str, tables: dict[str, DataFrame]) -> None:
-        for name, df in tables.items():
-            files.write_table(df, f"{lake_root}/{layer}/{name}", fmt)
+        run_together([partial(put, layer, name, df) for name, df in tables.items()])
 
     def run_silver() -> None:
         raw = load("bronze", [f"raw_{name}" for name in RAW_TABLES])
-        save("silver", {"order_items": silver_order_items(raw["raw_order_items"])})
-        items = load("silver", ["order_items"])["order_items"]
-        save("silver", {"orders": silver_orders(raw["raw_orders"], items)})
-        save("silver", {"customers": silver_customers(raw["raw_customers"])})
-        save("silver", {"delivery_logs": silver_deliveries(raw["raw_delivery_logs"])})
+
+        def items_and_orders() -> None:
+            put("silver", "order_items", silver_order_items(raw["raw_order_items"]))
+            items = load("silver", ["order_items"])["order_items"]
+            put("silver", "orders", silver_orders(raw["raw_orders"], items))
+
+        run_together(
+            [
+                items_and_orders,
+                lambda: put("silver", "customers", silver_customers(raw["raw_customers"])),
+                lambda: put("silver", "delivery_logs", silver_deliveries(raw["raw_delivery_logs"])),
+            ]
+        )
 
     return {
         "bronze": lambda: save("bronze", bronze(spark, raw_root)),

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
 from lakeops.plans import medallion
-from lakeops.plans.runner import run_queries, run_stages
+from lakeops.plans.catalog.medallion import write_json_arrays
+from lakeops.plans.runner import run_queries, run_stages, run_together
 from lakeops.sources import files
 
 
@@ -73,6 +76,46 @@ def test_stages_keep_their_order():
         run_stages(stages, ["clean", "paint"])
 
 
+def test_steps_run_side_by_side_and_all_end_before_a_failure_shows():
+    meet, ended = threading.Barrier(2, timeout=20), []
+
+    def fail():
+        meet.wait()
+        raise ValueError("broken")
+
+    def last():
+        meet.wait()
+        ended.append("last")
+
+    with pytest.raises(ValueError, match="broken"):
+        run_together([fail, last])
+    assert ended == ["last"]
+
+
+def test_json_arrays_are_one_file_each_in_one_folder(spark, tmp_path):
+    path = str(tmp_path / "people")
+    people = spark.range(1, 46).selectExpr("CAST(id AS STRING) AS customer_id", "concat(' n', id) AS name")
+    write_json_arrays(people, "customer_id", path, 20)
+    parts = [f for f in (tmp_path / "people").iterdir() if f.name.startswith("part")]
+    assert len(parts) == 3 and all(f.is_file() for f in parts)
+    back = files.read_json_array(spark, path, recursive=True)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, people.collect()))
+
+
+def test_order_totals_are_exact_sums_of_their_lines(spark):
+    raw = spark.createDataFrame([("1", "a"), ("2", "a"), ("3", "a")], "order_id string, customer_id string").selectExpr(
+        "*", "'2024-01-01' AS order_date", "'x' AS city", "'y' AS payment_mode", "'z' AS status"
+    )
+    lines = spark.createDataFrame(
+        [("1", "99999999.99", "0.01"), ("1", "99999999.99", None), ("1", "-0.05", "0.10"), ("2", None, None)],
+        "order_id string, net string, less string",
+    ).selectExpr("order_id", "CAST(net AS DECIMAL(10,2)) AS net_price", "CAST(less AS DECIMAL(10,2)) AS discount_amount")
+    silver = medallion.silver_orders(raw, lines)
+    assert dict(silver.dtypes)["order_total"] == "decimal(18,2)"
+    found = {r.order_id: (str(r.order_total), str(r.total_discount)) for r in silver.collect()}
+    assert found == {"1": ("199999999.93", "0.11"), "2": ("0.00", "0.00"), "3": ("0.00", "0.00")}
+
+
 @pytest.fixture()
 def landing(tmp_path):
     """Two days of orders, one of them delivered late, with personal data in JSON."""
