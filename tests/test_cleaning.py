@@ -265,6 +265,27 @@ def test_rows_move_for_the_one_large_set_of_failing_keys_only(spark):
     assert "_d0" not in plan and "_at" in plan and plan.count("BroadcastHashJoin") == 2
 
 
+def test_where_many_keys_lack_a_parent_the_rows_meet_the_parents(spark, monkeypatch):
+    items = spark.range(6000).select(
+        F.col("id").alias("seq"),
+        F.when(F.col("id") % 10 != 0, F.sha2((F.col("id") % 5000).cast("string"), 256)).alias("order_id"),
+    )
+    orders = spark.range(0, 5000, 2).select(F.sha2(F.col("id").cast("string"), 256).alias("order_id"))
+    orders = orders.unionAll(orders).unionAll(spark.sql("SELECT CAST(NULL AS STRING)"))
+    written, labels = dedupe.written, []
+    monkeypatch.setattr(dedupe, "written", lambda df, label: labels.append(label) or written(df, label))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for limit, expected in (("4k", ["parents"]), ("10m", ["missing-parents"])):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        labels.clear()
+        try:
+            marked = dedupe.mark_rows(items, "seq", [], [("order_id", orders, "order_id", "lost")])
+            found = {r.seq: r.lost for r in marked.collect()}
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        assert found == {k: k % 10 == 0 or k % 5000 % 2 == 1 for k in range(6000)} and labels == expected
+
+
 def test_keys_that_may_repeat_are_found_by_their_digests(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a"), (4, None), (5, None)], "seq long, k string")
     assert {r.seq for r in dedupe.suspects(df, "k").collect()} == {1, 3}

@@ -116,3 +116,21 @@ def test_prices_with_tax_agree_with_published_ones(spark):
     rows = spark.createDataFrame(published, "base double, final double")
     got = rows.select("final", money.as_double(money.with_tax(F.col("base"))).alias("got")).collect()
     assert all(r["got"] == r["final"] for r in got)
+
+
+def test_a_layout_is_tried_only_where_it_may_fit(spark):
+    values = ["2024-01-05", "5-1-2024", "05-01-2024 1:02:03", "2024-1-5 10:20:30", "5/1/2024", "not a date", "unknown", "2024-1-2024",
+              "0005-1-2024", "-0005-1-5", "005-01-2024", "12345-1-1", "+12345-01-01", "2024-01-05 10:20", "1:2:3", "5-1/2024", "1-1", None]
+    layouts = dates.DATE_LAYOUTS
+    found = apply(spark, values, lambda c: F.array(*[F.try_to_timestamp(c, F.lit(x)).isNotNull() for x in layouts]))
+    tried = apply(spark, values, lambda c: F.array(*[F.coalesce(dates._may_fit(c, x), F.lit(False)) for x in layouts]))
+    assert all(may or not fits for row, may_row in zip(found, tried) for fits, may in zip(row, may_row))
+    # An ISO day is tried once, and what has the separators of no layout never.
+    assert [sum(row) for row in tried[:7]] == [1, 1, 1, 1, 1, 0, 0]
+    assert apply(spark, ["5.Jan 2024"], lambda c: dates.parse_clean_date(c, ["d.MMM yyyy"])) == [dt.datetime(2024, 1, 5)]
+
+
+def test_long_stages_are_not_fused_into_methods_that_are_never_compiled(spark):
+    wide = spark.range(9).select(*[F.concat_ws("-", *[F.col("id") + k + j for j in range(20)]).alias(f"c{k}") for k in range(40)])
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+    assert len(wide.collect()) == 9

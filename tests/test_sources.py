@@ -92,6 +92,18 @@ def test_steps_run_side_by_side_and_all_end_before_a_failure_shows():
     assert ended == ["last"]
 
 
+def test_queries_run_side_by_side_and_keep_their_order(spark, tmp_path):
+    meet = threading.Barrier(2, timeout=20)
+
+    def query(rows):
+        meet.wait()
+        return spark.range(rows)
+
+    counts = run_queries({"a": lambda: query(3), "b": lambda: query(5)}, str(tmp_path), at_once=2)
+    assert list(counts.items()) == [("a", 3), ("b", 5)]
+    assert run_together([lambda: 1, lambda: 2]) == [1, 2] == run_together([lambda: 1, lambda: 2], at_once=1)
+
+
 def test_json_arrays_are_one_file_each_in_one_folder(spark, tmp_path):
     path = str(tmp_path / "people")
     people = spark.range(1, 46).selectExpr("CAST(id AS STRING) AS customer_id", "concat(' n', id) AS name")
