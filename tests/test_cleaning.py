@@ -126,6 +126,15 @@ def test_counts_taken_while_rows_are_written_are_those_of_the_rows(spark, tables
     assert found.rows == tuple(judged.with_rows(stored).row_counts().first())
 
 
+def test_counts_of_no_rows_and_no_count_if_while_rows_are_written(spark, tables, tmp_path):
+    judged = cleaning.clean_orders(tables[0].filter("seq < 0"))
+    rows, counts = judged.counted_while_written()
+    metrics = next(line for line in rows._jdf.queryExecution().analyzed().toString().splitlines() if "CollectMetrics" in line)
+    assert "sum(" in metrics and "count_if" not in metrics
+    store_below(spark, str(tmp_path))("orders", rows)
+    assert (counts().issues, counts().rows) == ([], ("orders", 0, 0, 0))
+
+
 def test_raw_columns_go_through_one_shuffle_at_most(spark):
     """Also where no table is small enough to be broadcast, and most rows have a flag."""
     items = spark.range(3000).select(
